@@ -233,12 +233,10 @@ def interval_join(
     """
     on = list(on)
     p = points.withColumn("_b", _day_bucket(F.col(point), bucket_days))
-    last = points.agg(F.max(point).alias("_last"))
-    spans = intervals.crossJoin(F.broadcast(last))  # one row: the last point clips open ends
-    upto = F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last"))
-    spans = spans.filter(upto >= F.col(start)).withColumn(
-        "_b", F.explode(F.sequence(_day_bucket(F.col(start), bucket_days), _day_bucket(upto, bucket_days)))
-    ).drop("_last")
+    last = points.agg(F.max(point)).scalar()  # the last point clips open ends
+    spans = intervals.withColumn("_upto", F.least(F.coalesce(F.col(end), last), last))
+    spans = spans.filter(F.col("_upto") >= F.col(start)).withColumn("_b", F.explode(F.sequence(
+        _day_bucket(F.col(start), bucket_days), _day_bucket(F.col("_upto"), bucket_days)))).drop("_upto")
     return p.join(spans, ["_b", *on], "inner").filter(
         in_interval(F.col(point), F.col(start), F.col(end), closed)
     ).drop("_b")
@@ -256,13 +254,12 @@ def overlap_join(
     far = F.lit(FAR_FUTURE).cast("date")
     bound = a.select(F.col(a_from).alias("f"), F.col(a_to).alias("t")).unionByName(
         b.select(F.col(b_from).alias("f"), F.col(b_to).alias("t"))
-    ).agg(F.greatest(F.max("f"), F.max("t")).alias("_last"))
+    ).agg(F.greatest(F.max("f"), F.max("t"))).scalar()
 
     def spread(df: DataFrame, f: str, t: str) -> DataFrame:
-        upto = F.least(F.coalesce(F.col(t), F.col("_last")), F.col("_last"))
-        return df.crossJoin(F.broadcast(bound)).filter(upto >= F.col(f)).withColumn(
-            "_b", F.explode(F.sequence(_day_bucket(F.col(f), bucket_days), _day_bucket(upto, bucket_days)))
-        ).drop("_last")
+        clipped = df.withColumn("_upto", F.least(F.coalesce(F.col(t), bound), bound))
+        return clipped.filter(F.col("_upto") >= F.col(f)).withColumn("_b", F.explode(F.sequence(
+            _day_bucket(F.col(f), bucket_days), _day_bucket(F.col("_upto"), bucket_days)))).drop("_upto")
 
     left, right = spread(a, a_from, a_to), spread(b, b_from, b_to)
     pairs = left.join(right, [*key, "_b"], "inner").filter(
