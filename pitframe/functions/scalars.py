@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Score lane -> metric and whether a high strength means low risk.
-STRENGTH_LANES = ("FUNDAMENTAL", "VALORIZATION", "TECHNICAL", "SECTOR", "SEMANTIC")
+# The lanes whose 0-100 strength is rescaled.
+STRENGTH_LANES = ("VALORIZATION", "TECHNICAL", "SECTOR")
 # Classifier label -> event category; any other label has none.
 CATEGORY_BUCKET = {
     "legal_regulatory": "LEGAL",
@@ -29,7 +29,7 @@ HARD_KEYWORDS = (
 LADDER = ("LOW", "MODERATE", "HIGH", "CRITICAL")
 GATE_NEGATIVE, GATE_SCORE = 0.50, 0.70
 CRITICAL_NEGATIVE, CRITICAL_SCORE, HIGH_NEGATIVE, MODERATE_NEGATIVE = 0.85, 0.80, 0.70, 0.50
-TICKER = r"^[A-Z][A-Z0-9.-]{0,9}$"
+TICKER = r"^[A-Z0-9]{1,6}(\.[A-Z])?$"
 
 
 def clamp(col: Column, low, high) -> Column:

@@ -47,15 +47,23 @@ class ClassMap:
     required: tuple[str, ...] = field(default=())
 
 
+def camel(name: str) -> str:
+    """``cash_weight`` to ``cashWeight``."""
+    head, *tail = name.split("_")
+    return head + "".join(x[:1].upper() + x[1:] for x in tail)
+
+
 def class_map(cls: str, spec: str) -> ClassMap:
-    """Read a mapping table: ``property column kind [inverse=name] [many] [lang=xx] [!]`` per line.
+    """Read a mapping table: ``column kind [as=property] [inverse=property] [many] [lang=xx] [!]`` per line.
 
-    ``!`` marks a property every row must have.
+    A property is named after its column in camel case unless ``as`` says otherwise; ``!`` marks a
+    property every row must have.
     """
     props, required = [], []
     for line in filter(None, (x.strip() for x in spec.splitlines())):
-        name, column, kind, *flags = line.split()
+        column, kind, *flags = line.split()
         opts = dict(f.split("=") for f in flags if "=" in f)
+        name = opts.get("as", camel(column))
         props.append(Prop(name, column, kind, opts.get("inverse"), "many" in flags, opts.get("lang")))
         if "!" in flags:
             required.append(name)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitframe.functions.scalars import TICKER, quarter_label
 
-# Lanes written by quarter of availability; lanes carrying a raw value only.
+# Lanes written by quarter of availability; lanes that need a raw value.
 DATA_DATED = ("FUNDAMENTAL",)
-RAW_REQUIRED = ("SEMANTIC",)
-LANES = ("FUNDAMENTAL", "VALORIZATION", "TECHNICAL", "SECTOR", "SEMANTIC")
+RAW_REQUIRED = ("FUNDAMENTAL", "SECTOR")
+# Score lane -> metric type.
+LANES = {
+    "FUNDAMENTAL": "ScoreFinanciero",
+    "VALORIZATION": "ScoreCuantitativo",
+    "TECHNICAL": "ScoreTecnico",
+    "SECTOR": "SectorRelativeMomentum",
+}
 FULL_FORMS = ("10-K", "10-Q")
 SCOPE_KEYS = ("forms", "limit", "since_year", "tickers", "until_year")
 
