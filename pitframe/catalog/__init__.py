@@ -1 +1,12 @@
+"""Registered queries; importing a case module adds its queries."""
 
+import importlib
+
+MODULES = ["temporal_cases", "linking_cases"]
+
+
+def load():
+    from pitframe.catalog import registry
+    for name in MODULES:
+        importlib.import_module(f"pitframe.catalog.{name}")
+    return registry.QUERIES, registry.SQL

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitframe.operators.temporal import overlap_join, overlaps
+from pitframe.operators.temporal import overlap_join
+from pitframe.session import cut_lineage
 
 FAR = "9999-12-31"
 
@@ -99,11 +100,12 @@ def classify_lines(stints: DataFrame, cik: str = "cik", symbol: str = "symbol",
         F.col(cik).alias("cik"), F.col(symbol).alias("symbol"), F.col(start).alias("f"),
         F.coalesce(F.col(end), far).alias("t")).groupBy("cik", "symbol", "f").agg(F.max("t").alias("t"))
     # one row per start day and symbol: at most one row per calendar day in each window group
-    from pitframe.operators.temporal import running_last
-    marked = running_last(rows, ["cik", "symbol"], "f", F.col("t"), "p", None, strict=True)
-    marked = marked.withColumn("new", F.when(F.col("p").isNull() | (F.col("p") < F.col("f")), F.col("f")))
-    isl = running_last(marked, ["cik", "symbol"], "f", F.col("new"), "island")
-    islands = isl.groupBy("cik", "symbol", "island").agg(F.min("f").alias("f"), F.max("t").alias("t")).drop("island")
+    w = Window.partitionBy("cik", "symbol").orderBy("f")
+    seen = F.max("t").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = rows.withColumn("new", F.when(seen.isNull() | (seen < F.col("f")), F.col("f")))
+    marked = marked.withColumn("island", F.max("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    islands = marked.groupBy("cik", "symbol", "island").agg(F.min("f").alias("f"), F.max("t").alias("t")).drop("island")
+    islands = cut_lineage(islands)
     per_symbol = islands.groupBy("cik", "symbol").agg(
         F.count(F.lit(1)).alias("k"), F.min("f").alias("f"), F.max("t").alias("t"))
     per_cik = per_symbol.groupBy("cik").agg(
@@ -133,7 +135,8 @@ def classify_lines(stints: DataFrame, cik: str = "cik", symbol: str = "symbol",
 def overlaps_between(islands: DataFrame) -> DataFrame:
     """CIKs with two islands that share a day, or two symbols that start on one day."""
     per_day = islands.groupBy("cik", "f").agg(F.max("t").alias("t"), F.count(F.lit(1)).alias("n"))
-    hit = overlaps(per_day, ["cik"], "f", "t").select("cik")
+    w = Window.partitionBy("cik").orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
+    hit = per_day.withColumn("_p", F.max("t").over(w)).filter(F.col("_p") >= F.col("f")).select("cik")
     return hit.unionByName(per_day.filter("n > 1").select("cik")).distinct()
 
 
@@ -145,7 +148,7 @@ def resolve_entities(stints: DataFrame, cik: str = "cik", symbol: str = "symbol"
     symbol; stints without a CIK join the one asset that owns their symbol, else stand alone.
     ``claims`` over 1 marks a symbol claimed by two assets, which must stop a load.
     """
-    pattern = classify_lines(stints, cik, symbol, start, end).select("cik", "pattern")
+    pattern = cut_lineage(classify_lines(stints, cik, symbol, start, end).select("cik", "pattern"))
     base = stints.select(F.when(F.col(cik) != "", F.col(cik)).alias("cik"), F.col(symbol).alias("symbol"),
                          F.col(start).alias("f"), F.col(end).alias("t"))
     with_cik = base.filter("cik IS NOT NULL").join(pattern, "cik")

@@ -1,9 +1,11 @@
 """Point-in-time operators: as-of joins, interval joins, latest-known rows, overlaps.
 
-No operator here sorts one whole key in one task. A per-key running value is computed in two
-levels (``running_last``): inside (key, time bucket) groups, plus a carry over one summary row per
-bucket, so a key holding a third of all rows is spread over its buckets. "Latest per key" is a
-partial aggregate plus an equality semi join, which keeps ties and which AQE can split.
+No operator here sorts all rows of one key in one task. A per-key running value is computed over
+one pre-aggregated row per (key, time): with day-grained times a window group holds at most one row
+per calendar day, however many rows the key has. Finer times take a ``bucket``, and the scan then
+runs in two levels: inside (key, bucket) groups, plus a carry over one summary row per bucket.
+"Latest per key" is a partial aggregate plus an equality semi join, which keeps ties and which AQE
+can split.
 """
 
 from __future__ import annotations
@@ -85,6 +87,20 @@ def _latest(df: DataFrame, keys: list[str], ts: str, require: list[str]) -> Data
     return rows.join(tops, [*keys, ts], "left_semi")
 
 
+def _running(times: DataFrame, keys: list[str], ts: str, out: str, bucket: Column | None, strict: bool) -> DataFrame:
+    """``out``: largest ``_tv`` of the key up to each time. ``times`` holds one row per (keys, ts)."""
+    end = -1 if strict else Window.currentRow
+    upto = Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, end)
+    if bucket is None:
+        return times.withColumn(out, F.max("_tv").over(upto.partitionBy(*keys)))
+    rows = times.withColumn("_b", bucket)
+    per_bucket = rows.groupBy(*keys, "_b").agg(F.max("_tv").alias("_m"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*keys, "_b", F.max("_m").over(before).alias("_carry"))
+    inside = rows.withColumn("_in", F.max("_tv").over(upto.partitionBy(*keys, "_b")))
+    return inside.join(carry, [*keys, "_b"], "left").withColumn(out, F.greatest("_in", "_carry")).drop("_b", "_in", "_carry")
+
+
 def running_last(
     df: DataFrame,
     keys: Sequence[str],
@@ -96,28 +112,13 @@ def running_last(
 ) -> DataFrame:
     """Largest ``value`` per key over rows with ``ts`` at or before (``strict``: before) the row's own.
 
-    ``bucket`` is a monotone function of ``ts`` (default: its month) that splits long keys.
+    ``bucket`` is a monotone function of ``ts`` that splits the keys whose times are finer than days.
     """
     keys = list(keys)
-    b = F.trunc(F.col(ts).cast("date"), "month") if bucket is None else bucket
-    rows = df.withColumn("_v", value).withColumn("_b", b)
-    per_bucket = rows.groupBy(*keys, "_b").agg(F.max("_v").alias("_m"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, "_b", F.max("_m").over(before).alias("_carry"))
-    inside = Window.partitionBy(*keys, "_b").orderBy(ts)
-    if strict:
-        # the largest value of earlier times of the bucket: one row per time, then the one before it
-        times = rows.groupBy(*keys, "_b", ts).agg(F.max("_v").alias("_tv"))
-        prev = inside.rowsBetween(Window.unboundedPreceding, -1)
-        times = times.select(*keys, "_b", ts, F.max("_tv").over(prev).alias("_in"))
-    else:
-        times = rows.groupBy(*keys, "_b", ts).agg(F.max("_v").alias("_tv"))
-        upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        times = times.select(*keys, "_b", ts, F.max("_tv").over(upto).alias("_in"))
-    at = times.join(carry, [*keys, "_b"], "left").select(
-        *keys, ts, F.greatest("_in", "_carry").alias(out)
-    )
-    return rows.drop("_v", "_b").join(at, [*keys, ts], "left")
+    rows = df.withColumn("_v", value)
+    times = rows.groupBy(*keys, ts).agg(F.max("_v").alias("_tv"))
+    at = _running(times, keys, ts, out, bucket, strict).drop("_tv")
+    return rows.drop("_v").join(at, [*keys, ts], "left")
 
 
 def asof_times(
@@ -132,16 +133,16 @@ def asof_times(
 ) -> DataFrame:
     """Distinct (key, event time) pairs with the latest fact time at or before each of them."""
     key = list(key)
-    marks = events.filter(_nonnull([*key, event_ts])).select(*key, F.col(event_ts).alias("_ts")).distinct()
-    known = facts.filter(_nonnull([*key, fact_ts])).select(*key, F.col(fact_ts).alias("_ts")).distinct()
-    both = (
+    marks = events.filter(_nonnull([*key, event_ts])).select(*key, F.col(event_ts).alias("_ts"))
+    known = facts.filter(_nonnull([*key, fact_ts])).select(*key, F.col(fact_ts).alias("_ts"))
+    times = (
         marks.withColumn("_e", F.lit(True)).withColumn("_f", F.lit(False))
         .unionByName(known.withColumn("_e", F.lit(False)).withColumn("_f", F.lit(True)))
         .groupBy(*key, "_ts")
-        .agg(F.max("_e").alias("_e"), F.max("_f").alias("_f"))
+        .agg(F.max("_e").alias("_e"), F.max(F.when(F.col("_f"), F.col("_ts"))).alias("_tv"))
     )
     b = bucket(F.col("_ts")) if bucket is not None else None
-    run = running_last(both, key, "_ts", F.when(F.col("_f"), F.col("_ts")), out, b, strict)
+    run = _running(times, key, "_ts", out, b, strict)
     return run.filter("_e").select(*key, F.col("_ts").alias(event_ts), out)
 
 
@@ -187,6 +188,25 @@ def with_previous(
     return asof_join(df, earlier, key, order, f"{prefix}{order}", bucket=bucket, strict=True)
 
 
+def next_event(
+    df: DataFrame, events: DataFrame, key: Sequence[str], ts: str, event_ts: str, out: str = "next_ts",
+    bucket_seconds: int = 86400,
+) -> DataFrame:
+    """Each row with the time of its key's first strictly later event; NULL if there is none.
+
+    The as-of scan run on reversed time, so a hot key is spread over its buckets here too.
+    """
+    key = list(key)
+    back = lambda c: -F.unix_micros(F.col(c).cast("timestamp"))
+    rows = df.select(*key, F.col(ts), back(ts).alias("_neg"))
+    marks = events.select(*key, back(event_ts).alias("_eneg"))
+    width = F.lit(bucket_seconds * 1_000_000)
+    found = asof_times(rows, marks, key, "_neg", "_eneg", "_hit", lambda c: F.floor(c / width), strict=True)
+    when = rows.distinct().join(found, [*key, "_neg"]).select(
+        *key, ts, F.timestamp_micros(-F.col("_hit")).cast(dict(df.dtypes)[ts]).alias(out))
+    return df.join(when, [*key, ts], "left")
+
+
 def later_events(
     df: DataFrame, events: DataFrame, key: Sequence[str], ts: str, event_ts: str, open_ok: bool = False
 ) -> DataFrame:
