@@ -41,26 +41,26 @@ def entail(types: DataFrame, pairs: DataFrame, cls: str = "cls") -> DataFrame:
 def cycles(edges: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """Loops of a functional edge set (one edge per start): (smallest member, length).
 
-    Pointer jumping: the jump table doubles its stride each round and drops chains that end, so the
-    work per round is one equi join of at most one row per edge.
+    Pointer jumping: the jump table doubles its stride each round and drops chains that end, so a
+    round is one equi join of at most one row per edge, and the rounds grow with the logarithm of
+    the longest chain.
     """
     nxt = edges.filter(F.col(start) != F.col(end)).select(F.col(start).alias("n"), F.col(end).alias("j"))
-    table = cut_lineage(nxt)
-    size = table.count()
-    rounds, stride = 0, 1
-    while size and stride <= size:
+    table, image = cut_lineage(nxt), -1
+    while True:  # the image shrinks until it is the set of loop nodes, then keeps its size
+        now = table.select("j").distinct().count()
+        if now == image or now == 0:
+            break
+        image = now
         hop = table.select(F.col("n").alias("_n"), F.col("j").alias("_j"))
         table = cut_lineage(table.join(hop, table.j == hop["_n"]).select("n", F.col("_j").alias("j")))
-        size_now = table.count()
-        size, stride, rounds = min(size, size_now), stride * 2, rounds + 1
     on_loop = table.select(F.col("j").alias("n")).distinct()
-    ring = cut_lineage(nxt.join(on_loop, "n", "left_semi").select("n", "j", F.col("n").alias("low")))
-    n, stride = ring.count(), 1
-    while n and stride <= n:
+    ring = nxt.join(on_loop, "n", "left_semi").select("n", "j", F.col("n").alias("low"), F.lit(True).alias("moved"))
+    ring = cut_lineage(ring)
+    while not ring.filter("moved").isEmpty():  # labels settle once a doubled stride lowers none
         hop = ring.select(F.col("n").alias("_n"), F.col("j").alias("_j"), F.col("low").alias("_low"))
         ring = cut_lineage(ring.join(hop, ring.j == hop["_n"]).select(
-            "n", F.col("_j").alias("j"), F.least("low", "_low").alias("low")))
-        stride *= 2
+            "n", F.col("_j").alias("j"), F.least("low", "_low").alias("low"), (F.col("_low") < F.col("low")).alias("moved")))
     return ring.groupBy(F.col("low").alias("smallest")).agg(F.count(F.lit(1)).alias("length"))
 
 

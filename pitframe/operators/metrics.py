@@ -42,7 +42,8 @@ def counts_by(df: DataFrame, keys: Sequence[str], distinct: str | None = None, o
 def weighted_profile(df: DataFrame, weight: str, values: Sequence[str], keys: Sequence[str], ident: str) -> DataFrame:
     """Weighted means, covered weight and distinct positions per group."""
     w = F.col(weight)
-    means = [F.try_divide(F.sum(w * F.col(v)), F.sum(w)).alias(f"weighted_{v}") for v in values]
+    total = F.sum(w).cast("double")  # sums stay exact; only the mean is a double
+    means = [F.try_divide(F.sum(w * F.col(v)).cast("double"), total).alias(f"weighted_{v}") for v in values]
     return df.groupBy(*keys).agg(*means, F.sum(w).alias("covered_weight"), F.countDistinct(ident).alias("positions"))
 
 
