@@ -19,12 +19,12 @@ def link_entity(
 ) -> DataFrame:
     """Exact symbol wins, else the only asset with the row's CIK, else unlinked (``how`` says which)."""
     by_symbol = assets.filter(F.col(asset_symbol).isNotNull()).groupBy(F.col(asset_symbol).alias(symbol)).agg(
-        F.min(asset).alias("_s"))
+        F.min(asset).alias("_by_symbol"))
     by_cik = assets.filter(F.col(asset_cik).isNotNull()).groupBy(F.col(asset_cik).alias(cik)).agg(
-        F.min(asset).alias("_c"), F.count(F.lit(1)).alias("_n")).filter("_n = 1").drop("_n")
+        F.min(asset).alias("_by_cik"), F.count(F.lit(1)).alias("_owners")).filter("_owners = 1").drop("_owners")
     out = df.join(by_symbol, symbol, "left").join(by_cik, cik, "left")
-    how = F.when(F.col("_s").isNotNull(), "symbol").when(F.col("_c").isNotNull(), "cik").otherwise("none")
-    return out.withColumn("how", how).withColumn(asset, F.coalesce("_s", "_c")).select(*df.columns, asset, "how")
+    how = F.when(F.col("_by_symbol").isNotNull(), "symbol").when(F.col("_by_cik").isNotNull(), "cik").otherwise("none")
+    return out.withColumn("how", how).withColumn(asset, F.coalesce("_by_symbol", "_by_cik")).select(*df.columns, asset, "how")
 
 
 def unambiguous_map(df: DataFrame, keys: Sequence[str], value: str, key_out: str = "key") -> DataFrame:

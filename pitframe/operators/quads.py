@@ -121,6 +121,21 @@ def _triple(graph: Column, s: Column, p: str, o: Column, kind: str, datatype: st
         F.lit(lang).cast("string").alias("lang"))
 
 
+def _value_triple(graph: Column, s: Column, p: Prop, value: Column) -> Column:
+    if p.kind == "iri":
+        return _triple(graph, s, p.name, value.cast("string"), "iri", None, None)
+    return _triple(graph, s, p.name, literal_text(value, p.kind), "literal", None if p.lang else DATATYPES[p.kind], p.lang)
+
+
+def _many_triples(graph: Column, s: Column, p: Prop) -> list[Column]:
+    """Arrays of triples of a multi-valued property, and of its inverse."""
+    values = F.coalesce(F.col(p.name), F.array().cast("array<string>"))
+    out = [F.transform(values, lambda x: _value_triple(graph, s, p, x))]
+    if p.inverse:
+        out.append(F.transform(values, lambda x: _triple(graph, x, p.inverse, s, "iri", None, None)))
+    return out
+
+
 def melt(table: DataFrame, mapping: ClassMap, dedupe: bool = False) -> DataFrame:
     """Class table to quads in one narrow pass; an absent value is an absent triple.
 
@@ -131,16 +146,10 @@ def melt(table: DataFrame, mapping: ClassMap, dedupe: bool = False) -> DataFrame
     one = [_triple(g, s, TYPE, F.lit(mapping.cls), "iri", None, None)]
     arrays = []
     for p in mapping.props:
-        link = p.kind == "iri"
-        datatype = None if link or p.lang else DATATYPES[p.kind]
-        kind = "iri" if link else "literal"
-        lex = (lambda c, k=p.kind, l=link: c.cast("string") if l else literal_text(c, k))
         if p.many:
-            arrays.append(F.transform(F.coalesce(F.col(p.name), F.array().cast("array<string>")), lambda x, p=p, lex=lex, kind=kind, dt=datatype: _triple(g, s, p.name, lex(x), kind, dt, p.lang)))
-            if p.inverse:
-                arrays.append(F.transform(F.coalesce(F.col(p.name), F.array().cast("array<string>")), lambda x, p=p: _triple(g, x, p.inverse, s, "iri", None, None)))
+            arrays += _many_triples(g, s, p)
             continue
-        one.append(_triple(g, s, p.name, lex(F.col(p.name)), kind, datatype, p.lang))
+        one.append(_value_triple(g, s, p, F.col(p.name)))
         if p.inverse:
             one.append(_triple(g, F.col(p.name), p.inverse, F.when(F.col(p.name).isNotNull(), s), "iri", None, None))
     cells = F.concat(F.array(*one), *arrays) if arrays else F.array(*one)
