@@ -8,7 +8,7 @@ from pitframe.plans import projections as P
 from pitframe.plans import questions as Q
 from pitframe.plans.casebook import check_sql, view
 
-L, W, ARM, DAY = "base", "P7", "MARKOWITZ_BASE", "1997-06-16"
+L, W, ARM, DAY = "base", "P7", "MARKOWITZ_BASE", "1997-09-07"
 
 
 class Tables(dict):
@@ -126,9 +126,9 @@ def q_term_by_label(spark, sf):
     return Q.term_by_label(_terms(spark, sf)[1], [lo, hi])
 
 
-@case("q_definition_search", "SELECT 'T_' || doc_id AS term, text AS definition FROM documents WHERE lang = 'es' AND contains(lower(text), 'entre')")
+@case("q_definition_search", "SELECT 'T_' || doc_id AS term, text AS definition FROM documents WHERE lang = 'es' AND contains(lower(text), 'ciónra')")
 def q_definition_search(spark, sf):
-    return Q.definition_search(_terms(spark, sf)[0], "entre")
+    return Q.definition_search(_terms(spark, sf)[0], "ciónra")
 
 
 # --- catalogue ---
@@ -140,8 +140,8 @@ ACT = "(SELECT x.*, l.rule_id, l.date AS adate, l.state, l.layer, l.window_id AS
 SECT = "LEFT JOIN (SELECT asset AS sa, CASE WHEN is_fund THEN 'core fund' ELSE sector END AS sec FROM assets LEFT JOIN industries i ON i.industry = assets.industry) s ON s.sa = "
 
 ask("q_active_rules", "rules", "SELECT category, rule_id AS \"ruleId\", rule_iri AS rule FROM rules WHERE valid_to IS NULL AND category IN ('DATA_QUALITY', 'FINANCIAL', 'MARKET', 'GUARD')", lambda t: Q.active_rules(t))
-ask("q_universe_members", "stints assets", "SELECT symbol AS asset, symbol AS ticker, valid_from AS \"validFrom\", valid_to AS \"validTo\" FROM stints JOIN assets ON asset = symbol WHERE valid_from <= DATE '1997-06-16' AND (valid_to IS NULL OR valid_to >= DATE '1997-06-16')", lambda t: Q.universe_members(t, DAY))
-ask("q_ticker_on_date", "stints", "SELECT 'urn:graph:derived:ticker-history:base:2002-01-01' AS snapshot, cik, symbol, symbol AS canonical, symbol AS asset FROM stints WHERE cik IS NOT NULL AND length(symbol) % 3 = 2 AND symbol = 'T8' AND valid_from <= DATE '1997-06-16' AND (valid_to IS NULL OR valid_to >= DATE '1997-06-16')", lambda t: Q.ticker_on_date(t, "T8", DAY))
+ask("q_universe_members", "stints assets", "SELECT symbol AS asset, symbol AS ticker, valid_from AS \"validFrom\", valid_to AS \"validTo\" FROM stints JOIN assets ON asset = symbol WHERE valid_from <= DATE '1997-09-07' AND (valid_to IS NULL OR valid_to >= DATE '1997-09-07')", lambda t: Q.universe_members(t, DAY))
+ask("q_ticker_on_date", "stints", "SELECT 'urn:graph:derived:ticker-history:base:2002-01-01' AS snapshot, cik, symbol, symbol AS canonical, symbol AS asset FROM stints WHERE cik IS NOT NULL AND length(symbol) % 3 = 2 AND symbol = 'T8' AND valid_from <= DATE '1997-09-07' AND (valid_to IS NULL OR valid_to >= DATE '1997-09-07')", lambda t: Q.ticker_on_date(t, "T8", DAY))
 ask("q_run_labels", "v_book", "SELECT 'base' AS label, count(DISTINCT window_id) AS windows, count(*) AS books FROM v_book", Q.run_labels)
 ask("q_windows_present", "v_portfolio_period_summary", "SELECT 'base' AS label, window_id AS \"window\", min(date_from) AS \"dateFrom\", max(date_to) AS \"dateTo\" FROM v_portfolio_period_summary GROUP BY 2", Q.windows_present)
 ask("q_arms_present", "v_book", "SELECT 'base' AS label, window_id AS \"window\", arm_code AS arm, count(*) AS books FROM v_book GROUP BY 2, 3", Q.arms_present)
@@ -151,7 +151,7 @@ ask("q_decision_cycles", "v_book_rebalance v_cycle_run", "SELECT 'base' AS label
 ask("q_warm_up_cycles", "v_book_rebalance v_cycle_run", "SELECT 'base' AS label, 'P7' AS \"window\", run_id AS \"cycleRunId\", as_of AS \"cycleDate\" FROM v_cycle_run WHERE window_id = 'P7' AND run_id NOT IN (SELECT cycle_run_id FROM v_book_rebalance WHERE cycle_run_id IS NOT NULL)", lambda t: Q.warm_up_cycles(t, L, W))
 ask("q_performance", "v_portfolio_period_summary", "SELECT 'base' AS label, 'P7' AS \"window\", arm_code AS arm, segment, 'PeriodSummary_base_P7_' || arm_code || '_' || segment AS summary, cumulative_return AS \"cumulativeReturn\", annualized_return AS \"annualizedReturn\", ex_post_sharpe AS \"exPostSharpe\" FROM v_portfolio_period_summary WHERE window_id = 'P7'", lambda t: Q.performance_by_segment(t, L, W))
 ask("q_alerts_by_month", "v_guard_alert v_guard_action assets", f"SELECT 'base' AS label, 'P7' AS \"window\", rule_id AS \"ruleId\", strftime(adate, '%Y-%m') AS month, count(DISTINCT alert_id) AS alerts FROM {ACT} WHERE \"window\" = 'P7' GROUP BY 3, 4", lambda t: Q.alerts_by_month(t, L, W))
-ask("q_latest_nav", "v_book_daily_performance", "SELECT 'base' AS label, arm_code AS arm, date, nav FROM v_book_daily_performance p WHERE window_id = 'P7' AND knowledge_date <= DATE '1997-06-16' AND NOT EXISTS (SELECT 1 FROM v_book_daily_performance q WHERE q.book_id = p.book_id AND q.knowledge_date <= DATE '1997-06-16' AND q.date > p.date)", lambda t: Q.latest_nav(t, L, W, DAY))
+ask("q_latest_nav", "v_book_daily_performance", "SELECT 'base' AS label, arm_code AS arm, date, nav FROM v_book_daily_performance p WHERE window_id = 'P7' AND knowledge_date <= DATE '1997-09-07' AND NOT EXISTS (SELECT 1 FROM v_book_daily_performance q WHERE q.book_id = p.book_id AND q.knowledge_date <= DATE '1997-09-07' AND q.date > p.date)", lambda t: Q.latest_nav(t, L, W, DAY))
 ask("q_equities_last_day", "v_book_daily_performance", "SELECT 'base' AS label, 'P7' AS \"window\", arm_code AS arm, date, n_equity AS \"nEquity\" FROM v_book_daily_performance p WHERE window_id = 'P7' AND date = (SELECT max(date) FROM v_book_daily_performance q WHERE q.book_id = p.book_id)", lambda t: Q.equities_on_last_day(t, L, W))
 ask("q_cut_tickers", "v_guard_alert v_guard_action assets", f"SELECT 'base' AS label, 'P7' AS \"window\", arm_code AS arm, ticker, count(*) AS cuts FROM {ACT} WHERE \"window\" = 'P7' AND status = 'APPLIED' AND layer = 1 GROUP BY 3, 4", lambda t: Q.cut_tickers(t, L, W))
 ask("q_cut_explanation", "v_guard_alert v_guard_action", "SELECT CASE WHEN x.action_id IS NOT NULL THEN 'base' END AS label, 'GuardAlert_base_P7_' || l.alert_id AS alert, rule_id AS \"ruleId\", 'note of ' || rule_id AS \"ruleNote\", arm_code AS arm, status FROM v_guard_alert l LEFT JOIN v_guard_action x ON x.alert_id = l.alert_id WHERE l.alert_id = 10 AND window_id = 'P7'", lambda t: Q.cut_explanation(t, 10, L, W))
@@ -159,8 +159,8 @@ ask("q_knowledge_dates", "v_book", "SELECT 'base' AS label, 'P7' AS \"window\",
 ask("q_weight_scale", "v_book_weight_daily", "SELECT 'base' AS label, 'P7' AS \"window\", arm_code AS arm, count(*) AS weights FROM v_book_weight_daily WHERE backtest_run_id = 7 GROUP BY 3", lambda t: Q.weight_scale(t, L, W))
 RK = "(SELECT r.*, y.as_of FROM v_cycle_ranking r JOIN v_cycle_run y ON y.run_id = r.cycle_run_id WHERE r.window_id = 'P7')"
 ask("q_ranking_at", "v_cycle_ranking v_cycle_run", f"SELECT rank, ticker, blended_score AS score, selected = 1 AS selected, target_weight AS \"cycleTarget\", vetoed = 1 AS vetoed, veto_rules_json AS rules FROM {RK} WHERE as_of = DATE '1997-06-01'", lambda t: Q.ranking_at(t, L, W, "1997-06-01"))
-ask("q_vetoes_in_force", "v_veto", "SELECT ticker, rule_id AS \"ruleId\", severity, raised_on AS raised, cleared_on AS cleared FROM v_veto WHERE window_id = 'P7' AND raised_on <= DATE '1997-06-16' AND (cleared_on IS NULL OR cleared_on > DATE '1997-06-16')", lambda t: Q.vetoes_in_force(t, L, W, DAY))
-ask("q_why_not_selected", "v_cycle_ranking v_cycle_run", f"SELECT ticker, rank, selected = 1 AS selected, vetoed = 1 AS vetoed, veto_rules_json AS rules, blended_score AS score, CASE WHEN asset_id % 4 > 0 THEN 2 ELSE 1 END AS components FROM {RK} WHERE as_of = DATE '1997-06-01' AND ticker = 'T10'", lambda t: Q.why_not_selected(t, L, W, "1997-06-01", "T10"))
+ask("q_vetoes_in_force", "v_veto", "SELECT ticker, rule_id AS \"ruleId\", severity, raised_on AS raised, cleared_on AS cleared FROM v_veto WHERE window_id = 'P7' AND raised_on <= DATE '1997-09-07' AND (cleared_on IS NULL OR cleared_on > DATE '1997-09-07')", lambda t: Q.vetoes_in_force(t, L, W, DAY))
+ask("q_why_not_selected", "v_cycle_ranking v_cycle_run", f"SELECT ticker, rank, selected = 1 AS selected, vetoed = 1 AS vetoed, veto_rules_json AS rules, blended_score AS score, CASE WHEN asset_id % 4 > 0 THEN 2 ELSE 1 END AS components FROM {RK} WHERE as_of = DATE '1997-02-01' AND ticker = 'T1'", lambda t: Q.why_not_selected(t, L, W, "1997-02-01", "T1"))
 ask("q_trend_cash", "trend", "SELECT decision_date AS date, cash_fraction AS \"cashFraction\" FROM trend WHERE \"window\" = 'P7' AND spy_vs_sma210 = 'below'", lambda t: Q.trend_cash(t, L, W))
 ask("q_reference_returns", "reference_returns v_portfolio_period_summary", "SELECT reference, total_return AS \"totalReturn\", r.max_drawdown AS \"maxDrawdown\", arm_code AS arm, cumulative_return AS \"armReturn\" FROM reference_returns r JOIN v_portfolio_period_summary s ON s.segment = r.segment AND s.window_id = 'P7' WHERE r.\"window\" = 'P7' AND r.segment = 'P7'", lambda t: Q.reference_returns(t, L, W, W))
 ask("q_sector_cuts", "v_guard_alert v_guard_action assets industries", f"SELECT 'base' AS label, 'P7' AS \"window\", arm_code AS arm, coalesce(sec, 'unclassified') AS sector, count(DISTINCT action_id) AS cuts FROM {ACT} x {SECT} x.asset WHERE \"window\" = 'P7' AND status = 'APPLIED' AND state = 'ENTER' AND layer = 1 GROUP BY 3, 4", lambda t: Q.sector_cuts(t, L, W))
@@ -197,14 +197,14 @@ def latest(src, key, day, *need):
     return f"(SELECT * FROM {src} m WHERE m.asset = {key} AND m.av <= {day} AND {conds})"
 
 
-ask("c1_quality_at_stop", "stops assets filings assessments", f"SELECT date AS \"stopDate\", ticker, roic, debt, score, rating, generated, masked AS \"pricesNotPublished\" FROM {ST} s LEFT JOIN LATERAL {latest(MET, 's.asset', 's.date', 'roic', 'debt')} m ON true LEFT JOIN LATERAL {latest(ASM, 's.asset', 's.date')} a ON true WHERE date <= DATE '1997-06-16'", lambda t: Q.quality_at_stop(t, L, W, DAY))
+ask("c1_quality_at_stop", "stops assets filings assessments", f"SELECT date AS \"stopDate\", ticker, roic, debt, score, rating, generated, masked AS \"pricesNotPublished\" FROM {ST} s LEFT JOIN LATERAL {latest(MET, 's.asset', 's.date', 'roic', 'debt')} m ON true LEFT JOIN LATERAL {latest(ASM, 's.asset', 's.date')} a ON true WHERE date <= DATE '1997-09-07'", lambda t: Q.quality_at_stop(t, L, W, DAY))
 PU = "(SELECT p.*, 'T' || sold_id AS sold, 'T' || p.asset_id AS bought, x.masked OR y.masked AS masked, x.industry AS i1, y.industry AS i2, order_date AS \"stopDate\" FROM purchases p JOIN assets x ON x.asset_id = sold_id JOIN assets y ON y.asset_id = p.asset_id WHERE win = 'P7')"
 ask("c2a_replacement_sectors", "purchases assets industries", f"SELECT \"stopDate\", sold AS \"soldTicker\", bought AS \"replacementTicker\", order_date AS \"orderDate\", execution_date AS \"executionDate\", a.sector AS \"soldSector\", b.sector AS \"replacementSector\", a.sector = b.sector AS \"sameSector\", masked AS \"pricesNotPublished\" FROM {PU} p JOIN industries a ON a.industry = i1 JOIN industries b ON b.industry = i2", lambda t: Q.replacement_sectors(t, L, W))
 ask("c2b_replacement_quality", "purchases assets filings assessments", f"""SELECT "stopDate", sold AS "soldTicker", bought AS "replacementTicker", m1.roic AS "soldRoic", m2.roic AS "replacementRoic", m1.debt AS "soldDebt", m2.debt AS "replacementDebt", a1.score AS "soldScore", a2.score AS "replacementScore", a1.generated AS "oldGenerated", a2.generated AS "newGenerated", masked AS "pricesNotPublished"
     FROM {PU} p LEFT JOIN LATERAL {latest(MET, 'p.sold', 'p.order_date', 'roic')} m1 ON m1.debt IS NOT NULL LEFT JOIN LATERAL {latest(MET, 'p.bought', 'p.order_date', 'roic')} m2 ON m2.debt IS NOT NULL
     LEFT JOIN {ASM} a1 ON a1.asset = p.sold AND a1.av <= p.order_date LEFT JOIN {ASM} a2 ON a2.asset = p.bought AND a2.av <= p.order_date""", lambda t: Q.replacement_quality(t, L, W))
-HD = "(SELECT w.arm_code AS arm, a.asset, final_target_weight AS weight, asset_symbol AS ticker, masked, industry FROM v_book_weight_daily w JOIN assets a ON a.asset_symbol = holding_key WHERE backtest_run_id = 7 AND date = DATE '1997-06-16' AND final_target_weight > 0)"
-D = "DATE '1997-06-16'"
+HD = "(SELECT w.arm_code AS arm, a.asset, final_target_weight AS weight, asset_symbol AS ticker, masked, industry FROM v_book_weight_daily w JOIN assets a ON a.asset_symbol = holding_key WHERE backtest_run_id = 7 AND date = DATE '1997-09-07' AND final_target_weight > 0)"
+D = "DATE '1997-09-07'"
 ask("c3_weighted_quality", "v_book_weight_daily assets filings", f"SELECT arm, CAST(CAST(sum(weight * roic) AS DOUBLE) / CAST(sum(weight) AS DOUBLE) AS DECIMAL(18,8)) AS \"weightedRoic\", CAST(CAST(sum(weight * debt) AS DOUBLE) / CAST(sum(weight) AS DOUBLE) AS DECIMAL(18,8)) AS \"weightedDebt\", sum(weight) AS \"coveredWeight\", count(DISTINCT h.asset) AS positions FROM {HD} h JOIN LATERAL {latest(MET, 'h.asset', D, 'roic', 'debt')} m ON true WHERE arm IN ('MARKOWITZ_BASE', 'TOPN_MV_GUARD') GROUP BY 1",
     lambda t: Q.weighted_quality(t, L, W, [ARM, "TOPN_MV_GUARD"], DAY).withColumn("weightedRoic", c("weightedRoic").cast("decimal(18,8)")).withColumn("weightedDebt", c("weightedDebt").cast("decimal(18,8)")))
 ask("c4a_vetoed_but_strong", "v_veto assets assessments", f"SELECT tk.ticker, rule_id AS \"ruleId\", score, rating, generated, masked AS \"pricesNotPublished\" FROM v_veto v {TK} v.asset_id JOIN LATERAL {latest(ASM, 'v.ticker', D)} a ON true WHERE window_id = 'P7' AND raised_on <= {D} AND (cleared_on IS NULL OR cleared_on > {D}) AND score >= 70", lambda t: Q.vetoed_but_strong(t, L, W, DAY, 70))

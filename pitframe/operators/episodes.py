@@ -16,13 +16,17 @@ from pyspark.sql import functions as F
 
 
 def day_flags(stops: DataFrame, blocked: DataFrame, reentry: DataFrame, rankings: DataFrame,
-              run: Sequence[str] = (), asset: str = "asset_id", day: str = "date") -> DataFrame:
-    """(run, asset, day, s, b, r, u): stop, block, reentry, and ranking day without the asset."""
+              run: Sequence[str] = (), asset: str = "asset_id", day: str = "date", opened: DataFrame | None = None) -> DataFrame:
+    """(run, asset, day, s, b, r, u): stop, block, reentry, and ranking day without the asset.
+
+    ``opened`` names assets that were open before these events, for which unranked days count too.
+    """
     keys = [*run, asset, day]
     ranked = rankings.select(*keys).distinct()
     dates = rankings.select(*run, day).distinct()
     blocks = blocked.select(*keys).distinct().join(dates, [*run, day], "left_semi")
-    touched = stops.select(*run, asset).unionByName(blocks.select(*run, asset)).distinct()
+    touched = stops.select(*run, asset).unionByName(blocks.select(*run, asset))
+    touched = (touched if opened is None else touched.unionByName(opened.select(*run, asset))).distinct()
     # the ranking days of a run are calendar days: one bounded array per run
     calendar = dates.groupBy(*run).agg(F.collect_list(day).alias("_days"))
     everyday = touched.join(calendar, list(run)) if run else touched.withColumn("_days", calendar.select("_days").scalar())
@@ -43,8 +47,12 @@ def episodes(stops: DataFrame, blocked: DataFrame, reentry: DataFrame, rankings:
     A reentry counts from the start day on, an unranked day only after it, both before the next
     start; a tie goes to ``not_ranked``.
     """
-    flags = day_flags(stops, blocked, reentry, rankings, run, asset, day)
-    keys = [*run, asset]
+    return fold(day_flags(stops, blocked, reentry, rankings, run, asset, day), [*run, asset], day)
+
+
+def fold(flags: DataFrame, keys: Sequence[str], day: str = "date") -> DataFrame:
+    """Episodes of day flags (one row per keys and day)."""
+    keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(day)
     state = F.when(F.col("s"), ~F.col("r")).when(F.col("r") | F.col("u"), False).otherwise(True)
     rows = flags.withColumn("_open", state)

@@ -47,16 +47,20 @@ def file_hashes(spark: SparkSession, folder: str, big: int = 1 << 30) -> DataFra
     return small.unionByName(large.mapInPandas(_hash_paths, "file string, actual string"))
 
 
-def verify_manifest(spark: SparkSession, folder: str, manifest: str = "SHA256SUMS") -> DataFrame:
+def compare_hashes(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """(file, expected, actual, status): ok, changed, missing or unlisted."""
-    expected, _ = parse_manifest(spark.read.text(f"{folder}/{manifest}"))
-    actual = file_hashes(spark, folder).filter(F.col("file") != manifest)
     both = expected.withColumn("file", F.substring_index("file", "/", -1)).join(actual, "file", "full_outer")
     status = (F.when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "unlisted")
               .when(F.col("actual") == F.col("expected"), "ok").otherwise("changed"))
     return both.withColumn("status", status)
 
 
+def verify_manifest(spark: SparkSession, folder: str, manifest: str = "SHA256SUMS") -> DataFrame:
+    """Every file of a folder against the manifest it carries."""
+    expected, _ = parse_manifest(spark.read.text(f"{folder}/{manifest}"))
+    return compare_hashes(expected, file_hashes(spark, folder).filter(F.col("file") != manifest))
+
+
 def discover_windows(files: DataFrame, label: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Windows named by ``<label>_<window>.db`` files in date order, and the unknown ones."""
     pattern = rf"^{label}_([PH][0-9]+|C[0-9]+|LIVE)\.db$"
