@@ -326,8 +326,9 @@ def ent_replacements(spark, sf):
 
 
 def retention_lines(spark, sf):
-    """One line per decision, its retained and rejected assets as arrays (few per decision day)."""
-    r = view(spark, sf, "retained").withColumn("stem", F.concat(F.lit("base_"), F.col("book_id").cast("string")))
+    """One line per decision and block of 20 asset ids, its retained and rejected assets as arrays."""
+    block = F.floor(F.col("asset_id") / 20).cast("string")
+    r = view(spark, sf, "retained").withColumn("stem", F.concat_ws("_", F.lit("base"), F.col("book_id").cast("string"), block))
     item = F.struct("asset_id", "counter", "cause")
     lines = r.groupBy("stem", "date").agg(F.array_sort(F.collect_list(F.when(F.col("kept"), item))).alias("retained"), F.array_sort(F.collect_list(F.when(~F.col("kept"), item))).alias("rejected"),
                                           F.array_sort(F.collect_list(F.when(~F.col("kept") & (F.col("cause") == "counter"), F.col("asset_id")))).alias("counter_dropped"), F.count(F.lit(1)).alias("pool_size"))
@@ -335,7 +336,7 @@ def retention_lines(spark, sf):
     return lines.select("stem", F.concat(F.lit("B_"), "stem").alias("book"), F.lit("g").alias("graph"), "date", F.struct("pool_size", ids.alias("held_outside"), "retained", "rejected", "counter_dropped", ids.alias("kept"), F.lit(0.5).alias("kept_weight"), F.col("pool_size").alias("candidate_size"), F.lit(3).alias("max_decisions"), F.lit(True).alias("enabled")).alias("retention"))
 
 
-RL = "(SELECT *, 'base_' || book_id AS stem FROM retained)"
+RL = "(SELECT *, 'base_' || book_id || '_' || (asset_id // 20) AS stem FROM retained)"
 
 
 @case("ent_retentions", oracle("retained assets",
@@ -355,7 +356,7 @@ def ent_decisions(spark, sf):
     pools = lines.select("stem", "date", F.lit("C").alias("cycle"), F.lit("R").alias("rebalance"), F.concat(F.transform("retention.retained", lambda x: x["asset_id"]), F.array(F.lit(-1).cast("bigint"))).alias("selected"))
     t, off = P.decisions(lines, pools)
     m = off.withColumn("mismatch", F.lit(True))
-    t = t.withColumn("stem", F.regexp_extract("subject", r"Decision_(base_\d+)_", 1)).select("stem", F.col("decisionDate").alias("date"), F.col("candidateSetSize").alias("pool"), F.size("refilledCandidate").alias("refilled"))
+    t = t.withColumn("stem", F.regexp_extract("subject", r"Decision_(base_\d+_\d+)_", 1)).select("stem", F.col("decisionDate").alias("date"), F.col("candidateSetSize").alias("pool"), F.size("refilledCandidate").alias("refilled"))
     return t.join(m, ["stem", "date"], "left").withColumn("mismatch", F.coalesce("mismatch", F.lit(False)))
 
 

@@ -49,13 +49,10 @@ def weighted_profile(spark, sf):
 
 
 @case("concentration", """
-    WITH t AS (SELECT l_suppkey, l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem GROUP BY 1, 2), s AS (SELECT l_suppkey, sum(q) AS s FROM t GROUP BY 1),
-      w AS (SELECT t.l_suppkey, l_partkey, CAST(CAST(q AS DOUBLE) / CAST(s AS DOUBLE) AS DECIMAL(12,8)) AS w FROM t JOIN s ON s.l_suppkey = t.l_suppkey)
+    WITH w AS (SELECT l_suppkey, l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) * 0.0001 AS DECIMAL(12,6)) AS w FROM lineitem GROUP BY 1, 2)
     SELECT l_suppkey, count(DISTINCT l_partkey) AS positions, sum(w * w) AS hhi, CAST(1.0 / CAST(sum(w * w) AS DOUBLE) AS DECIMAL(18,6)) AS effective_positions FROM w GROUP BY 1""")
 def concentration(spark, sf):
-    t = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum(dec("l_quantity")).alias("q"))
-    s = t.groupBy("l_suppkey").agg(F.sum("q").alias("s"))
-    w = t.join(s, "l_suppkey").select("l_suppkey", "l_partkey", (F.col("q").cast("double") / F.col("s").cast("double")).cast("decimal(12,8)").alias("w"))
+    w = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg((F.sum(dec("l_quantity")) * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,6)").alias("w"))
     return M.concentration(w, "w", ["l_suppkey"], "l_partkey").withColumn("effective_positions", F.col("effective_positions").cast("decimal(18,6)"))
 
 

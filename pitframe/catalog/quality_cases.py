@@ -212,12 +212,12 @@ def schema_version(spark, sf):
 
 
 @case("contract_diff", """
-    WITH a AS (SELECT source AS "view", list_sort(list(DISTINCT lang)) AS cols FROM documents GROUP BY 1)
-    SELECT "view", 'drift' AS severity, 'removed: zz' AS detail FROM a UNION ALL SELECT "view", 'note', 'added: ' || cols[1] FROM a UNION ALL SELECT 'ghost', 'drift', 'no longer defined'""")
+    WITH a AS (SELECT DISTINCT lang AS "view" FROM documents) SELECT "view", 'drift' AS severity, 'removed: zz' AS detail FROM a WHERE "view" = 'en' UNION ALL SELECT "view", 'note', 'added: c0' FROM a WHERE "view" = 'en'
+    UNION ALL SELECT "view", 'note', 'column order changed' FROM a WHERE "view" = 'fr' UNION ALL SELECT "view", 'drift', 'neither pinned nor listed' FROM a WHERE "view" = 'es' UNION ALL SELECT 'ghost', 'drift', 'no longer defined'""")
 def contract_diff(spark, sf):
-    a = table(spark, sf, "documents").groupBy(F.col("source").alias("view")).agg(F.array_sort(F.collect_set("lang")).alias("columns"))
-    pinned = {r["view"]: [*r["columns"][1:], "zz"] for r in a.collect()}  # one row per source
-    return diff_contracts(a, {**pinned, "ghost": ["x"]}, ())
+    a = table(spark, sf, "documents").groupBy(F.col("lang").alias("view")).agg(F.array_sort(F.collect_set(F.concat(F.lit("c"), (F.col("doc_id") % 3).cast("string")))).alias("columns"))
+    pinned = {"de": ["c0", "c1", "c2"], "en": ["c1", "c2", "zz"], "fr": ["c2", "c1", "c0"], "ghost": ["x"]}
+    return diff_contracts(a, pinned, ())
 
 
 @case("scan_news", "SELECT d.doc_id AS id, d.lang, l.quality, p.url FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN pages p ON p.page_id = d.doc_id WHERE d.n_chars > 500")

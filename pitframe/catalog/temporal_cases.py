@@ -24,8 +24,8 @@ def events(spark, sf, kind):
     return e.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
 
 
-def by_day(c):
-    return F.to_date(c)
+def by_hour(c):
+    return F.date_trunc("hour", c)
 
 
 @case("asof_latest", f"""
@@ -54,7 +54,7 @@ def asof_latest_require(spark, sf):
     SELECT e.event_id, e.user_id, p.fact_id FROM e ASOF LEFT JOIN p ON e.user_id = p.user_id AND e.ts >= p.fact_ts""")
 def asof_join(spark, sf):
     facts = events(spark, sf, "purchase").select(F.col("event_id").alias("fact_id"), "user_id", F.col("ts").alias("fact_ts"))
-    return T.asof_join(events(spark, sf, "error"), facts, ["user_id"], "ts", "fact_ts", bucket=by_day).select("event_id", "user_id", "fact_id")
+    return T.asof_join(events(spark, sf, "error"), facts, ["user_id"], "ts", "fact_ts", bucket=by_hour).select("event_id", "user_id", "fact_id")
 
 
 @case("asof_join_ties", f"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pitframe.operators.hierarchy import cycles
 from pitframe.operators.quads import TYPE, valid_graph
-from pitframe.session import cut_lineage
+from pitframe.session import cut_lineage, small_side
 
 IRI = r"^[^\x00-\x20<>\"{}|^`\\]+$"
 DAY = r"^\d{4}-\d{2}-\d{2}$"
@@ -285,7 +285,7 @@ def preflight(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_res
     plan = cut_lineage(plan_batch(batch, stored, schema, shape_results))
     clear = plan.filter("status = 'refused'").isEmpty()
     new = plan.filter("status = 'would-be-written'").select("graph")
-    return clear, plan, batch.join(F.broadcast(new), "graph", "left_semi") if clear else batch.limit(0)
+    return clear, plan, batch.join(small_side(new), "graph", "left_semi") if clear else batch.limit(0)
 
 
 def masked_prices(quads: DataFrame, mask: DataFrame, price_properties: Sequence[str], links: Sequence[str]) -> DataFrame:

@@ -190,7 +190,7 @@ def with_previous(
 
 def next_event(
     df: DataFrame, events: DataFrame, key: Sequence[str], ts: str, event_ts: str, out: str = "next_ts",
-    bucket_seconds: int = 86400,
+    bucket_seconds: int = 3600,
 ) -> DataFrame:
     """Each row with the time of its key's first strictly later event; NULL if there is none.
 
