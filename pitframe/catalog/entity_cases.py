@@ -87,7 +87,7 @@ def ent_rebalances(spark, sf):
 
 @case("ent_actions", oracle("v_guard_action assets v_book", (E.ACTION, f"SELECT v.*, b.book, b.graph, a.asset, 'GuardAlert_base_' || bwin || '_' || alert_id AS alert, 'GuardAction_' || stem || '_' || action_id AS subject FROM v_guard_action v JOIN {BK} b ON bid = book_id {AS} v.ticker")))
 def ent_actions(spark, sf):
-    return profile(melt(P.actions(view(spark, sf, "v_guard_action"), books(spark, sf), alert_table(spark, sf), assets(spark, sf)), E.ACTION))
+    return profile(melt(P.actions(view(spark, sf, "v_guard_action"), books(spark, sf), P.alert_ids(view(spark, sf, "v_guard_alert"), LABEL), assets(spark, sf)), E.ACTION))
 
 
 @case("ent_weights", oracle("v_book_weight_daily assets v_book", (E.WEIGHT, f"SELECT v.*, b.book, b.graph, a.asset, 'BookWeight_' || stem || '_' || strftime(date, '%Y%m%d') || '_' || holding_key AS subject FROM v_book_weight_daily v JOIN {BK} b ON bid = book_id {AS} v.holding_key")))

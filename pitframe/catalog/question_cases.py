@@ -55,7 +55,7 @@ c = F.col
 BUILD = {
     "StrategyBook": lambda t: P.books(t.v("v_book"), L),
     "GuardAlert": lambda t: alert_table(t.spark, t.sf),
-    "GuardAction": lambda t: P.actions(t.v("v_guard_action"), _books(t), t["GuardAlert"], t.v("assets")),
+    "GuardAction": lambda t: P.actions(t.v("v_guard_action"), _books(t), P.alert_ids(t.v("v_guard_alert"), L), t.v("assets")),
     "BookRebalance": lambda t: P.rebalances(t.v("v_book_rebalance"), _books(t)),
     "BookWeightDaily": lambda t: P.weights(t.v("v_book_weight_daily"), _books(t), t.v("assets")),
     "BookDailyPerformance": lambda t: P.performance(t.v("v_book_daily_performance"), _books(t)),

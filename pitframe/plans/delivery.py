@@ -10,13 +10,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pitframe.operators import gate, quality, reconcile, shapes
-from pitframe.operators.quads import ClassMap, melt
+from pitframe.operators.quads import DATATYPES, ClassMap, melt
 from pitframe.plans import entities as E
 from pitframe.plans import projections as P
 from pitframe.plans.contracts import EXPECTATIONS
+from pitframe.session import cut_lineage
 from pitframe.sources.sinks import append_graph
 
 BACKTEST_VIEWS = ("v_book", "v_book_rebalance", "v_guard_alert", "v_guard_action", "v_book_weight_daily",
@@ -27,9 +27,10 @@ def class_tables(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataF
     """The eight backtest classes of a delivery."""
     book = P.book_table(views["v_book"], label, slug)
     alert = P.alerts(views["v_guard_alert"], book, rules, assets, label, slug)
+    alert_ids = P.alert_ids(views["v_guard_alert"], label, slug)
     return [
         (E.BOOK, P.books(views["v_book"], label, slug)), (E.ALERT, alert), (E.REBALANCE, P.rebalances(views["v_book_rebalance"], book)),
-        (E.ACTION, P.actions(views["v_guard_action"], book, alert, assets)), (E.WEIGHT, P.weights(views["v_book_weight_daily"], book, assets)),
+        (E.ACTION, P.actions(views["v_guard_action"], book, alert_ids, assets)), (E.WEIGHT, P.weights(views["v_book_weight_daily"], book, assets)),
         (E.PERFORMANCE, P.performance(views["v_book_daily_performance"], book)), (E.SUMMARY, P.summaries(views["v_portfolio_period_summary"], book)),
         (E.TEST, P.tests(views["v_backtest_test"], label, slug)),
     ]
@@ -49,7 +50,6 @@ def shape_rules(tables: Sequence[tuple[ClassMap, DataFrame]]) -> list[shapes.Con
             if p.kind == "iri":
                 out.append(shapes.Constraint(shape, m.cls, name, "nodekind", "iri"))
             else:
-                from pitframe.operators.quads import DATATYPES
                 out.append(shapes.Constraint(shape, m.cls, name, "datatype", DATATYPES[p.kind]))
             if name in m.required:
                 out.append(shapes.Constraint(shape, m.cls, name, "minCount", "1"))
@@ -75,7 +75,7 @@ def load(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataFrame, st
     if boundary.stopped:
         return Load(True, boundary.reasons, None, None, boundary.failures)
     tables = class_tables(boundary.survivors, rules, assets, label, slug)
-    quads = as_quads(tables)
+    quads = cut_lineage(as_quads(tables))  # projected once; shapes, gate and write read the staged quads
     results = shapes.validate_shapes(quads, shape_rules(tables))
     schema = gate.GateSchema(leaf_classes=tuple(m.cls for m, _ in tables), relations=tuple(
         x for m, _ in tables for p in m.props if p.kind == "iri" for x in (p.name, p.inverse) if x))

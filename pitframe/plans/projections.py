@@ -51,14 +51,22 @@ def books(v_book: DataFrame, label: str, slug: str | None = None) -> DataFrame:
     return project(book_table(v_book, label, slug), E.BOOK)
 
 
+def _alert_id(label: str, slug: str | None) -> Column:
+    return mint_id("GuardAlert", F.lit(label), "window_id", *([F.lit(slug)] if slug else []), "alert_id")
+
+
+def alert_ids(v_alert: DataFrame, label: str, slug: str | None = None) -> DataFrame:
+    """Ids of alerts without their other links; all an action needs to point at its alert."""
+    return v_alert.select(_alert_id(label, slug).alias("subject"), F.col("alert_id").alias("alertId"), F.col("window_id").alias("windowId"))
+
+
 def alerts(v_alert: DataFrame, book: DataFrame, rules: DataFrame, assets: DataFrame, label: str, slug: str | None = None) -> DataFrame:
     """ENT-02: rule resolved by id, stop rules lose their price threshold."""
     runs = book.select(KEYED, "window_id", "graph").distinct()
     r = rules.select("rule_id", "rule_iri")
     df = v_alert.join(runs, [KEYED, "window_id"]).join(r, "rule_id", "left")
     df = with_asset(df, assets)
-    ident = mint_id("GuardAlert", F.lit(label), "window_id", *([F.lit(slug)] if slug else []), "alert_id")
-    df = df.withColumn("subject", ident).withColumn("threshold", S.suppress(F.col("threshold"), F.col("rule_id").startswith("L1_BP_STOP")))
+    df = df.withColumn("subject", _alert_id(label, slug)).withColumn("threshold", S.suppress(F.col("threshold"), F.col("rule_id").startswith("L1_BP_STOP")))
     return project(df, E.ALERT)
 
 

@@ -48,9 +48,14 @@ def file_hashes(spark: SparkSession, folder: str, big: int = 1 << 30) -> DataFra
 
 
 def compare_hashes(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """(file, expected, actual, status): ok, changed, missing or unlisted."""
+    """(file, expected, actual, status): ok, changed, missing, unlisted, or empty.
+
+    Spark lists no file of zero bytes, so one whose expected hash is that of no bytes is ``empty``
+    whether it is there or not.
+    """
     both = expected.withColumn("file", F.substring_index("file", "/", -1)).join(actual, "file", "full_outer")
-    status = (F.when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "unlisted")
+    no_bytes = F.col("expected") == F.sha2(F.lit("").cast("binary"), 256)
+    status = (F.when(F.col("actual").isNull() & no_bytes, "empty").when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "unlisted")
               .when(F.col("actual") == F.col("expected"), "ok").otherwise("changed"))
     return both.withColumn("status", status)
 

@@ -45,10 +45,8 @@ def _ddl(schema: StructType | str) -> str:
 
 
 def last_batch(spark: SparkSession, path: str, schema: StructType | str, before: int) -> DataFrame:
-    """What the latest batch before one has written; its number is one row on the driver."""
-    every = read_or_empty(spark, path, _ddl(schema) + ", batch bigint").filter(F.col("batch") < before)
-    top = every.agg(F.max("batch")).first()[0]
-    return every.filter(F.col("batch") == (-1 if top is None else top)).drop("batch")
+    """State the preceding batch has left; batch ids are consecutive, and an empty state is one too."""
+    return read_or_empty(spark, path, _ddl(schema) + ", batch bigint").filter(F.col("batch") == before - 1).drop("batch")
 
 
 def written(spark: SparkSession, path: str, schema: StructType | str, before: int | None = None) -> DataFrame:
@@ -136,14 +134,15 @@ def fold_episodes(path: str) -> Callable[[DataFrame, int], None]:
         still = eps.filter("released IS NULL").join(last, ["asset_id", "since"], "left_semi")
         write_batch(f"{path}/done")(eps.join(still.select("asset_id", "since"), ["asset_id", "since"], "left_anti"), batch)
         write_batch(f"{path}/open")(still, batch)
+        write_batch(f"{path}/mark")(df.sparkSession.range(1), batch)
     return each
 
 
 def episodes_so_far(spark: SparkSession, path: str) -> DataFrame:
     """Released episodes of all batches and the ones still open after the last."""
-    every = read_or_empty(spark, f"{path}/open", EPISODE_DDL + ", batch bigint")
-    top = every.agg(F.max("batch")).scalar()
-    return written(spark, f"{path}/done", EPISODE_DDL).unionByName(every.filter(F.col("batch") == top).drop("batch"))
+    top = read_or_empty(spark, f"{path}/mark", "id bigint, batch bigint").agg(F.max("batch")).scalar()
+    still = read_or_empty(spark, f"{path}/open", EPISODE_DDL + ", batch bigint").filter(F.col("batch") == top).drop("batch")
+    return written(spark, f"{path}/done", EPISODE_DDL).unionByName(still)
 
 
 def replace_day(root: str, expected: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
