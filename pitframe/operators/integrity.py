@@ -186,3 +186,17 @@ def filter_run(views: dict[str, DataFrame], book_id: int, book_code: str, window
             F.lit(name).alias("view"), F.col("removed").alias("reason"), "rows")
         removals = part if removals is None else removals.unionByName(part)
     return kept, removals
+
+
+def decision_index(dates: DataFrame, cycles: DataFrame, rankings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each decision date with its one completed cycle and the ids selected there, one row per id.
+
+    ``dates``: (date); ``cycles``: (cycle_run_id, as_of, status); ``rankings``: (cycle_run_id,
+    asset_id, selected). Second result: dates with no completed cycle or several.
+    """
+    done = cycles.filter("status = 'completed'").select("cycle_run_id", F.col("as_of").alias("date"))
+    per = dates.select("date").distinct().join(done, "date", "left").groupBy("date").agg(
+        F.count("cycle_run_id").alias("cycles"), F.min("cycle_run_id").alias("cycle_run_id"))
+    one = per.filter("cycles = 1").select("date", "cycle_run_id")
+    picked = rankings.filter(F.col("selected").cast("boolean")).select("cycle_run_id", "asset_id").distinct()
+    return one.join(picked, "cycle_run_id", "left"), per.filter("cycles <> 1").select("date", "cycles")

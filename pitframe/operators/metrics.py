@@ -160,6 +160,11 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def sample_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The first n rows by key: a validation sample that is the same on every run."""
+    return df.orderBy(*keys).limit(n)
+
+
 def segment_identity(df: DataFrame, keys: Sequence[str], parent: str, segment: str, start: str, end: str, sums: Sequence[str]) -> DataFrame:
     """Segments of a parent must follow each other day by day and add up to it: violations.
 

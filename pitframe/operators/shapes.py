@@ -84,17 +84,21 @@ def check_values(quads: DataFrame, constraints: Sequence[Constraint], types: Dat
     return _out(hits.select("graph", "shape", "focus", "path", F.col("kind").alias("constraint"), F.col("object").alias("value")))
 
 
-def check_cardinality(quads: DataFrame, constraints: Sequence[Constraint], types: DataFrame) -> DataFrame:
-    """minCount, maxCount and hasValue: distinct values counted once per (focus, property)."""
+def check_cardinality(quads: DataFrame, constraints: Sequence[Constraint], types: DataFrame, is_set: bool = False) -> DataFrame:
+    """minCount, maxCount and hasValue: distinct values counted once per (focus, property).
+
+    ``is_set`` says no quad is repeated; the counts then need no distinct before them.
+    """
     spark = quads.sparkSession
     table = constraint_table(spark, constraints)
     paths = sorted({c.path for c in constraints})
     wanted = sorted({c.value for c in constraints if c.kind == "hasValue" and c.value is not None})
     values = quads.filter(F.col("predicate").isin(*paths)).select(
-        "graph", F.col("subject").alias("focus"), F.col("predicate").alias("path"), "object", "datatype", "lang").distinct()
-    counts = values.groupBy("graph", "focus", "path").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.collect_set(F.when(F.col("object").isin(*(wanted or [""])), F.col("object"))).alias("held"))
+        "graph", F.col("subject").alias("focus"), F.col("predicate").alias("path"), "object", "datatype", "lang")
+    values = values if is_set else values.distinct()
+    held = F.collect_set(F.when(F.col("object").isin(*wanted), F.col("object"))) if wanted else F.array().cast("array<string>")
+    counts = values.groupBy("graph", "focus", "path").agg(F.count(F.lit(1)).alias("n"), *([held.alias("held")] if wanted else []))
+    counts = counts if wanted else counts.withColumn("held", held)
     need = types.join(F.broadcast(table), "cls")
     rows = need.join(counts, ["graph", "focus", "path"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     bad = (
@@ -185,7 +189,7 @@ def check_node(quads: DataFrame, shape: str, path: str, constraints: Sequence[Co
 def validate_shapes(
     quads: DataFrame, constraints: Sequence[Constraint], pairs: DataFrame | None = None,
     context: DataFrame | None = None, types: DataFrame | None = None,
-    extra: Sequence[Callable[[DataFrame, DataFrame], DataFrame]] = (),
+    extra: Sequence[Callable[[DataFrame, DataFrame], DataFrame]] = (), is_set: bool = False,
 ) -> DataFrame:
     """All violations of a batch; ``graph`` is a column, so many batches are validated in one job.
 
@@ -197,7 +201,7 @@ def validate_shapes(
     if chosen := _of(constraints, VALUE_KINDS):
         parts.append(check_values(quads, chosen, types))
     if chosen := _of(constraints, CARDINALITY):
-        parts.append(check_cardinality(quads, chosen, types))
+        parts.append(check_cardinality(quads, chosen, types, is_set))
     if chosen := _of(constraints, ("class",)):
         known = types.select("focus", "cls")
         if context is not None:

@@ -76,7 +76,7 @@ def load(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataFrame, st
         return Load(True, boundary.reasons, None, None, boundary.failures)
     tables = class_tables(boundary.survivors, rules, assets, label, slug)
     quads = cut_lineage(as_quads(tables))  # projected once; shapes, gate and write read the staged quads
-    results = shapes.validate_shapes(quads, shape_rules(tables))
+    results = shapes.validate_shapes(quads, shape_rules(tables), is_set=True)
     schema = gate.GateSchema(leaf_classes=tuple(m.cls for m, _ in tables), relations=tuple(
         x for m, _ in tables for p in m.props if p.kind == "iri" for x in (p.name, p.inverse) if x))
     clear, plan, new = gate.preflight(quads, stored, schema, results)
