@@ -31,6 +31,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.driver.memory"] = "8g"
+    conf["spark.checkpoint.compress"] = "true"
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf.update(extra)
     for key, value in conf.items():
         builder = builder.config(key, value)
