@@ -49,6 +49,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_hash(text: str = "text") -> Column:
     """With doc_id it names a row; rows that share both are repeated rows with equal results."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

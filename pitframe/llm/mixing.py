@@ -102,43 +102,66 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int =
     return take
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 42) -> DataFrame:
-    """(id, th, source, size, source_size, target, times): how often the mix repeats each row.
-
-    ``times`` is floor(target / source size) for all rows of a source and one more for the chosen
-    ones, at most ``repeats``. A null source is a source; null texts have size zero; rows of size
-    zero add no words and get ``times`` one. Repeated rows are chosen one by one and are alike, so
-    which of them is chosen shows nowhere. An empty table gives no rows. Reruns agree.
-    """
+def picks(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[float], share: float, repeats: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, goals by source, chosen rows): what ``mix`` and ``mixed_rows`` put together."""
     u = F.pmod(F.xxhash64(F.lit(seed), id_col, text_hash(text_col)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rows = stored(docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), u.alias("u")))
     hist = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     goal = targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, repeats)
-    goal = stored(goal.withColumn("base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")).withColumn("budget", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long")))
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    to_plan = hist.filter("size > 0").join(goal, same(hist, goal)).select(hist["source"], "size", "n", "base", "budget")
+    base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    goal = goal.withColumn("base", base).withColumn("budget", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long"))
+    goal = stored(goal.select(F.col("source").alias("goal_source"), "source_size", "target", "base", "budget"))
+    to_plan = hist.filter("size > 0").join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).select("source", "size", "n", "budget")
 
     def plan(x: pd.DataFrame) -> pd.DataFrame:
         x = x.sort_values("size")
         x["pick"] = plan_source(x["size"].to_numpy(np.int64), x["n"].to_numpy(np.int64), int(x["budget"].iloc[0]))
-        return x[["source", "size", "n", "base", "pick"]]
+        return x[["source", "size", "n", "pick"]]
     kind = docs.schema[source_col].dataType.simpleString()
     # a group is one source's distinct lengths: bounded by the longest document, not by the rows
-    quota = stored(to_plan.groupBy("source").applyInPandas(plan, f"source {kind}, size long, n long, base long, pick long"))
-    quota = quota.withColumn("bins", F.ceil(F.col("n") / CHUNK))
+    quota = stored(to_plan.groupBy("source").applyInPandas(plan, f"source {kind}, size long, n long, pick long").filter("pick > 0"))
+    quota = quota.select(F.col("source").alias("s"), F.col("size").alias("z"), "pick", F.ceil(F.col("n") / CHUNK).alias("bins"))
 
-    partial = quota.filter("pick > 0")  # each length's rows are ranked in bins of about CHUNK, cut by the seeded hash
-    binned = rows.join(partial, same(rows, partial) & (rows["size"] == partial["size"])).select("id", "th", rows["source"], rows["size"], "u", "pick", F.floor(F.col("u") * F.col("bins")).alias("bin"))
+    # each length's rows are ranked in bins of about CHUNK, cut by the seeded hash
+    binned = rows.join(quota, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).select("id", "th", "source", "size", "u", "pick", F.floor(F.col("u") * F.col("bins")).alias("bin"))
     binned = stored(binned)
     per_bin = binned.groupBy("source", "size", "bin", "pick").agg(F.count("*").alias("c"))
     upto = F.coalesce(F.sum("c").over(W.partitionBy("source", "size").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    room = stored(per_bin.select("source", "size", "bin", F.least(F.col("pick") - upto, F.col("c")).alias("room")).filter("room > 0"))
-    r = binned.join(room.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bin").alias("k"), "room"), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bin") == F.col("k")))
+    room = stored(per_bin.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bin").alias("k"), F.least(F.col("pick") - upto, F.col("c")).alias("room")).filter("room > 0"))
+    r = binned.join(room, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bin") == F.col("k")))
     r = r.withColumn("rank", F.row_number().over(W.partitionBy("source", "size", "bin").orderBy("u", "id", "th")))
-    chosen = stored(r.filter("rank <= room").groupBy("id", "th").agg(F.count("*").alias("picked")))
-    # repeated rows: the first `picked` of the equal rows are chosen
-    named = rows.join(F.broadcast(goal) if goal.count() <= 10_000 else goal, same(rows, goal)).select("id", "th", rows["source"], "size", "source_size", "target", "base")
-    named = named.join(chosen.select(F.col("id").alias("i"), F.col("th").alias("t"), "picked"), F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left")
-    nth = F.row_number().over(W.partitionBy("id", "th").orderBy("size"))
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("base") + F.when(nth <= F.coalesce("picked", F.lit(0)), 1).otherwise(0))
-    return named.select("id", "th", "source", "size", "source_size", "target", times.cast("long").alias("times"))
+    chosen = r.filter("rank <= room").groupBy("id", "th", "source").agg(F.count("*").alias("picked"))
+    return rows, goal, stored(chosen.select(F.col("id").alias("pick_id"), F.col("th").alias("pick_th"), F.col("source").alias("pick_source"), "picked"))
+
+
+def with_times(rows: DataFrame, goal: DataFrame, chosen: DataFrame, id_col: str, th_col: str, source_col: str, size: Column) -> DataFrame:
+    """``rows`` with the columns of ``goal`` and ``times``; of equal rows the first ``picked`` are the chosen ones."""
+    some = F.broadcast(goal) if goal.count() <= 10_000 else goal  # one short row a source
+    x = rows.join(some, rows[source_col].eqNullSafe(F.col("goal_source")))
+    same = F.col(id_col).eqNullSafe(F.col("pick_id")) & (F.col(th_col) == F.col("pick_th")) & F.col(source_col).eqNullSafe(F.col("pick_source"))
+    x = x.join(chosen, same, "left")
+    nth = F.row_number().over(W.partitionBy(id_col, th_col, source_col).orderBy(th_col))
+    times = F.when(size == 0, 1).otherwise(F.col("base") + F.when(nth <= F.coalesce("picked", F.lit(0)), 1).otherwise(0))
+    return x.withColumn("times", times.cast("long"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 42) -> DataFrame:
+    """(id, th, source, size, source_size, target, times): how often the mix repeats each row.
+
+    ``times`` is floor(target / source size) for all rows of a source and one more for the chosen
+    ones, at most ``repeats``. A null source is a source; null texts have size zero; rows of size
+    zero add no words and get ``times`` one. Repeated rows are chosen one by one and are alike, so
+    which of them is chosen shows nowhere. An empty table gives no rows. Reruns agree.
+    """
+    rows, goal, chosen = picks(docs, id_col, text_col, source_col, weights, share, repeats, seed)
+    return with_times(rows, goal, chosen, "id", "th", "source", F.col("size")).select("id", "th", "source", "size", "source_size", "target", "times")
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 42) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as ``mix`` says, all columns as they were."""
+    _, goal, chosen = picks(docs, id_col, text_col, source_col, weights, share, repeats, seed)
+    own = {c: F.col(f"_own{i}").alias(c) for i, c in enumerate(docs.columns)}  # the caller's names can't clash
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"_own{i}") for i, c in enumerate(docs.columns)], text_hash(f"`{text_col}`").alias("_th"), word_count(text_col).alias("_size"))
+    at = {c: f"_own{docs.columns.index(c)}" for c in (id_col, source_col)}
+    x = with_times(kept, goal, chosen, at[id_col], "_th", at[source_col], F.col("_size")).filter("times > 0")
+    return x.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*own.values())

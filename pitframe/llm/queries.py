@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitframe.llm import decontaminate, mixing, simhash, token_count, token_store
+from pitframe.llm import ann, decontaminate, line_dedup, mixing, quality, simhash, suffix_dedup, token_count, token_store, toxicity
 from pitframe.llm.common import ship
 from pitframe.llm.common import table as read_table
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return x.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return x.select(F.col("item").alias("item_id"), F.col("id").alias("doc_id"), "n_shingles", "n_shared")
@@ -39,9 +44,28 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_mixing, op6_token_store, op8_token_counts)}
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = table(spark, sf_dir, "embeddings")
+    return ann.nearest(x, x.filter("vec_id % 20 = 0"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_simhash, op4_mixing, op5_nearest, op6_token_store, op7_quality, op8_token_counts, op9_toxicity, op10_line_dedup)}
 SQL: dict[str, str] = {}
 
 
 def all_queries() -> dict:
-    return dict(QUERIES)
+    """With the pipeline, which lives beside the package's folder."""
+    import corpus_pipeline
+    return QUERIES | {"pipeline": corpus_pipeline.run}

@@ -26,6 +26,7 @@ from pitframe.llm.common import components, fresh, stored, text_hash
 SEED = 42
 SHINGLE = 3
 PAIR_BUCKET = 32
+SENT_KEYS = 1 << 20
 SLICE = 1 << 16
 
 
@@ -67,7 +68,8 @@ def links(fps: DataFrame) -> DataFrame:
     by_key = stored(variants(fps).groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"))
     twos = by_key.filter("n = 2").select("a", "b").filter(close)
     large = by_key.filter("n > 2").select("key", "n")
-    members = stored(variants(fps).join(large, "key"))
+    few = large.count() <= SENT_KEYS  # 16 MB; else both sides are shuffled on the key
+    members = stored(variants(fps).join(F.broadcast(large) if few else large, "key"))
     some = members.filter(F.col("n") <= PAIR_BUCKET)
     joined = some.select("key", F.col("fp").alias("a")).join(some.select("key", F.col("fp").alias("b")), "key").filter("a < b").select("a", "b").filter(close)
     hot = members.filter(F.col("n") > PAIR_BUCKET).select("fp").distinct()
