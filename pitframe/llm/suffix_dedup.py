@@ -183,14 +183,17 @@ def repeated(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram
     alive = contexts.withColumn("js", F.lit(None).cast("array<int>"))
     for i, span in enumerate(spans):
         rows = stored(spans_of(alive.select("k", "at", "lo", "hi", "bytes", "js"), span, length))
-        cores = stored(rows.groupBy("core", "j").agg(F.count("*").alias("c")).filter("c > 1").select("core", "j"))
-        wholes = stored(rows.filter("whole IS NOT NULL").groupBy("whole", "j").agg(F.count("*").alias("c")).filter("c > 1").select("whole", "j"))
-        left = stored(rows.join(cores, ["core", "j"], "left_semi"))
-        done = left.join(wholes, ["whole", "j"], "left_semi").select("k", "at", "j")
+        cores = stored(rows.groupBy("core", "j").agg(F.count("*").alias("c")).filter("c > 1"))
+        wholes = stored(rows.filter("whole IS NOT NULL").groupBy("core", "j", "whole").agg(F.count("*").alias("w"), F.min(F.struct("k", "at")).alias("one")).filter("w > 1"))
+        left = stored(rows.join(cores.select("core", "j"), ["core", "j"], "left_semi"))
+        done = left.join(wholes.select("whole", "j"), ["whole", "j"], "left_semi").select("k", "at", "j")
         ranges = ranges.unionByName(done.select("k", (F.col("at") - (F.col("j") + 1) * span + 1).alias("begin"), (F.col("at") - F.col("j") * span + length).alias("end")))
         if i + 1 < len(spans):
             finer = span // spans[i + 1]
-            todo = left.join(wholes, ["whole", "j"], "left_anti").select("k", "at", F.explode(F.transform(F.sequence(F.lit(0), F.lit(finer - 1)), lambda m: F.col("j") * finer + m)).alias("j2"))
+            cut_more = left.join(wholes.select("whole", "j"), ["whole", "j"], "left_anti").select("k", "at", "j")
+            # one of those that are done stays to be compared with, where others share its core
+            stay = wholes.join(cores, ["core", "j"]).filter("c > w").select("one.k", "one.at", "j")
+            todo = cut_more.unionByName(stay).select("k", "at", F.explode(F.transform(F.sequence(F.lit(0), F.lit(finer - 1)), lambda m: F.col("j") * finer + m)).alias("j2"))
             todo = stored(todo.groupBy("k", "at").agg(F.collect_set("j2").alias("js")))
             alive = contexts.join(todo, ["k", "at"])
     return ranges
