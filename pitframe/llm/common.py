@@ -37,8 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder under the one the cluster shares; only a session that names none gets its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc = spark.sparkContext
+        root = sc._pitframe_folder = getattr(sc, "_pitframe_folder", None) or tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

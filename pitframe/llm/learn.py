@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,21 +17,27 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> tuple[DataFrame, dict[int, float]]:
-    """(documents with ``y``, share of each class that was sampled): at most ``most`` ids of each class.
+def chosen_fold(value: object) -> bool:
+    """``held_out`` of one id, outside Spark."""
+    return zlib.crc32(str("" if value is None else value).encode()) % FOLDS == 0
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int, id_col: str = "doc_id", seed: int = 7) -> tuple[DataFrame, dict[int, float]]:
+    """(rows of ``docs`` with ``y``, share of each class that was sampled): at most ``most`` ids of each class.
 
-    Ids are drawn by seeded hash among labelled documents that aren't held out and are not over
-    ``LONGEST`` bytes. Null ids and labels are left out; of several labels of an id the largest counts.
+    ``docs`` has columns id and text, and no y. Ids are drawn by seeded hash among labelled documents
+    that aren't held out and are not over ``LONGEST`` bytes. Null ids and labels are left out; of
+    several labels of an id the largest counts.
     """
-    known = labels.filter(F.col(target).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(target).cast("int").alias("y"))
-    there = docs.filter(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) <= LONGEST).select(id_col).filter(F.col(id_col).isNotNull() & ~held_out(id_col)).distinct()
-    pool = known.join(there, id_col)
+    known = labels.select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("y")).filter("y IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
+    there = docs.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    pool = known.join(there.select("id").filter(F.col("id").isNotNull() & ~held_out("id")).distinct(), "id")
     sizes = {int(r["y"]): int(r["n"]) for r in pool.groupBy("y").agg(F.count("*").alias("n")).collect()}
     drawn = None
     for y in sizes:
-        part = pool.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), F.col(id_col))).limit(most)
+        part = pool.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), F.col("id"))).limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
-    rows = docs.limit(0).withColumn("y", F.lit(0)) if drawn is None else docs.join(F.broadcast(drawn), id_col)  # at most 2 * most ids
+    rows = docs.limit(0).withColumn("y", F.lit(0)) if drawn is None else there.join(F.broadcast(drawn), "id")  # at most 2 * most ids
     return rows, {y: min(1.0, most / n) for y, n in sizes.items()}
 
 

@@ -110,17 +110,21 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, weight: np.ndarray, po
     return w["a"], w["b"]
 
 
-def featured(rows: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, str, str], extra: list[str]) -> DataFrame:
+def narrow(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, str, str]) -> DataFrame:
+    s, v, z = meta_cols
+    return docs.select(F.col(id_col).alias("id"), F.col(s).cast("string").alias("source"), F.col(v).cast("string").alias("lang"), F.col(z).cast("long").alias("size"), F.col(text_col).alias("text"))
+
+
+def featured(rows: DataFrame, extra: list[str]) -> DataFrame:
     """(id, extra, a, b): both views' features as packed floats."""
-    kind = rows.schema[id_col].dataType.simpleString()
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             a = [text_features(t).tobytes() for t in x["text"]]
             b = [meta_features(s, v, None if pd.isna(z) else int(z)).tobytes() for s, v, z in zip(x["source"], x["lang"], x["size"], strict=True)]
             yield x[["id", *extra]].assign(a=a, b=b)
-    s, v, z = meta_cols
-    x = rows.select(F.col(id_col).alias("id"), *[F.col(c).cast("int") for c in extra], F.col(s).cast("string").alias("source"), F.col(v).cast("string").alias("lang"), F.col(z).cast("long").alias("size"), F.col(text_col).alias("text"))
+    x = rows.select("id", *[F.col(c).cast("int") for c in extra], "source", "lang", "size", "text")
     return x.mapInPandas(run, ", ".join([f"id {kind}", *[f"{c} int" for c in extra], "a binary", "b binary"]))
 
 
@@ -134,13 +138,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     No held-out row is used. Where the sample has one class only, the score is that class's share.
     """
-    rows, share = labelled_sample(docs, labels, target, sample, id_col, text_col)
-    x = featured(rows, id_col, text_col, meta_cols, ["y"]).toPandas()
+    own = narrow(docs, id_col, text_col, meta_cols)
+    rows, share = labelled_sample(own, labels, target, sample, id_col)
+    x = featured(rows, ["y"]).toPandas()
     x["h"] = [zlib.crc32(v) for v in x["a"]]
     x = x.sort_values(["id", "h"], kind="stable").reset_index(drop=True)
-    short = docs.filter(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) <= LONGEST).filter(~held_out(id_col) & F.col(id_col).isNotNull())
-    ids = short.select(id_col).join(labels.filter(F.col(target).isNotNull()).select(id_col), id_col, "left_anti").distinct().orderBy(F.xxhash64(F.lit(13), F.col(id_col))).limit(pool)
-    u = featured(docs.join(F.broadcast(ids), id_col), id_col, text_col, meta_cols, []).toPandas()
+    short = own.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST).filter(~held_out("id") & F.col("id").isNotNull())
+    known = labels.filter(F.col(target).isNotNull()).select(F.col(id_col).alias("id"))
+    ids = short.select("id").join(known, "id", "left_anti").distinct().orderBy(F.xxhash64(F.lit(13), F.col("id"))).limit(pool)
+    u = featured(short.join(F.broadcast(ids), "id"), []).toPandas()
     u["h"] = [zlib.crc32(v) for v in u["a"]]
     u = u.sort_values(["id", "h"], kind="stable")
     y = (x["y"].to_numpy() == 1).astype(float)
@@ -184,6 +190,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
                 za, zb = model.views(a, b)
                 p = model.score(a, b)
                 yield pd.DataFrame({"id": x["id"], "held_out": x["held_out"], "score": p, "text_score": sigmoid(za), "meta_score": sigmoid(zb), "keep": p >= 0.5})
-    s, v, z = meta_cols
-    rows = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(s).cast("string").alias("source"), F.col(v).cast("string").alias("lang"), F.col(z).cast("long").alias("size"), F.col(text_col).alias("text"))
+    rows = narrow(docs, id_col, text_col, meta_cols).withColumn("held_out", held_out("id"))
     return rows.mapInPandas(run, f"id {kind}, held_out boolean, score double, text_score double, meta_score double, keep boolean")
