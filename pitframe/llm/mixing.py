@@ -52,24 +52,24 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 
 def reachable(lengths: Sequence[int], counts: Sequence[int], budget: int) -> dict[int, int]:
-    """Documents by length whose sizes sum as near as possible to ``budget`` without passing it.
+    """Documents by length whose sizes sum as near as possible to ``budget``; of two equal, the smaller sum.
 
     Bounded knapsack: a bit set holds the sums that can be reached, counts are split into powers of
-    two, and the sets before each item lead back from the best sum to the items.
+    two, and the sets before each item lead back from the best sum to the items. Sums beyond twice
+    the budget are no nearer than none.
     """
-    mask, sums, steps = (1 << (budget + 1)) - 1, 1, []
+    mask, sums, steps = (1 << (2 * budget + 1)) - 1, 1, []
     for n, c in zip(lengths, counts, strict=True):
-        c, k = min(c, budget // n), 1
-        while c > 0:
+        c, k = min(c, 2 * budget // n), 1
+        while c > 0 and not sums >> budget & 1:
             k = min(k, c)
             steps.append((n, k, sums))
             sums |= (sums << (n * k)) & mask
             c, k = c - k, 2 * k
-            if sums >> budget & 1:
-                break
-        if sums >> budget & 1:
-            break
-    best, taken = sums.bit_length() - 1, {}
+    under = (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    over = sums >> (budget + 1)
+    above = budget + (over & -over).bit_length()
+    best, taken = above if over and above - budget < budget - under else under, {}
     for n, k, had in reversed(steps):
         if not had >> best & 1:
             taken[n] = taken.get(n, 0) + k
@@ -95,7 +95,7 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int =
             take[i] += more
             left -= more * int(lengths[i])
     spare = counts - take
-    ok = (spare > 0) & (lengths <= left)
+    ok = (spare > 0) & (lengths <= 2 * left)
     at = {int(n): i for i, n in enumerate(lengths)}
     for n, k in reachable(lengths[ok].tolist(), spare[ok].tolist(), left).items():
         take[at[n]] += k

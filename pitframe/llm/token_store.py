@@ -184,7 +184,8 @@ def tokens_at(spark: SparkSession, path: str, places: DataFrame, place: str = "p
             return pd.DataFrame({"place": pd.Series(dtype="int64"), "token": pd.Series(dtype="int64")})
         codes = Codes(bytes(right["codes"].iloc[0]))
         return pd.DataFrame({"place": left["place"], "token": [codes.get(int(i)) for i in left["at"]]})
-    return hit.groupBy("part", "seq").cogroup(shards.select("part", "seq", "codes").groupBy("part", "seq")).applyInPandas(run, "place long, token long")
+    codes = spark.read.parquet(path).select(F.col("part").alias("p"), F.col("seq").alias("q"), "codes")
+    return hit.groupBy("part", "seq").cogroup(codes.groupBy("p", "q")).applyInPandas(run, "place long, token long")
 
 
 def token_digest(docs: DataFrame, name: str = "word_bpe_49k.json", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -230,7 +230,7 @@ def test_budget_is_met_exactly_where_sums_allow():
         sums = {0}
         for a, k in zip(n, c, strict=True):
             sums = {s + a * i for s in sums for i in range(k + 1)}
-        assert sum(a * k for a, k in took.items()) == max(s for s in sums if s <= budget)
+        assert abs(sum(a * k for a, k in took.items()) - budget) == min(abs(s - budget) for s in sums)
         assert all(took.get(a, 0) <= k for a, k in zip(n, c, strict=True))
 
 
