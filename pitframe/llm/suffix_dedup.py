@@ -158,13 +158,13 @@ def repeated(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram
     some = stored(first.join(again, "core", "left_semi"))
     discard(first)
 
-    classes = stored(some.groupBy("core", "whole").agg(F.count("*").alias("n")))
+    # a class by its first bytes and all bytes of the run: how many anchors, and one of them
+    classes = stored(some.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("k", "at", "lo", "hi")).alias("r")))
     mixed = stored(classes.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core"))
-    known = classes.filter("n > 1")
+    known = classes.filter("n > 1").select("core", "whole")
     sure = some.join(known, ["core", "whole"], "left_semi").select("k", (F.col("at") - F.col("hi")).alias("begin"), (F.col("at") - F.col("lo") + length).alias("end")).distinct()
-    # one anchor for each class that shares its first bytes with another class
-    open_ = classes.join(mixed, "core", "left_semi")
-    reps = some.join(open_, ["core", "whole"]).groupBy("core", "whole").agg(F.min(F.struct("k", "at", "lo", "hi", "n")).alias("r")).select("r.*")
+    # only classes that share their first bytes with another class are cut further
+    reps = classes.join(mixed, "core", "left_semi").select("r.*", "n")
     ranges = stored(sure)
     reps = stored(reps)
     one_text = docs.select(text_hash(text_col).alias("k"), F.col(text_col).alias("text"))
