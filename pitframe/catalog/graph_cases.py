@@ -410,10 +410,10 @@ def batch(spark, sf):
 
 OSQL = """o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, 'urn:graph:ingest:SECTOR:' || CAST(CAST(date_trunc('quarter', o_orderdate) AS DATE) AS VARCHAR) AS graph, l.* FROM orders JOIN
     (SELECT l_orderkey, max(CAST(l_shipdate AS DATE)) AS ship, min(CAST(l_shipdate AS DATE)) AS first FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey),
-    c AS (SELECT *, 'clearedOn' AS p, CASE WHEN k % 10 = 9 THEN 'the store does not hold it' WHEN k % 10 = 8 THEN 'it is not a record that clearedOn closes' WHEN k % 10 = 7 THEN 'it is already closed'
-        WHEN ship <= day THEN 'is not after the date it opened on' WHEN k % 3 = 0 AND ship < first THEN 'is before the latest date a cycle saw it' END AS w FROM o WHERE k % 2 = 0
-      UNION ALL SELECT *, 'lastSeenOn', CASE WHEN k % 10 = 9 THEN 'the store does not hold it' WHEN k % 10 = 8 THEN 'it is not a record that lastSeenOn is added to' WHEN k % 10 = 7 THEN 'it is already closed, so no cycle saw it after'
-        WHEN ship < day THEN 'is before the date it opened on' WHEN k % 3 = 0 AND ship = first THEN 'is already a stored sighting' END FROM o WHERE k % 5 < 3)"""
+    c AS (SELECT *, 'clearedOn' AS p, CASE WHEN k % 10 = 9 THEN 'not-stored' WHEN k % 10 = 8 THEN 'wrong-record' WHEN k % 10 = 7 THEN 'closed-before'
+        WHEN ship <= day THEN 'not-after-opening' WHEN k % 3 = 0 AND ship < first THEN 'before-last-sighting' END AS w FROM o WHERE k % 2 = 0
+      UNION ALL SELECT *, 'lastSeenOn', CASE WHEN k % 10 = 9 THEN 'not-stored' WHEN k % 10 = 8 THEN 'wrong-record' WHEN k % 10 = 7 THEN 'closed-before'
+        WHEN ship < day THEN 'before-opening' WHEN k % 3 = 0 AND ship = first THEN 'sighting-stored' END FROM o WHERE k % 5 < 3)"""
 
 
 @case("refused_closures", f"WITH {OSQL} SELECT graph, 'closings' AS \"check\", 'V_' || k || ' ' || p || ' : ' || CAST(ship AS VARCHAR) || ' ' || w AS reason FROM c WHERE w IS NOT NULL")
@@ -421,6 +421,24 @@ def refused_closures(spark, sf):
     return G.refused_closures(batch(spark, sf), stored(spark, sf), SCHEMA)
 
 
+@case("gate_unreadable_dates", """
+    WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders),
+      b AS (SELECT k, day + 9 AS d, 'clearedOn' AS p, CASE WHEN k % 6 IN (0, 1, 2) THEN 'unreadable-date' END AS w FROM o WHERE k % 2 = 0
+        UNION ALL SELECT k, day + 9, 'lastSeenOn', CASE WHEN k % 6 IN (0, 1, 2) THEN 'unreadable-date' WHEN k % 2 = 0 AND k % 6 = 4 THEN 'unreadable-date' END FROM o)
+    SELECT 'V_' || k || ' ' || p || ' : ' || CASE WHEN p = 'clearedOn' AND k % 6 = 4 THEN 'soon' ELSE CAST(d AS VARCHAR) END || ' ' || w AS reason
+    FROM (SELECT k, d, p, CASE WHEN p = 'clearedOn' AND k % 6 = 4 THEN 'unreadable-date' ELSE w END AS w FROM b) WHERE w IS NOT NULL""")
+def gate_unreadable_dates(spark, sf):
+    """Stored openings (k % 6 = 0), all sightings (1) and one of two sightings (2) unreadable; given closings (4)."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")).withColumn("s", F.concat(F.lit("V_"), F.col("o_orderkey").cast("string")))
+    s, kind, day = F.col("s"), F.col("o_orderkey") % 6, F.col("day").cast("string")
+    later = F.date_add("day", 9).cast("string")
+    held = (_q(o, s, "rdf:type", F.lit("Veto"), "iri").unionByName(_q(o, s, "raisedOn", F.when(kind == 0, "not-a-date").otherwise(day)))
+            .unionByName(_q(o.filter(kind == 1), s, "lastSeenOn", F.lit("yesterday"))).unionByName(_q(o.filter(kind == 2), s, "lastSeenOn", F.lit("2024-13-01")))
+            .unionByName(_q(o.filter(kind == 2), s, "lastSeenOn", F.date_add("day", 1).cast("string"))))
+    given = _q(o.filter("o_orderkey % 2 = 0"), s, "clearedOn", F.when(kind == 4, "soon").otherwise(later)).unionByName(_q(o, s, "lastSeenOn", later))
+    return G.refused_closures(given, held, SCHEMA).select("reason")
+
+
 @case("plan_batch", f"""
     WITH {OSQL}, n AS (SELECT graph, count(*) AS triples, count(w) AS problems, min('V_' || k || ' ' || p || ' : ' || CAST(ship AS VARCHAR) || ' ' || w) FILTER (w IS NOT NULL) AS reason FROM c GROUP BY 1)
     SELECT graph, triples, CASE WHEN problems > 0 THEN 'refused' ELSE 'would-be-written' END AS status, CASE WHEN problems > 0 THEN 'closings' END AS "check", CASE WHEN problems > 0 THEN problems END AS problems, reason FROM n""")
@@ -451,32 +469,32 @@ def unknown_types(spark, sf):
 @case("restatement_problems", """
     WITH e AS (SELECT o_orderkey AS k, CAST(floor(o_orderkey / 7) AS BIGINT) * 7 + (o_orderkey * o_orderkey + 3 * CAST(floor(o_orderkey / 7) AS BIGINT)) % 7 AS t, o_custkey % 2 AS lab FROM orders),
       j AS (SELECT e.*, n.k AS nk, n.lab AS nlab FROM e LEFT JOIN e n ON n.k = e.t),
-      w AS (SELECT *, CASE WHEN k = t THEN 'does not replace itself' WHEN nk IS NULL THEN 'its replacement is not a section this batch declares' WHEN lab <> nlab THEN 'its replacement has another item label' END AS w FROM j)
+      w AS (SELECT *, CASE WHEN k = t THEN 'replaces-itself' WHEN nk IS NULL THEN 'undeclared-replacement' WHEN lab <> nlab THEN 'other-label' END AS w FROM j)
     SELECT 'S_' || k || ' : ' || w AS reason FROM w WHERE w IS NOT NULL
-    UNION ALL SELECT 'S_' || t || ' replaces several sections' FROM w WHERE w IS NULL GROUP BY t HAVING count(*) > 1""")
+    UNION ALL SELECT 'S_' || t || ': replaces-several' FROM w WHERE w IS NULL GROUP BY t HAVING count(*) > 1""")
 def restatement_problems(spark, sf):
     k, block = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 7)
     name = lambda c: F.concat(F.lit("S_"), c.cast("string"))
     o = table(spark, sf, "orders")
     q = (_q(o, name(k), "rdf:type", F.lit("SECFilingSection"), "iri").unionByName(_q(o, name(k), "supersededBy", name(block * 7 + (k * k + block * 3) % 7), "iri"))
          .unionByName(_q(o, name(k), "itemLabel", F.col("o_custkey") % 2)))
-    return G.restatement_problems(q, SCHEMA).filter(~F.col("reason").startswith("replacements loop")).select("reason")
+    return G.restatement_problems(q, SCHEMA).filter(~F.col("reason").startswith("loop: ")).select("reason")
 
 
 @case("restatement_loops", """
     WITH RECURSIVE x AS (SELECT o_orderkey AS s, CAST(floor(o_orderkey / 7) AS BIGINT) * 7 + (o_orderkey * o_orderkey + 3 * CAST(floor(o_orderkey / 7) AS BIGINT)) % 7 AS t FROM orders), e AS (SELECT 'S_' || s AS s, 'S_' || t AS t FROM x WHERE s <> t),
       w AS (SELECT s, t AS cur, 1 AS n, least(s, t) AS low FROM e UNION ALL SELECT w.s, e.t, n + 1, least(low, e.t) FROM w JOIN e ON e.s = w.cur WHERE n < 8 AND w.cur <> w.s)
-    SELECT DISTINCT 'replacements loop from ' || s AS reason FROM w WHERE cur = s AND low = s""")
+    SELECT DISTINCT 'loop: ' || s AS reason FROM w WHERE cur = s AND low = s""")
 def restatement_loops(spark, sf):
     k, block = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 7)
     name = lambda c: F.concat(F.lit("S_"), c.cast("string"))
     o = table(spark, sf, "orders")
     q = _q(o, name(k), "rdf:type", F.lit("SECFilingSection"), "iri").unionByName(_q(o, name(k), "supersededBy", name(block * 7 + (k * k + block * 3) % 7), "iri"))
-    return G.restatement_problems(q, SCHEMA).filter(F.col("reason").startswith("replacements loop")).select("reason")
+    return G.restatement_problems(q, SCHEMA).filter(F.col("reason").startswith("loop: ")).select("reason")
 
 
 @case("refused_supersessions", """
-    SELECT 'S_' || o_orderkey || ' : ' || CASE o_orderkey % 5 WHEN 0 THEN 'the store does not hold it' WHEN 1 THEN 'it is not a section' WHEN 2 THEN 'it is already superseded' WHEN 3 THEN 'its replacement has another item label' END AS reason FROM orders WHERE o_orderkey % 5 < 4""")
+    SELECT 'S_' || o_orderkey || ' : ' || CASE o_orderkey % 5 WHEN 0 THEN 'not-stored' WHEN 1 THEN 'not-a-section' WHEN 2 THEN 'superseded-before' WHEN 3 THEN 'other-label' END AS reason FROM orders WHERE o_orderkey % 5 < 4""")
 def refused_supersessions(spark, sf):
     o, k = table(spark, sf, "orders"), F.col("o_orderkey")
     old, new = F.concat(F.lit("S_"), k.cast("string")), F.concat(F.lit("T_"), k.cast("string"))
@@ -495,7 +513,7 @@ def current_sections(spark, sf):
     return G.current_sections(q, SCHEMA)
 
 
-@case("taken_ids", "SELECT 'V_' || o_orderkey || ' is already in the store' AS reason FROM orders WHERE o_orderkey % 10 <> 9 AND o_orderkey % 4 = 0")
+@case("taken_ids", "SELECT 'V_' || o_orderkey || ': id-stored' AS reason FROM orders WHERE o_orderkey % 10 <> 9 AND o_orderkey % 4 = 0")
 def taken_ids(spark, sf):
     o = _orders(spark, sf).filter("o_orderkey % 4 = 0")
     return G.taken_ids(_q(o, F.col("s"), "rdf:type", F.lit("Veto"), "iri", graph=F.col("g")), stored(spark, sf)).select("reason")

@@ -28,13 +28,25 @@ def events(spark, sf):
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def in_batches(spark, df, out, parts):
+    """Write a table as one file a batch and stream the files back one at a time, in order."""
+    for i, part in enumerate(parts):
+        df.filter(part).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    return J.file_stream(spark, f"{out}/in", spark.read.parquet(f"{out}/in").schema, files_per_batch=1)
+
+
 @case("stream_tumbling_counts", """
-    SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2""")
+    WITH b AS (SELECT *, CASE WHEN event_id % 50 = 0 AND CAST(ts AS DATE) < DATE '2024-01-10' THEN 1 ELSE 0 END AS back FROM events),
+      h AS (SELECT max(ts) AS high FROM b WHERE back = 0)
+    SELECT date_trunc('day', ts) AS window_start, event_type, count(*) FILTER (WHERE back = 0 OR date_trunc('day', ts) + INTERVAL 1 DAY > high - INTERVAL 10 MINUTE) AS n,
+      count(*) FILTER (WHERE back = 1 AND date_trunc('day', ts) + INTERVAL 1 DAY <= high - INTERVAL 10 MINUTE) AS late FROM b, h GROUP BY 1, 2""")
 def stream_tumbling_counts(spark, sf):
+    """Two batches: the second brings rows whose windows have closed."""
     out = scratch(spark)
-    J.run_available(J.tumbling_counts(events(spark, sf), "ts", ["event_type"]), f"{out}/cp", J.write_batch(f"{out}/rows"))
-    rows = J.written(spark, f"{out}/rows", "window_start timestamp, event_type string, n bigint")
-    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    back = (F.col("event_id") % 50 == 0) & (F.col("ts") < "2024-01-10")
+    J.run_available(in_batches(spark, e, out, [~back, back]), f"{out}/cp", J.tumbling_counts(f"{out}/rows", "ts", ["event_type"]))
+    return J.window_counts(spark, f"{out}/rows", "event_type string").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @case("stream_members", """
@@ -56,20 +68,29 @@ def stream_checks(spark, sf):
     return J.written(spark, f"{out}/rows", "event_id bigint, failed string")
 
 
-@case("stream_ingest", "SELECT DISTINCT user_id FROM events")
+@case("stream_ingest", "SELECT user_id, 1 AS times FROM (SELECT DISTINCT user_id FROM events)")
 def stream_ingest(spark, sf):
-    """One row per id, run twice: the second run must add nothing."""
+    """Three batches, the last one older than the others, then all of them again into the same folder."""
     out = scratch(spark)
-    for attempt in ("a", "b"):
-        s = J.first_seen(events(spark, sf), "event_id", "ts").select("user_id")
-        J.run_available(s, f"{out}/cp-{attempt}", J.ingest_new(f"{out}/rows-{attempt}", "user_id"))
-    return J.written(spark, f"{out}/rows-b", "user_id bigint")
-
-
-@case("stream_late", "SELECT 'on time' AS fate, count(*) AS \"rows\" FROM events")
+    e = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    late, middle = F.col("ts") < "2024-01-05", F.col("user_id") % 2 == 0
+    s = in_batches(spark, e, out, [~late & middle, ~late & ~middle, late])
+    J.run_available(s.select("user_id"), f"{out}/cp", J.ingest_new(f"{out}/rows", "user_id"))
+    again = J.ingest_new(f"{out}/rows", "user_id")
+    for batch in (10, 11):  # what a second run of the job would bring
+        again(e.select("user_id"), batch)
+    return J.written(spark, f"{out}/rows", "user_id bigint").groupBy("user_id").agg(F.count(F.lit(1)).alias("times"))
+
+
+@case("stream_late", """
+    WITH b AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS back FROM events), h AS (SELECT max(ts) AS high FROM b WHERE back = 0)
+    SELECT CASE WHEN back = 0 OR ts >= high THEN 'on time' WHEN ts < high - INTERVAL 3 DAY THEN 'lost' ELSE 'late' END AS fate, count(*) AS "rows" FROM b, h GROUP BY 1""")
 def stream_late(spark, sf):
+    """Two batches; rows of the second are on time, late or lost by the highest time of the first."""
     out = scratch(spark)
-    J.run_available(events(spark, sf), f"{out}/cp", J.settle_late(out, "ts", 3600))
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    back = F.col("event_id") % 3 == 0
+    J.run_available(in_batches(spark, e, out, [~back, back]), f"{out}/cp", J.settle_late(out, "ts", 3 * 86_400))
     rows = J.written(spark, f"{out}/rows", "event_id bigint, fate string")
     return rows.groupBy("fate").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -138,15 +159,15 @@ def scan_csv(spark, sf):
     return good.withColumn("part", F.lit("row")).unionByName(n.select("k", none("decimal(10,4)").alias("v"), none("date").alias("d"), F.col("reason").alias("part")))
 
 
-@case("scan_json_doc", "SELECT o_orderkey AS k, o_orderstatus AS s FROM orders")
+@case("scan_json_doc", "SELECT o_orderkey AS k, o_orderstatus AS s FROM orders UNION ALL SELECT count(DISTINCT o_orderkey // 500), 'spare' FROM orders")
 def scan_json_doc(spark, sf):
     out = scratch(spark)
     o = table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 500).alias("doc"), F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s")).alias("r"))
     docs = o.groupBy("doc").agg(F.collect_list("r").alias("rows"))  # at most 500 rows per document
-    docs.select(F.to_json(F.struct("doc", "rows")).alias("value")).repartition(8).write.option("lineSep", "\n").text(out)
-    lines = spark.read.text(out)  # one document per line stands for one per file here
-    schema = T.StructType.fromDDL("doc bigint, rows array<struct<k:bigint,s:string>>")
-    return lines.select(F.inline(F.from_json("value", schema)["rows"]))
+    docs.select(F.to_json(F.struct("doc", "rows", F.lit(1).alias("spare"))).alias("value")).write.option("maxRecordsPerFile", 1).text(out)  # a file a document
+    rows, extra = scans.scan_json_doc(spark, out, T.StructType.fromDDL("doc bigint, rows array<struct<k:bigint,s:string>>"), "rows")
+    lacking = extra.groupBy("key").agg(F.count(F.lit(1)).alias("k")).select("k", F.col("key").alias("s"))
+    return rows.select("k", "s").unionByName(lacking)
 
 
 @case("scan_rankings", "SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, user_id AS asset_id FROM events WHERE event_type = 'purchase'")

@@ -117,6 +117,9 @@ def stored_state(subjects: DataFrame, stored: DataFrame, schema: GateSchema) ->
         subjects.select("subject").distinct(), "subject", "left_semi")
     p, o = F.col("predicate"), F.col("object")
     aggs = [F.max(p == TYPE).alias("held"), F.max(p == schema.per_run_marker).alias("per_run")]
+    dates = {*schema.dated} | {x.opened for x in (*schema.closable.values(), *schema.appendable.values())}
+    for name in sorted(dates):  # a date that can't be read can't be compared, and isn't hidden by one that can
+        aggs.append(F.count(F.when((p == name) & day_of(o).isNull(), 1)).alias(f"bad_{name}"))
     for prop, c in (*schema.closable.items(), *schema.appendable.items()):
         aggs.append(F.max((p == TYPE) & o.isin(*c.classes)).alias(f"cls_{prop}"))
         aggs.append(F.min(F.when(p == prop, o)).alias(f"first_{prop}"))
@@ -128,33 +131,38 @@ def stored_state(subjects: DataFrame, stored: DataFrame, schema: GateSchema) ->
     return rows.groupBy("subject").agg(*aggs)
 
 
-def _closing_refusal(prop: str, c: Closable) -> Column:
+def why_not_closed(prop: str, c: Closable) -> Column:
     day, opened = day_of(F.col("day")), day_of(F.col(f"open_{prop}"))
     last = day_of(F.col(f"last_{c.last_seen}")) if c.last_seen else F.lit(None).cast("date")
+    unread = day.isNull() | (F.col(f"bad_{c.opened}") > 0)
+    if c.last_seen:
+        unread = unread | (F.col(f"bad_{c.last_seen}") > 0)
     return (
-        F.when(F.col("n_dates") > 1, "is given several dates in the batch")
-        .when(~F.coalesce("held", F.lit(False)), "the store does not hold it")
-        .when(~F.col(f"cls_{prop}") | F.col("per_run"), f"it is not a record that {prop} closes")
-        .when(F.col(f"first_{prop}").isNotNull(), "it is already closed")
-        .when(F.col(f"nopen_{prop}") > 1, "the store holds several opening dates")
-        .when((F.col(f"nopen_{prop}") == 1) & (opened.isNull() | day.isNull()), "cannot be compared with the stored opening date")
-        .when((day < opened) | ((day == opened) & ~F.col(f"incl_{prop}")), "is not after the date it opened on")
-        .when(last.isNotNull() & (day < last), "is before the latest date a cycle saw it"))
+        F.when(F.col("n_dates") > 1, "several-dates")
+        .when(~F.coalesce("held", F.lit(False)), "not-stored")
+        .when(~F.col(f"cls_{prop}") | F.col("per_run"), "wrong-record")
+        .when(F.col(f"first_{prop}").isNotNull(), "closed-before")
+        .when(F.col(f"nopen_{prop}") > 1, "several-openings")
+        .when(unread, "unreadable-date")
+        .when((day < opened) | ((day == opened) & ~F.col(f"incl_{prop}")), "not-after-opening")
+        .when(last.isNotNull() & (day < last), "before-last-sighting"))
 
 
-def _append_refusal(prop: str, a: Appendable) -> Column:
+def why_not_added(prop: str, a: Appendable) -> Column:
     day, opened, last = day_of(F.col("day")), day_of(F.col(f"open_{prop}")), day_of(F.col(f"last_{prop}"))
     ends = day_of(F.col("_ends"))
+    unread = day.isNull() | (F.col(f"bad_{a.opened}") > 0) | (F.col(f"bad_{prop}") > 0) | (F.col("_ends").isNotNull() & ends.isNull())
     return (
-        F.when(F.col("n_dates") > 1, "is given several dates in the batch")
-        .when(~F.coalesce("held", F.lit(False)), "the store does not hold it")
-        .when(~F.col(f"cls_{prop}"), f"it is not a record that {prop} is added to")
-        .when(F.col(f"first_{a.ended}").isNotNull(), "it is already closed, so no cycle saw it after")
-        .when(F.col(f"nopen_{prop}") > 1, "the store holds several opening dates")
-        .when(day < opened, "is before the date it opened on")
-        .when(day < last, "is before the latest sighting")
-        .when(day == last, "is already a stored sighting")
-        .when(day > ends, f"is after the {a.ended} the batch gives it"))
+        F.when(F.col("n_dates") > 1, "several-dates")
+        .when(~F.coalesce("held", F.lit(False)), "not-stored")
+        .when(~F.col(f"cls_{prop}"), "wrong-record")
+        .when(F.col(f"first_{a.ended}").isNotNull(), "closed-before")
+        .when(F.col(f"nopen_{prop}") > 1, "several-openings")
+        .when(unread, "unreadable-date")
+        .when(day < opened, "before-opening")
+        .when(day < last, "before-last-sighting")
+        .when(day == last, "sighting-stored")
+        .when(day > ends, "after-its-end"))
 
 
 def refused_closures(batch: DataFrame, stored: DataFrame, schema: GateSchema) -> DataFrame:
@@ -166,9 +174,9 @@ def refused_closures(batch: DataFrame, stored: DataFrame, schema: GateSchema) ->
     rows = values.join(state, "subject", "left").join(ends, ["graph", "subject"], "left")
     why = None
     for prop, c in schema.closable.items():
-        why = F.when(F.col("property") == prop, _closing_refusal(prop, c)) if why is None else why.when(F.col("property") == prop, _closing_refusal(prop, c))
+        why = F.when(F.col("property") == prop, why_not_closed(prop, c)) if why is None else why.when(F.col("property") == prop, why_not_closed(prop, c))
     for prop, a in schema.appendable.items():
-        why = why.when(F.col("property") == prop, _append_refusal(prop, a))
+        why = why.when(F.col("property") == prop, why_not_added(prop, a))
     return rows.withColumn("_w", why).filter("_w IS NOT NULL").select(
         "graph", F.lit("closings").alias("check"), F.concat_ws(" ", "subject", "property", F.lit(":"), "day", "_w").alias("reason"))
 
@@ -198,19 +206,19 @@ def restatement_problems(batch: DataFrame, schema: GateSchema) -> DataFrame:
     rows = r.join(new, ["graph", "new"], "left").join(old, ["graph", "old"], "left")
     fine = lambda c: F.coalesce(F.col(c), F.lit(False))
     why = (
-        F.when(F.col("n_targets") > 1, "is given several replacements")
-        .when(F.col("old") == F.col("new"), "does not replace itself")
-        .when(~fine("new_section"), "its replacement is not a section this batch declares")
-        .when(fine("old_typed") & ~fine("old_section"), "it is not a section")
-        .when(fine("old_typed") & (F.col("old_label") != F.col("new_label")), "its replacement has another item label"))
+        F.when(F.col("n_targets") > 1, "several-replacements")
+        .when(F.col("old") == F.col("new"), "replaces-itself")
+        .when(~fine("new_section"), "undeclared-replacement")
+        .when(fine("old_typed") & ~fine("old_section"), "not-a-section")
+        .when(fine("old_typed") & (F.col("old_label") != F.col("new_label")), "other-label"))
     rows = rows.withColumn("_w", why)
     first = rows.filter("_w IS NOT NULL").select("graph", F.concat_ws(" ", "old", F.lit(":"), "_w").alias("reason"))
     shared = rows.filter("_w IS NULL").groupBy("graph", "new").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        "graph", F.concat(F.col("new"), F.lit(" replaces several sections")).alias("reason"))
+        "graph", F.concat(F.col("new"), F.lit(": replaces-several")).alias("reason"))
     edges = r.filter("n_targets = 1 AND old <> new").select(
         F.concat_ws("\x1f", "graph", "old").alias("start"), F.concat_ws("\x1f", "graph", "new").alias("end"))
     loops = cycles(edges).select(F.split("smallest", "\x1f").alias("_p")).select(
-        F.col("_p")[0].alias("graph"), F.concat(F.lit("replacements loop from "), F.col("_p")[1]).alias("reason"))
+        F.col("_p")[0].alias("graph"), F.concat(F.lit("loop: "), F.col("_p")[1]).alias("reason"))
     return first.unionByName(shared).unionByName(loops).select("graph", F.lit("restatements").alias("check"), "reason")
 
 
@@ -222,11 +230,11 @@ def refused_supersessions(batch: DataFrame, stored: DataFrame, schema: GateSchem
     new = _labels(batch, schema, ["graph", "subject"]).select("graph", F.col("subject").alias("new"), F.col("label").alias("new_label"))
     rows = r.join(held, "old", "left").join(new, ["graph", "new"], "left")
     why = (
-        F.when(~F.coalesce("typed", F.lit(False)), "the store does not hold it")
-        .when(~F.col("section"), "it is not a section")
-        .when(F.col("superseded").isNotNull(), "it is already superseded")
-        .when(F.col("n_labels") > 1, "the store holds several item labels")
-        .when(F.col("label") != F.col("new_label"), "its replacement has another item label"))
+        F.when(~F.coalesce("typed", F.lit(False)), "not-stored")
+        .when(~F.col("section"), "not-a-section")
+        .when(F.col("superseded").isNotNull(), "superseded-before")
+        .when(F.col("n_labels") > 1, "several-labels")
+        .when(F.col("label") != F.col("new_label"), "other-label"))
     return rows.withColumn("_w", why).filter("_w IS NOT NULL").select(
         "graph", F.lit("supersessions").alias("check"), F.concat_ws(" ", "old", F.lit(":"), "_w").alias("reason"))
 
@@ -242,7 +250,7 @@ def taken_ids(batch: DataFrame, stored: DataFrame) -> DataFrame:
     mine = typed(batch)
     theirs = typed(stored).withColumnRenamed("graph", "_g")
     hits = mine.join(theirs, "subject").filter(F.col("graph") != F.col("_g")).select("graph", "subject").distinct()
-    return hits.select("graph", F.lit("ids").alias("check"), F.concat(F.col("subject"), F.lit(" is already in the store")).alias("reason"))
+    return hits.select("graph", F.lit("ids").alias("check"), F.concat(F.col("subject"), F.lit(": id-stored")).alias("reason"))
 
 
 ORDER = ("target", "types", "untyped", "restatements", "shapes", "closings", "supersessions", "ids")

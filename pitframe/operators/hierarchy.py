@@ -11,7 +11,7 @@ from pitframe.operators.quads import TYPE
 from pitframe.session import cut_lineage
 
 
-def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_rounds: int = 32) -> DataFrame:
+def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """Every (descendant, ancestor) pair, each node its own ancestor too.
 
     Path lengths double per round, so a hierarchy of depth d takes log2(d) rounds; lineage is cut
@@ -21,7 +21,7 @@ def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_
     nodes = e.select("descendant").union(e.select("ancestor")).distinct()
     known = cut_lineage(e.unionByName(nodes.select("descendant", F.col("descendant").alias("ancestor"))).distinct())
     size = known.count()
-    for _ in range(max_rounds):
+    while True:
         hop = known.select(F.col("descendant").alias("_m"), F.col("ancestor").alias("_a"))
         step = known.join(hop, known.ancestor == hop["_m"]).select("descendant", F.col("_a").alias("ancestor"))
         known = cut_lineage(step.distinct())  # reflexive pairs keep the shorter paths
@@ -29,7 +29,6 @@ def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_
         if grown == size:
             return known
         size = grown
-    raise RuntimeError(f"closure still growing after {max_rounds} rounds")
 
 
 def entail(types: DataFrame, pairs: DataFrame, cls: str = "cls") -> DataFrame:
@@ -64,20 +63,19 @@ def cycles(edges: DataFrame, start: str = "start", end: str = "end") -> DataFram
     return ring.groupBy(F.col("low").alias("smallest")).agg(F.count(F.lit(1)).alias("length"))
 
 
-def slice_terms(seeds: DataFrame, edges: DataFrame, described: DataFrame, max_rounds: int = 32) -> DataFrame:
+def slice_terms(seeds: DataFrame, edges: DataFrame, described: DataFrame) -> DataFrame:
     """Seeds plus their ancestors, expanded only through described parents: (term, seed)."""
     ok = edges.join(described.select(F.col("term").alias("parent")).distinct(), "parent", "left_semi")
     ok = ok.select(F.col("child"), F.col("parent")).distinct()
     found = cut_lineage(seeds.select("term").distinct())
     frontier = found
-    for _ in range(max_rounds):
+    while True:  # one level a round, until none is new
         up = frontier.join(ok, frontier.term == ok.child).select(F.col("parent").alias("term")).distinct()
         fresh = cut_lineage(up.join(found, "term", "left_anti"))
         if fresh.isEmpty():
             flag = seeds.select("term").distinct().withColumn("seed", F.lit(True))
             return found.join(flag, "term", "left").withColumn("seed", F.coalesce("seed", F.lit(False)))
         found, frontier = cut_lineage(found.unionByName(fresh)), fresh
-    raise RuntimeError(f"slice still growing after {max_rounds} rounds")
 
 
 def references(batch: DataFrame) -> DataFrame:
@@ -88,8 +86,7 @@ def references(batch: DataFrame) -> DataFrame:
     return linked.join(typed, ["graph", "subject"], "left_anti")
 
 
-def fetch_context(refs: DataFrame, store: DataFrame, predicates: Sequence[str], links: Sequence[str],
-                  max_rounds: int = 16) -> DataFrame:
+def fetch_context(refs: DataFrame, store: DataFrame, predicates: Sequence[str], links: Sequence[str]) -> DataFrame:
     """Stored quads about referenced nodes, limited to the predicates the shapes read.
 
     Nodes linked by the class-checked properties are followed until no new node appears.
@@ -97,13 +94,12 @@ def fetch_context(refs: DataFrame, store: DataFrame, predicates: Sequence[str],
     wanted = store.filter(F.col("predicate").isin(TYPE, *predicates))
     seen = cut_lineage(refs.select("subject").distinct())
     frontier = seen
-    for _ in range(max_rounds):
+    while True:
         hop = wanted.filter(F.col("predicate").isin(*links)).join(frontier, "subject", "left_semi")
         fresh = cut_lineage(hop.select(F.col("object").alias("subject")).distinct().join(seen, "subject", "left_anti"))
         if fresh.isEmpty():
             return wanted.join(seen, "subject", "left_semi")
         seen, frontier = cut_lineage(seen.unionByName(fresh)), fresh
-    raise RuntimeError(f"context still growing after {max_rounds} rounds")
 
 
 def curated_schema(quads: DataFrame, predicates: Sequence[str], max_length: int = 400) -> DataFrame:

@@ -55,6 +55,7 @@ class Pair:
     right: str
     null: str = "fail"  # or "skip"
     where: Where = field(default_factory=dict)
+    until: str | None = None
 
 
 @dataclass(frozen=True)
@@ -294,7 +295,7 @@ def group_mean_failures(df: DataFrame, rule: GroupMean) -> DataFrame:
 
 def cascade(
     marked: Mapping[str, DataFrame], rules: Mapping[str, Sequence[tuple[str, Sequence[str]]]],
-    keys: Mapping[str, Column], max_rounds: int = 16,
+    keys: Mapping[str, Column],
 ) -> dict[str, DataFrame]:
     """Rows to drop per view: the failing ones and everything that shares a group with a dropped one.
 
@@ -313,7 +314,7 @@ def cascade(
         taken[t, on] = seed if (t, on) not in taken else _merge(taken[t, on], seed, on)
     taken = {k: cut_lineage(v) for k, v in taken.items()}
     sizes = {k: v.count() for k, v in taken.items()}
-    for _ in range(max_rounds):
+    while True:  # groups only grow, so the rounds end with the longest chain of shared groups
         fresh = dict(taken)
         for s, t, on in links:
             for (view, by), groups in taken.items():
@@ -331,8 +332,6 @@ def cascade(
         if now == sizes:
             break
         sizes = now
-    else:
-        raise RuntimeError(f"cascade still growing after {max_rounds} rounds")
     out = {}
     for name, df in marked.items():
         rows = df.withColumn("cascaded_from", F.lit(None).cast("string"))

@@ -9,10 +9,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from pitframe.operators import gate, quality, reconcile, shapes
-from pitframe.operators.quads import DATATYPES, ClassMap, melt
+from pitframe.operators.quads import DATATYPES, ClassMap, id_collisions, melt, missing_required
+from pitframe.operators.rules import rule_problems
 from pitframe.plans import entities as E
 from pitframe.plans import projections as P
 from pitframe.plans.contracts import EXPECTATIONS
@@ -58,6 +60,48 @@ def shape_rules(tables: Sequence[tuple[ClassMap, DataFrame]]) -> list[shapes.Con
     return out
 
 
+# Child views of a book and the columns that name their rows.
+CHILDREN = {
+    "v_book_rebalance": ("rebalance_id",), "v_guard_action": ("action_id",), "v_book_weight_daily": ("book_id", "date", "holding_key"),
+    "v_book_daily_performance": ("book_id", "date"), "v_portfolio_period_summary": ("book_id", "segment"),
+}
+
+
+def _named(view: str, df: DataFrame, key: Sequence[str], problem: str | Column) -> DataFrame:
+    why = F.lit(problem) if isinstance(problem, str) else problem
+    return df.select(F.lit(view).alias("view"), F.concat_ws("/", *[F.col(c).cast("string") for c in key]).alias("key"), why.alias("problem"))
+
+
+def open_rules(rules: DataFrame) -> DataFrame:
+    """The version of each rule that is in force; :func:`rule_problems` reports an id open twice."""
+    return rules.filter("valid_to IS NULL")
+
+
+def link_problems(views: Mapping[str, DataFrame], rules: DataFrame) -> DataFrame:
+    """(view, key, problem) of every row that links to nothing, or to something that disagrees with it."""
+    books, alerts, actions = views["v_book"], views["v_guard_alert"], views["v_guard_action"]
+    parts = [_named("rules", rule_problems(rules), ["rule_id"], F.col("problem")),
+             _named("v_guard_alert", P.alert_problems(alerts, books, open_rules(rules).dropDuplicates(["rule_id"])), ["alert_id"], F.col("problem"))]
+    for view, key in CHILDREN.items():
+        child = views[view].withColumn("_key", F.concat_ws("/", *[F.col(c).cast("string") for c in key]))
+        parts.append(_named(view, P.child_problems(child, books, "_key"), ["_key"], F.concat(F.lit("book: "), F.col("violation"))))
+    window = books.select("book_id", "window_id")
+    lost = actions.filter("alert_id IS NOT NULL").join(window, "book_id").join(alerts.select("alert_id", "window_id"), ["alert_id", "window_id"], "left_anti")
+    parts.append(_named("v_guard_action", lost, ["action_id"], "alert: none in its window"))
+    parts.append(_named("v_portfolio_period_summary", P.segment_problems(views["v_portfolio_period_summary"]), ["book_id", "segment"], "segment: not of its window"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def class_problems(tables: Sequence[tuple[ClassMap, DataFrame]]) -> DataFrame:
+    """(view, key, problem) of class tables: ids shared or missing, required properties missing."""
+    parts = []
+    for m, t in tables:
+        parts.append(_named(m.cls, id_collisions(t, "subject"), ["subject"], F.when(F.col("subject").isNull(), "id: none").otherwise("id: shared")))
+        if m.required:
+            parts.append(_named(m.cls, missing_required(t, m), ["subject"], F.concat(F.lit("missing: "), F.col("property"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @dataclass
 class Load:
     stopped: bool
@@ -74,7 +118,13 @@ def load(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataFrame, st
     boundary = quality.validate(views, wanted)
     if boundary.stopped:
         return Load(True, boundary.reasons, None, None, boundary.failures)
-    tables = class_tables(boundary.survivors, rules, assets, label, slug)
+    broken = cut_lineage(link_problems(boundary.survivors, rules))
+    if not broken.isEmpty():
+        return Load(True, ["rows link to nothing"], None, None, broken)
+    tables = class_tables(boundary.survivors, open_rules(rules), assets, label, slug)
+    broken = cut_lineage(class_problems(tables))
+    if not broken.isEmpty():
+        return Load(True, ["ids or required properties"], None, None, broken)
     quads = cut_lineage(as_quads(tables))  # projected once; shapes, gate and write read the staged quads
     results = shapes.validate_shapes(quads, shape_rules(tables), is_set=True)
     schema = gate.GateSchema(leaf_classes=tuple(m.cls for m, _ in tables), relations=tuple(

@@ -1,7 +1,8 @@
 """Source rows to class tables: ids, links to parents and assets, derived columns.
 
 Each function is narrow except for its links, which are equi joins to the parent's class table or
-catalogue; parents carry only the linked id, so Catalyst can broadcast the small ones.
+catalogue; parents carry only the linked id, so Catalyst can broadcast the small ones. A row whose
+parent is missing stays, with a NULL id; the load refuses it by name.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ def alerts(v_alert: DataFrame, book: DataFrame, rules: DataFrame, assets: DataFr
     """ENT-02: rule resolved by id, stop rules lose their price threshold."""
     runs = book.select(KEYED, "window_id", "graph").distinct()
     r = rules.select("rule_id", "rule_iri")
-    df = v_alert.join(runs, [KEYED, "window_id"]).join(r, "rule_id", "left")
+    df = v_alert.join(runs, [KEYED, "window_id"], "left").join(r, "rule_id", "left")
     df = with_asset(df, assets)
     df = df.withColumn("subject", _alert_id(label, slug)).withColumn("threshold", S.suppress(F.col("threshold"), F.col("rule_id").startswith("L1_BP_STOP")))
     return project(df, E.ALERT)
@@ -83,7 +84,7 @@ def child_problems(child: DataFrame, v_book: DataFrame, key: str) -> DataFrame:
 
 
 def rebalances(v: DataFrame, book: DataFrame) -> DataFrame:
-    df = v.join(_books_of(book), "book_id")
+    df = v.join(_books_of(book), "book_id", "left")
     df = df.withColumn("subject", mint_id("Rebalance", "run_label", "book_window", "stem", S.day_key(F.col("execution_date").cast("date"))))
     return project(df, E.REBALANCE)
 
@@ -91,27 +92,27 @@ def rebalances(v: DataFrame, book: DataFrame) -> DataFrame:
 def actions(v: DataFrame, book: DataFrame, alert: DataFrame, assets: DataFrame) -> DataFrame:
     """ENT-04: linked to its book, and to the alert of its window with its alert id."""
     a = alert.select(F.col("alertId").alias("alert_id"), F.col("windowId").alias("book_window"), F.col("subject").alias("alert"))
-    df = v.join(_books_of(book), "book_id").join(a, ["alert_id", "book_window"], "left")
+    df = v.join(_books_of(book), "book_id", "left").join(a, ["alert_id", "book_window"], "left")
     df = with_asset(df, assets).withColumn("subject", mint_id("GuardAction", "run_label", "book_window", "stem", "action_id"))
     return project(df, E.ACTION)
 
 
 def weights(v: DataFrame, book: DataFrame, assets: DataFrame) -> DataFrame:
     """ENT-05: the cash row has no asset; other rows link by their holding key."""
-    df = v.drop("asset_id").join(_books_of(book), "book_id")
+    df = v.drop("asset_id").join(_books_of(book), "book_id", "left")
     df = with_asset(df.withColumn("ticker", F.when(F.col("holding_key") != "CASH", F.col("holding_key"))), assets)
     df = df.withColumn("subject", mint_id("BookWeight", "run_label", "book_window", "stem", S.day_key(F.col("date").cast("date")), "holding_key"))
     return project(df, E.WEIGHT)
 
 
 def performance(v: DataFrame, book: DataFrame) -> DataFrame:
-    df = v.join(_books_of(book), "book_id")
+    df = v.join(_books_of(book), "book_id", "left")
     df = df.withColumn("subject", mint_id("BookPerf", "run_label", "book_window", "stem", S.day_key(F.col("date").cast("date"))))
     return project(df, E.PERFORMANCE)
 
 
 def summaries(v: DataFrame, book: DataFrame) -> DataFrame:
-    df = v.join(_books_of(book), "book_id").withColumn("subject", mint_id("PeriodSummary", "run_label", "book_window", "stem", "segment"))
+    df = v.join(_books_of(book), "book_id", "left").withColumn("subject", mint_id("PeriodSummary", "run_label", "book_window", "stem", "segment"))
     return project(df, E.SUMMARY)
 
 

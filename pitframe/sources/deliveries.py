@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE = r"^([0-9a-f]{64})  (.+)$"
-BLOCK = 8 * 1024 * 1024
 
 
 def parse_manifest(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -25,26 +21,13 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.withColumn("file", F.substring_index("path", "/", -1))
 
 
-def _hash_paths(batches):
-    """Hash each file of a batch in blocks; for files over the 2 GB a binary column can hold."""
-    for pdf in batches:
-        digests = []
-        for path in pdf["path"]:
-            digest = hashlib.sha256()
-            with open(path.removeprefix("file://").removeprefix("file:"), "rb") as handle:
-                while block := handle.read(BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"file": pdf["file"], "actual": digests})
-
+def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, actual): every file hashed in the JVM, from any file system Spark reads.
 
-def file_hashes(spark: SparkSession, folder: str, big: int = 1 << 30) -> DataFrame:
-    """(file, actual): small files hashed in the JVM, files over ``big`` bytes in blocks by path."""
+    A file over the 2 GB that a binary column holds raises; it is never left out.
+    """
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    small = binary.filter(F.col("length") <= big).select(
-        F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("actual"))
-    large = list_files(spark, folder).filter(F.col("length") > big).select("path", "file")
-    return small.unionByName(large.mapInPandas(_hash_paths, "file string, actual string"))
+    return binary.select(F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("actual"))
 
 
 def compare_hashes(expected: DataFrame, actual: DataFrame) -> DataFrame:

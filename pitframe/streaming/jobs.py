@@ -55,10 +55,29 @@ def written(spark: SparkSession, path: str, schema: StructType | str, before: in
     return (df if before is None else df.filter(F.col("batch") < before)).drop("batch")
 
 
-def tumbling_counts(stream: DataFrame, ts: str, keys: Sequence[str], width: str = "1 day", delay: str = "10 minutes") -> DataFrame:
-    """STR-06: rows per window and key, emitted once when the watermark passes the window."""
-    w = stream.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
-    return w.select(F.col("w.start").alias("window_start"), *keys, "n")
+def tumbling_counts(path: str, ts: str, keys: Sequence[str], width: str = "1 day", delay_seconds: int = 600) -> Callable[[DataFrame, int], None]:
+    """STR-06 sink: each batch writes its rows per window and key, split into those in time and late ones.
+
+    A row is late if its window ended before the highest time of earlier batches minus the delay. The
+    state is one row per batch and what was counted; :func:`window_counts` sums it, so the last
+    window is there after the last batch and no row goes uncounted.
+    """
+    def each(df: DataFrame, batch: int) -> None:
+        spark = df.sparkSession
+        high = written(spark, f"{path}/high", "high timestamp", before=batch).agg(F.max("high").alias("high")).scalar()
+        w = df.withColumn("_w", F.window(ts, width))
+        late = F.coalesce(F.unix_micros("_w.end") <= F.unix_micros(high) - delay_seconds * 1_000_000, F.lit(False))
+        counts = w.groupBy(F.col("_w.start").alias("window_start"), *keys, late.alias("late")).agg(F.count(F.lit(1)).alias("n"))
+        write_batch(f"{path}/counts")(counts, batch)
+        write_batch(f"{path}/high")(df.agg(F.max(ts).alias("high")), batch)
+    return each
+
+
+def window_counts(spark: SparkSession, path: str, keys: str) -> DataFrame:
+    """(window_start, keys, n, late): counts over all batches; ``late`` rows came after their window had closed."""
+    rows = written(spark, f"{path}/counts", f"window_start timestamp, {keys}, late boolean, n bigint")
+    names = [c for c in rows.columns if c not in ("late", "n")]
+    return rows.groupBy(*names).agg(F.sum(F.when(~F.col("late"), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("late"))
 
 
 def members_at_event(stream: DataFrame, stints: DataFrame, key: Sequence[str], ts: str, start: str, end: str) -> DataFrame:
@@ -74,13 +93,11 @@ def checked_rows(stream: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return stream.withColumn("failed", F.filter(F.array(*cells), lambda x: x.isNotNull()))
 
 
-def first_seen(stream: DataFrame, ident: str, ts: str, delay: str = "1 hour") -> DataFrame:
-    """STR-03: one row per id among those arriving within the delay; state is bounded by it."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([ident])
-
-
 def ingest_new(path: str, ident: str) -> Callable[[DataFrame, int], None]:
-    """STR-03 sink: ids an earlier batch stored are skipped, so a re-run adds nothing."""
+    """STR-03 sink: only ids an earlier batch stored are skipped, however late a row is; a re-run adds nothing.
+
+    Ids of a batch are written where they are first met: with the time of no matter which row.
+    """
     def each(df: DataFrame, batch: int) -> None:
         stored = written(df.sparkSession, path, df.schema, before=batch).select(ident)
         write_batch(path)(df.dropDuplicates([ident]).join(stored, ident, "left_anti"), batch)
