@@ -5,9 +5,9 @@ Lines of at least ``SHORTEST`` characters link at ``EDITS`` edits or fewer. A li
 edits around it allow. Segments are indexed by (length of line, segment, bytes); for each length from
 its own down to ``EDITS`` less a line probes the few substrings that the shifts allow.
 
-A key with many lines is not paired up: its lines are signed again with one more segment, of which
-one more must be whole, so keys name two, then three segments. Only what shares most of its text with
-many lines is left to pair at the last level. Pairs are made once and verified on the texts.
+A key with many lines is put off: its lines are signed again with one more segment, of which one more
+must be whole, so keys name two, then three segments. The lines of a key are compared inside tasks, in
+blocks: lengths and letter counts first, then the distance. Only links come out, never pairs to check.
 
 Equal lines are one line throughout; each task sends a line once.
 """
@@ -28,8 +28,9 @@ from pitframe.llm.common import components, stored, text_hash
 
 EDITS = 2
 SHORTEST = 20
-PAIR_KEY = 64  # lines of a key that are paired directly
+PAIR_KEY = 64  # lines of a key that are compared without another segment
 LEVELS = 3
+BLOCK = 2048  # lines of a key that meet another block's in one task
 SEEN = 1 << 20  # lines a task remembers to send once
 
 
@@ -163,30 +164,67 @@ def within(a: str, b: str, most: int) -> int | None:
     return at if at <= most else None
 
 
-def candidates(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """((a, b) with a < b of line hashes that share a key, (line, text) of all lines met in hot keys or pairs)."""
-    pairs, texts = None, None
-    rows, column, is_line = docs, text_col, False
-    for whole in range(1, LEVELS + 1):
-        again = stored(signed(rows, whole, column, is_line).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"))
-        met = signed(rows, whole, column, is_line).join(again, "key", "left_semi").groupBy("key", "line").agg(F.max("indexed").alias("indexed"))
-        met = stored(met)
-        sizes = stored(met.groupBy("key").agg(F.count("*").alias("n"), F.max("indexed").alias("any")).filter("n > 1 AND any").select("key", "n"))
-        joinable = sizes if whole == LEVELS else sizes.filter(F.col("n") <= PAIR_KEY)
-        some = met.join(joinable.select("key"), "key", "left_semi")
-        left = some.filter("indexed").select("key", F.col("line").alias("x"))
-        new = left.join(some.select("key", F.col("line").alias("y")), "key").filter("x <> y")
-        new = stored(new.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        pairs = new if pairs is None else pairs.unionByName(new)
-        hot = met.join(sizes.filter(F.col("n") > PAIR_KEY).select("key"), "key", "left_semi").select("line").distinct() if whole < LEVELS else None
-        wanted = new.select(F.explode(F.array("a", "b")).alias("line"))
-        wanted = stored((wanted if hot is None else wanted.unionByName(hot)).distinct())
-        if texts is None:
-            texts = stored(line_texts(docs, text_col).join(wanted, "line", "left_semi").dropDuplicates(["line"]))
-        if hot is None or hot.isEmpty():
-            break
-        rows, column, is_line = stored(texts.join(hot, "line", "left_semi").select("text")), "text", True
-    return pairs.distinct(), texts
+def shared_keys(rows: DataFrame, whole: int, column: str, is_line: bool) -> DataFrame:
+    """(key, line) of the keys that several rows have, each line once.
+
+    The first pass moves keys alone. The join is by merge at any size: the keys grow with the input.
+    """
+    again = stored(signed(rows, whole, column, is_line).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"))
+    met = signed(rows, whole, column, is_line).join(again.hint("merge"), "key", "left_semi")
+    return stored(met.groupBy("key", "line").agg(F.max("indexed").alias("indexed")))
+
+
+def histogram(text: str) -> np.ndarray:
+    """Code points by their last five bits; an edit changes two counts at most, by one each."""
+    return np.bincount(np.frombuffer(text.encode("utf-32-le"), "<u4") & 31, minlength=32)
+
+
+def compared(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
+    """(a, b, edits) of the linked lines of one group; pairs of one block belong to that block's group."""
+    line, text, block = rows["line"].to_numpy(), rows["text"].to_numpy(), rows["b"].to_numpy()
+    across = len(np.unique(block)) > 1
+    sizes = np.array([len(t) for t in text])
+    counts = np.array([histogram(t) for t in text], np.int32) if len(rows) > 2 else None
+    out = []
+    for i in range(len(rows) - 1):
+        near = np.abs(sizes[i + 1:] - sizes[i]) <= EDITS
+        if counts is not None:
+            near &= np.abs(counts[i + 1:] - counts[i]).sum(axis=1) <= 2 * EDITS
+        if across:
+            near &= block[i + 1:] != block[i]
+        for j in (np.flatnonzero(near) + i + 1).tolist():
+            d = within(text[i], text[j], EDITS)
+            if d:
+                out.append((min(line[i], line[j]), max(line[i], line[j]), d))
+    return out
+
+
+def links_of(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, edits) among the lines of each key; ``members`` (key, line, n).
+
+    Lines of a key are compared inside tasks, in groups of two blocks of about ``BLOCK`` lines at
+    most; only links come out.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    x = members.withColumn("b", F.pmod(F.xxhash64("line"), blocks)).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    x = x.join(texts, "line").select("key", F.least("b", "c").alias("b1"), F.greatest("b", "c").alias("b2"), "b", "line", "text")
+    x = x.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            ids = rows[["key", "b1", "b2"]].to_numpy()
+            ends = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
+            start, found = 0, []
+            for end in ends.tolist():
+                found += compared(rows.iloc[start:end])
+                start = end
+            held = rows.iloc[start:]
+            yield pd.DataFrame(found, columns=["a", "b", "edits"])
+        if held is not None:
+            yield pd.DataFrame(compared(held), columns=["a", "b", "edits"])
+    return x.mapInPandas(run, "a long, b long, edits int")
 
 
 def line_texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -199,16 +237,24 @@ def line_texts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def line_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(a, b, edits): every pair of different lines, by hash, within the distance."""
-    pairs, texts = candidates(docs, text_col)
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            d = [within(p, q, EDITS) for p, q in zip(x["ta"], x["tb"], strict=True)]
-            ok = np.array([v is not None for v in d], bool)
-            yield pd.DataFrame({"a": x["a"][ok], "b": x["b"][ok], "edits": np.array([v for v in d if v is not None], np.int32)})
-    return both.mapInPandas(run, "a long, b long, edits int")
+    """(a, b, edits): every pair of different lines, by hash, within the distance; a < b."""
+    found, texts = None, None
+    rows, column, is_line = docs, text_col, False
+    for whole in range(1, LEVELS + 1):
+        met = shared_keys(rows, whole, column, is_line)
+        sizes = stored(met.groupBy("key").agg(F.count("*").alias("n"), F.max("indexed").alias("any")).filter("n > 1 AND any").select("key", "n"))
+        last = whole == LEVELS
+        some = stored(met.join(sizes if last else sizes.filter(F.col("n") <= PAIR_KEY), "key").select("key", "line", "n"))
+        hot = stored(met.join(sizes.filter(F.col("n") > PAIR_KEY).select("key"), "key", "left_semi").select("line").distinct())
+        if texts is None:  # lines of later levels are among these
+            wanted = some.select("line").unionByName(hot).distinct()
+            texts = stored(line_texts(docs, text_col).join(wanted.hint("merge"), "line", "left_semi").dropDuplicates(["line"]))
+        new = stored(links_of(some, texts))
+        found = new if found is None else found.unionByName(new)
+        if last or hot.isEmpty():
+            break
+        rows, column, is_line = stored(texts.join(hot, "line", "left_semi").select("text")), "text", True
+    return found.distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -320,9 +320,10 @@ def test_banded_distance():
             assert line_dedup.within(a, b, t) == (d if d <= t else None)
 
 
-@pytest.mark.parametrize("key", [64, 2])
-def test_line_links_equal_brute_force(spark, monkeypatch, key):
-    monkeypatch.setattr(line_dedup, "PAIR_KEY", key)  # also over the levels for hot keys
+@pytest.mark.parametrize(("key", "block"), [(64, 2048), (2, 2048), (2, 3)])
+def test_line_links_equal_brute_force(spark, monkeypatch, key, block):
+    monkeypatch.setattr(line_dedup, "PAIR_KEY", key)  # also over the levels for hot keys, and in blocks
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     ship(spark)
     r = random.Random(8)
     base = ["".join(r.choice("abc") for _ in range(r.randint(20, 45))) for _ in range(12)]
