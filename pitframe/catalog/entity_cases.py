@@ -16,14 +16,15 @@ from pitframe.plans import projections as P
 from pitframe.plans.casebook import check_sql, view
 
 LABEL, RUN = "base", 7
-PROFILE = "SELECT graph, predicate, object_kind, datatype, count(*) AS n, count(DISTINCT object) AS n_objects, min(subject || ' ' || object) AS lo, max(subject || ' ' || object) AS hi FROM q GROUP BY 1, 2, 3, 4"
+PROFILE = "SELECT graph, predicate, object_kind, datatype, count(*) AS n, count(DISTINCT object) AS n_objects, min(subject || ' ' || object) AS lo, max(subject || ' ' || object) AS hi, CAST(sum(CAST('0x' || substr(md5(subject || ' ' || object), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM q GROUP BY 1, 2, 3, 4"
 
 
 def profile(*quads: DataFrame) -> DataFrame:
-    """Per graph and property: triples, distinct objects, first and last pair."""
+    """Per graph and property: triples, distinct objects, first and last pair, and a sum of hashes that every value enters."""
     pair = F.concat_ws(" ", "subject", "object")
     return reduce(DataFrame.unionByName, quads).groupBy("graph", "predicate", "object_kind", "datatype").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("object").alias("n_objects"), F.min(pair).alias("lo"), F.max(pair).alias("hi"))
+        F.count(F.lit(1)).alias("n"), F.countDistinct("object").alias("n_objects"), F.min(pair).alias("lo"), F.max(pair).alias("hi"),
+        F.sum(F.conv(F.substring(F.md5(pair.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("digest"))
 
 
 def _lex(col: str, kind: str) -> str:

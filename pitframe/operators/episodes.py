@@ -15,22 +15,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def first_unranked(events: DataFrame, covered: DataFrame, dates: DataFrame, run: Sequence[str], asset: str, day: str) -> DataFrame:
+    """(run, asset, day): the event days that are ranking days without the asset, and the first such day after each.
+
+    Ranking days are numbered per run and an asset's days are cut into stretches of successive
+    numbers, so the first day without it is the one after a stretch: one row per event, never one
+    per asset and ranking day. ``covered`` holds the asset's days on which it counts as ranked.
+    """
+    run = list(run)
+    numbers = dates.withColumn("_n", F.row_number().over(Window.partitionBy(*run).orderBy(day)))
+    days = numbers.select(*run, day, F.lit(1).alias("_c")).unionByName(events.select(*run, day).distinct().withColumn("_c", F.lit(0)))
+    days = days.groupBy(*run, day).agg(F.max("_c").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*run).orderBy(day))
+    days = days.withColumn("_next", upto + 1)
+    own = covered.join(numbers, [*run, day]).withColumn("_island", F.col("_n") - F.row_number().over(Window.partitionBy(*run, asset).orderBy("_n")))
+    own = own.withColumn("_end", F.max("_n").over(Window.partitionBy(*run, asset, "_island")))
+    e = events.select(*run, asset, day).distinct().join(days, [*run, day])
+    after = e.join(own.select(*run, asset, F.col("_n").alias("_next"), "_end"), [*run, asset, "_next"], "left")
+    after = after.select(*run, asset, F.coalesce(F.col("_end") + 1, "_next").alias("_n")).join(numbers, [*run, "_n"]).select(*run, asset, day)
+    same = e.filter("_c = 1").select(*run, asset, day).join(covered, [*run, asset, day], "left_anti")
+    return after.unionByName(same).distinct()
+
+
 def day_flags(stops: DataFrame, blocked: DataFrame, reentry: DataFrame, rankings: DataFrame,
               run: Sequence[str] = (), asset: str = "asset_id", day: str = "date", opened: DataFrame | None = None) -> DataFrame:
     """(run, asset, day, s, b, r, u): stop, block, reentry, and ranking day without the asset.
 
-    ``opened`` names assets that were open before these events, for which unranked days count too.
+    Of the ranking days without an asset only those are given that can close an episode: event days,
+    and the first one after each. ``opened`` names assets that were open before these events, and since when.
     """
     keys = [*run, asset, day]
     ranked = rankings.select(*keys).distinct()
     dates = rankings.select(*run, day).distinct()
     blocks = blocked.select(*keys).distinct().join(dates, [*run, day], "left_semi")
-    touched = stops.select(*run, asset).unionByName(blocks.select(*run, asset))
-    touched = (touched if opened is None else touched.unionByName(opened.select(*run, asset))).distinct()
-    # the ranking days of a run are calendar days: one bounded array per run
-    calendar = dates.groupBy(*run).agg(F.collect_list(day).alias("_days"))
-    everyday = touched.join(calendar, list(run)) if run else touched.withColumn("_days", calendar.select("_days").scalar())
-    unranked = everyday.select(*run, asset, F.explode("_days").alias(day)).join(ranked.unionByName(blocks), keys, "left_anti")
+    events = stops.select(*keys).unionByName(blocks).unionByName(reentry.select(*keys))
+    if opened is not None:
+        events = events.unionByName(opened.select(*run, asset, F.col("since").alias(day)))
+    unranked = first_unranked(events, ranked.unionByName(blocks).distinct(), dates, run, asset, day)
 
     def mark(df, flag):
         return df.select(*keys).withColumn("_f", F.lit(flag))

@@ -66,3 +66,12 @@ def test_batches_of_days_equal_one_batch(spark, tmp_path):
         each(df, batch)  # a repeated batch changes nothing
     got = {tuple(r) for r in jobs.episodes_so_far(spark, str(tmp_path)).select("asset_id", "since", "start_kind", "released", "cause").collect()}
     assert got == fixpoint(*case)
+
+
+def test_episodes_make_no_row_per_asset_and_ranking_day(spark):
+    day = "cast(date_add(date '2024-01-01', cast(id as int)) as date) AS date"
+    stops = spark.range(5).selectExpr("id AS asset_id", day)
+    ranked = spark.range(50).selectExpr("id % 5 AS asset_id", day)
+    none = stops.limit(0)
+    plan = episodes(stops, none, none, ranked)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
