@@ -62,7 +62,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_simhash, op4_mixing, op5_nearest, op6_token_store, op7_quality, op8_token_counts, op9_toxicity, op10_line_dedup)}
-SQL: dict[str, str] = {}
+_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), x -> x <> '')"
+SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, w, least(5, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+          s AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+          t AS (SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM d JOIN (SELECT DISTINCT k FROM i) ON k <= len(w))),
+          n AS (SELECT item_id, count(*) AS n_shingles FROM s GROUP BY 1)
+        SELECT item_id, doc_id, n_shingles, count(*) AS n_shared FROM s JOIN t USING (k, g) JOIN n USING (item_id) GROUP BY 1, 2, 3 HAVING count(*) >= 0.8 * n_shingles""",
+}
 
 
 def all_queries() -> dict:
