@@ -294,7 +294,7 @@ IDS = "LEFT JOIN (SELECT asset AS ast, asset_id AS aid FROM assets) i ON i.aid =
 @case("ent_stops", oracle("stops assets",
       (E.STOP, f"SELECT e.*, i.ast AS asset, k % 2 = 0 AS filter, date AS filter_decision, 1 AS scale, 0.5 AS rho_w0, 0.4 AS rho, 0 AS cash_left, true AS check_passed, 3 AS eligible, NULL AS zone_evaluated, NULL AS zone_pass, CAST(NULL AS DOUBLE) AS a_star, CAST(NULL AS DOUBLE) AS size_fraction, CAST(NULL AS DOUBLE) AS weight_after_e3, 0.1 AS rho_delta_min, 0.2 AS rho_delta_median, 0.3 AS rho_delta_max, CASE WHEN cash THEN true END AS chosen_cash, CASE WHEN NOT cash THEN opt || '1' END AS chosen_option, stop AS subject FROM {EV} e {IDS} e.asset_id"),
       (E.OPTION, f"SELECT e.graph, e.stop, i.ast AS asset, CASE WHEN p = 1 THEN spy ELSE false END AS is_spy, 0.1 AS rho, 0.2 AS r, 1.0 AS beta, k % 20 AS rank, 0.5 AS score, k % 11 AS sector, 1.0 AS size_fraction, weight_before AS weight, p AS position, opt || p AS subject FROM {EV} e JOIN (SELECT unnest([1, 2]) AS p) ON true {IDS} e.chosen_id + (p - 1) * 1000"),
-      (E.STOP_SUMMARY, f"SELECT graph, stop, " + ", ".join(f"NULL AS rejected_{c}" for c in E.STOP_CAUSES if c not in ("held", "no_allowed_destination")) + f", CASE WHEN k % 3 > 0 THEN k % 3 END AS rejected_held, CASE WHEN k % 2 > 0 THEN 1 END AS rejected_no_allowed_destination, 'StopSummary_' || substr(stop, 6) AS subject FROM {EV} e")))
+      (E.STOP_SUMMARY, f"SELECT graph, stop, " + ", ".join(f"NULL AS rejected_{c}" for c in map(str.lower, E.STOP_CAUSES) if c not in ("held", "no_allowed_destination")) + f", CASE WHEN k % 3 > 0 THEN k % 3 END AS rejected_held, CASE WHEN k % 2 > 0 THEN 1 END AS rejected_no_allowed_destination, 'StopSummary_' || substr(stop, 6) AS subject FROM {EV} e")))
 def ent_stops(spark, sf):
     out = P.stops(event_lines(spark, sf), assets(spark, sf))
     return profile(melt(out["stops"], E.STOP), melt(out["options"], E.OPTION), melt(out["summaries"], E.STOP_SUMMARY))

@@ -323,14 +323,13 @@ FILING = class_map("SECFiling", """
 """)
 # Delivered metric names; each becomes a property of its metric set in camel case.
 METRICS = (
-    "asset_turnover capex_intensity cash_ratio current_ratio debt_to_assets debt_to_equity ebitda effective_tax_rate "
-    "enterprise_fcf_yield enterprise_value free_cash_flow_conversion free_cash_flow_growth free_cash_flow_margin "
-    "free_cash_flow_yield gross_margin interest_coverage inventory_turnover market_capitalization net_debt_to_ebitda "
-    "net_income_cagr net_income_growth net_margin nopat operating_cash_flow_cagr operating_cash_flow_margin "
-    "operating_income_growth operating_margin quick_ratio receivables_turnover return_on_assets return_on_equity "
-    "return_on_invested_capital return_on_invested_capital_effective_rate revenue_cagr revenue_growth "
-    "sbc_adjusted_fcf_yield utility_cash_coverage_3y"
-).split()
+    "asset_turnover", "capex_intensity", "cash_ratio", "current_ratio", "debt_to_assets", "debt_to_equity", "ebitda", "effective_tax_rate",
+    "enterprise_fcf_yield", "enterprise_value", "free_cash_flow_conversion", "free_cash_flow_growth", "free_cash_flow_margin", "free_cash_flow_yield",
+    "gross_margin", "interest_coverage", "inventory_turnover", "market_capitalization", "net_debt_to_ebitda", "net_income_cagr", "net_income_growth",
+    "net_margin", "nopat", "operating_cash_flow_cagr", "operating_cash_flow_margin", "operating_income_growth", "operating_margin", "quick_ratio",
+    "receivables_turnover", "return_on_assets", "return_on_equity", "return_on_invested_capital", "return_on_invested_capital_effective_rate",
+    "revenue_cagr", "revenue_growth", "sbc_adjusted_fcf_yield", "utility_cash_coverage_3y",
+)
 METRIC_SET = class_map("FundamentalMetricSet", """
     filing iri as=metricSetOfFiling !
     available_at date !
@@ -513,11 +512,11 @@ OPTION = class_map("DestinationOption", """
 """)
 # Rejection causes of a stop; each is a property ``rejected<Cause>``.
 STOP_CAUSES = (
-    "hard_veto soft_penalty news_veto held memory not_ranked no_risk_model no_bar missing_return trend_break sector_cap "
-    "spy_limit zone_high zone_no_signal no_allowed_destination"
-).split()
+    "hard_veto", "soft_penalty", "news_veto", "held", "memory", "not_ranked", "no_risk_model", "no_bar", "missing_return", "trend_break",
+    "sector_cap", "spy_limit", "zone_high", "zone_no_signal", "NO_ALLOWED_DESTINATION",
+)
 STOP_SUMMARY = class_map("StopRejectionSummary", "    stop iri as=summaryOfStop !\n" + "\n".join(
-    f"    rejected_{c} integer" for c in STOP_CAUSES))
+    f"    rejected_{c.lower()} integer" for c in STOP_CAUSES))
 PURCHASE = class_map("ReplacementPurchase", """
     stop iri as=purchaseOfStop !
     asset iri as=replacementAsset

@@ -407,9 +407,8 @@ def stops(lines: DataFrame, assets: DataFrame) -> dict[str, DataFrame]:
     opt = _asset(opt, assets).withColumn("subject", mint_id("StopOption", "stem", F.col("date").cast("string"), "stopped", "position"))
     counts = df.filter("eligible_counts IS NOT NULL").withColumn("stop", F.col("subject"))
     for c in E.STOP_CAUSES:
-        key = c.upper() if c == "no_allowed_destination" else c
-        v = F.try_element_at("eligible_counts", F.lit(key))
-        counts = counts.withColumn(f"rejected_{c}", F.when(v != 0, v))
+        v = F.try_element_at("eligible_counts", F.lit(c))
+        counts = counts.withColumn(f"rejected_{c.lower()}", F.when(v != 0, v))
     counts = counts.withColumn("subject", mint_id("StopSummary", "stem", d, "asset_id"))
     return {"stops": project(df, E.STOP), "options": project(opt, E.OPTION), "summaries": project(counts, E.STOP_SUMMARY)}
 
