@@ -62,7 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_simhash, op4_mixing, op5_nearest, op6_token_store, op7_quality, op8_token_counts, op9_toxicity, op10_line_dedup)}
-_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), x -> x <> '')"
+_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), lambda x: x <> '')"
 SQL: dict[str, str] = {
     "op2_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, w, least(5, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
