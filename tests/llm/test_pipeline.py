@@ -6,12 +6,12 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from test_text_operators import water_filled
 
 import corpus_pipeline as P
 from pitframe.llm import simhash, toxicity
 from pitframe.llm.common import stored
 from pitframe.llm.tokens import library
-from tests.llm.test_text_operators import water_filled
 
 SF = "/root/testdata/sf0.001"
 
