@@ -111,38 +111,44 @@ def ent_tests(spark, sf):
     return profile(melt(P.tests(view(spark, sf, "v_backtest_test"), LABEL), E.TEST))
 
 
-def p7(spark, sf, name):
-    return view(spark, sf, name).filter("window_id = 'P7'").drop("window_id")
+ST = "v.window_id || '_' || substr(v.window_id, 2) || '_'"
+SELW = f"'{LABEL}' AS run_label, v.window_id, CAST(substr(v.window_id, 2) AS BIGINT) AS backtest_run_id, 'urn:graph:derived:backtest:selection:base:' || v.window_id || ':' || substr(v.window_id, 2) AS graph"
 
 
-def p7_components(spark, sf, name):
-    return view(spark, sf, name).filter("floor(cycle_run_id / 100) = 1997")
+def every_window():
+    """All windows in one call: the window is a column, and the run is its number."""
+    return {"window": F.col("window_id"), "run_id": F.expr("CAST(substr(window_id, 2) AS BIGINT)")}
 
 
-@case("ent_cycles", oracle("v_cycle_run", (E.CYCLE, f"SELECT v.* EXCLUDE (window_id), {SEL}, 'cycle_run:' || run_id AS run_text, 'Cycle_base_P7_7_' || run_id AS subject FROM v_cycle_run v WHERE window_id = 'P7'")))
+def components(spark, sf, name):
+    """Components carry no window of their own; the cycle's number names it."""
+    return view(spark, sf, name).withColumn("window_id", F.expr("concat('P', cast(floor(cycle_run_id / 100) - 1990 AS string))"))
+
+
+@case("ent_cycles", oracle("v_cycle_run", (E.CYCLE, f"SELECT v.* EXCLUDE (window_id), {SELW}, 'cycle_run:' || run_id AS run_text, 'Cycle_base_' || {ST} || run_id AS subject FROM v_cycle_run v")))
 def ent_cycles(spark, sf):
-    return profile(melt(P.cycles(p7(spark, sf, "v_cycle_run"), LABEL, "P7", RUN), E.CYCLE))
+    return profile(melt(P.cycles(view(spark, sf, "v_cycle_run"), LABEL, **every_window()), E.CYCLE))
 
 
 @case("ent_schemes", oracle("v_weight_scheme v_weight_component",
-      (E.SCHEME, f"SELECT s.* EXCLUDE (window_id), {SEL}, 'cycle_run:' || cycle_run_id AS run_text, 'Scheme_base_P7_7_' || cycle_run_id AS subject, (SELECT list('Weight_base_P7_7_' || c.cycle_run_id || '_' || score_type) FROM v_weight_component c WHERE c.cycle_run_id = s.cycle_run_id) AS component FROM v_weight_scheme s WHERE window_id = 'P7'"),
-      (E.CONFIGURED, f"SELECT weight, score_type AS metric, {SEL}, 'Weight_base_P7_7_' || cycle_run_id || '_' || score_type AS subject FROM v_weight_component WHERE cycle_run_id // 100 = 1997")))
+      (E.SCHEME, f"SELECT v.* EXCLUDE (window_id), {SELW}, 'cycle_run:' || cycle_run_id AS run_text, 'Scheme_base_' || {ST} || cycle_run_id AS subject, (SELECT list('Weight_base_' || {ST} || c.cycle_run_id || '_' || score_type) FROM v_weight_component c WHERE c.cycle_run_id = v.cycle_run_id) AS component FROM v_weight_scheme v"),
+      (E.CONFIGURED, f"SELECT weight, score_type AS metric, {SELW}, 'Weight_base_' || {ST} || cycle_run_id || '_' || score_type AS subject FROM (SELECT *, 'P' || (cycle_run_id // 100 - 1990) AS window_id FROM v_weight_component) v")))
 def ent_schemes(spark, sf):
-    s, c = P.schemes(p7(spark, sf, "v_weight_scheme"), p7_components(spark, sf, "v_weight_component"), LABEL, "P7", RUN)
+    s, c = P.schemes(view(spark, sf, "v_weight_scheme"), components(spark, sf, "v_weight_component"), LABEL, **every_window())
     return profile(melt(s, E.SCHEME), melt(c, E.CONFIGURED))
 
 
 @case("ent_rankings", oracle("v_cycle_ranking v_cycle_ranking_component v_cycle_run assets",
-      (E.RANKING, f"SELECT v.* EXCLUDE (window_id), {SEL}, a.asset, r.finished_at, 'Cycle_base_P7_7_' || cycle_run_id AS cycle, 'Scheme_base_P7_7_' || cycle_run_id AS scheme, CAST(blended_score / 100 AS DECIMAL(22,12)) AS score, 'Snap_base_P7_7_' || cycle_run_id || '_' || v.asset_id AS subject, CASE WHEN v.asset_id % 4 > 0 THEN ['RankComp_base_P7_7_' || cycle_run_id || '_' || v.asset_id || '_FUNDAMENTAL', 'RankComp_base_P7_7_' || cycle_run_id || '_' || v.asset_id || '_TECHNICAL'] ELSE ['RankComp_base_P7_7_' || cycle_run_id || '_' || v.asset_id || '_TECHNICAL'] END AS component FROM v_cycle_ranking v JOIN v_cycle_run r ON r.run_id = cycle_run_id AND r.status = 'completed' {AS} v.ticker WHERE v.window_id = 'P7'"),
-      (E.EFFECTIVE, f"SELECT c.effective_weight, component_value, score_type AS metric, {SEL}, 'RankComp_base_P7_7_' || cycle_run_id || '_' || asset_id || '_' || score_type AS subject FROM v_cycle_ranking_component c JOIN v_cycle_run r ON r.run_id = cycle_run_id AND r.status = 'completed' WHERE cycle_run_id // 100 = 1997")))
+      (E.RANKING, f"SELECT v.* EXCLUDE (window_id), {SELW}, a.asset, r.finished_at, 'Cycle_base_' || {ST} || cycle_run_id AS cycle, 'Scheme_base_' || {ST} || cycle_run_id AS scheme, CAST(blended_score / 100 AS DECIMAL(22,12)) AS score, 'Snap_base_' || {ST} || cycle_run_id || '_' || v.asset_id AS subject, CASE WHEN v.asset_id % 4 > 0 THEN ['RankComp_base_' || {ST} || cycle_run_id || '_' || v.asset_id || '_FUNDAMENTAL', 'RankComp_base_' || {ST} || cycle_run_id || '_' || v.asset_id || '_TECHNICAL'] ELSE ['RankComp_base_' || {ST} || cycle_run_id || '_' || v.asset_id || '_TECHNICAL'] END AS component FROM v_cycle_ranking v JOIN v_cycle_run r ON r.run_id = cycle_run_id AND r.status = 'completed' {AS} v.ticker"),
+      (E.EFFECTIVE, f"SELECT v.effective_weight, component_value, score_type AS metric, {SELW}, 'RankComp_base_' || {ST} || cycle_run_id || '_' || asset_id || '_' || score_type AS subject FROM (SELECT *, 'P' || (cycle_run_id // 100 - 1990) AS window_id FROM v_cycle_ranking_component) v JOIN (SELECT run_id, status FROM v_cycle_run) r ON r.run_id = cycle_run_id AND r.status = 'completed'")))
 def ent_rankings(spark, sf):
-    r, c = P.rankings(p7(spark, sf, "v_cycle_ranking"), p7(spark, sf, "v_cycle_run"), p7_components(spark, sf, "v_cycle_ranking_component"), assets(spark, sf), LABEL, "P7", RUN)
+    r, c = P.rankings(view(spark, sf, "v_cycle_ranking"), view(spark, sf, "v_cycle_run"), components(spark, sf, "v_cycle_ranking_component"), assets(spark, sf), LABEL, **every_window())
     return profile(melt(r, E.RANKING), melt(c, E.EFFECTIVE))
 
 
-@case("ent_vetoes", oracle("v_veto v_cycle_run assets", (E.VETO, f"SELECT v.* EXCLUDE (window_id), {SEL}, a.asset, 'R_' || rule_id AS rule_iri, 'cycle_run:' || v.run_id AS run_text, r.as_of AS run_as_of, 'Veto_base_P7_7_' || id AS subject FROM v_veto v LEFT JOIN v_cycle_run r ON r.run_id = v.run_id {AS} v.ticker WHERE v.window_id = 'P7'")))
+@case("ent_vetoes", oracle("v_veto v_cycle_run assets", (E.VETO, f"SELECT v.* EXCLUDE (window_id), {SELW}, a.asset, 'R_' || rule_id AS rule_iri, 'cycle_run:' || v.run_id AS run_text, r.as_of AS run_as_of, 'Veto_base_' || {ST} || id AS subject FROM v_veto v LEFT JOIN v_cycle_run r ON r.run_id = v.run_id {AS} v.ticker")))
 def ent_vetoes(spark, sf):
-    v = P.vetoes(p7(spark, sf, "v_veto"), p7(spark, sf, "v_cycle_run"), view(spark, sf, "rules"), assets(spark, sf), "1997-12-31", LABEL, "P7", RUN)
+    v = P.vetoes(view(spark, sf, "v_veto"), view(spark, sf, "v_cycle_run"), view(spark, sf, "rules"), assets(spark, sf), "1997-12-31", LABEL, **every_window())
     return profile(melt(v, E.VETO))
 
 

@@ -121,11 +121,12 @@ def load(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataFrame, st
     broken = cut_lineage(link_problems(boundary.survivors, rules))
     if not broken.isEmpty():
         return Load(True, ["rows link to nothing"], None, None, broken)
-    tables = class_tables(boundary.survivors, open_rules(rules), assets, label, slug)
+    # projected once; checks, shapes, gate and write read what was stored
+    tables = [(m, cut_lineage(t)) for m, t in class_tables(boundary.survivors, open_rules(rules), assets, label, slug)]
     broken = cut_lineage(class_problems(tables))
     if not broken.isEmpty():
         return Load(True, ["ids or required properties"], None, None, broken)
-    quads = cut_lineage(as_quads(tables))  # projected once; shapes, gate and write read the staged quads
+    quads = as_quads(tables)
     results = shapes.validate_shapes(quads, shape_rules(tables), is_set=True)
     schema = gate.GateSchema(leaf_classes=tuple(m.cls for m, _ in tables), relations=tuple(
         x for m, _ in tables for p in m.props if p.kind == "iri" for x in (p.name, p.inverse) if x))

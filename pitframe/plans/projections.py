@@ -128,24 +128,29 @@ def tests(v: DataFrame, label: str, slug: str | None = None) -> DataFrame:
     return project(df.withColumn("graph", graph_name("backtest", label=F.lit(label), window=F.col("window_id"), slug=tail)), E.TEST)
 
 
-def selection_graph(df: DataFrame, label: str, window: str, run_id: int, slug: str | None = None) -> DataFrame:
-    """Label, window, run and graph columns of the selection side of one run."""
-    return (df.withColumn("run_label", F.lit(label)).withColumn("window_id", F.lit(window)).withColumn(KEYED, F.lit(run_id))
-            .withColumn("graph", F.lit(f"urn:graph:derived:backtest:selection:{label}:{window}:{slug or run_id}"))
-            .withColumn("_stem", F.lit(f"{label}_{window}_{slug or run_id}")))
+def _value(x: str | int | Column) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
 
 
-def cycles(v: DataFrame, label: str, window: str, run_id: int, slug: str | None = None) -> DataFrame:
+def selection_graph(df: DataFrame, label: str, window: str | Column, run_id: int | Column, slug: str | None = None) -> DataFrame:
+    """Label, window, run and graph columns of the selection side; window and run may be columns, so one call takes all windows."""
+    df = df.withColumn("run_label", F.lit(label)).withColumn("window_id", _value(window)).withColumn(KEYED, _value(run_id))
+    tail = F.lit(slug) if slug else F.col(KEYED).cast("string")
+    return (df.withColumn("graph", F.concat_ws(":", F.lit(f"urn:graph:derived:backtest:selection:{label}"), "window_id", tail))
+            .withColumn("_stem", F.concat_ws("_", F.lit(label), "window_id", tail)))
+
+
+def cycles(v: DataFrame, label: str, window: str | Column, run_id: int | Column, slug: str | None = None) -> DataFrame:
     df = selection_graph(v, label, window, run_id, slug).withColumn("run_text", F.concat(F.lit("cycle_run:"), F.col("run_id").cast("string")))
     return project(df.withColumn("subject", mint_id("Cycle", "_stem", "run_id")), E.CYCLE)
 
 
-def schemes(scheme: DataFrame, component: DataFrame, label: str, window: str, run_id: int, slug: str | None = None) -> tuple[DataFrame, DataFrame]:
+def schemes(scheme: DataFrame, component: DataFrame, label: str, window: str | Column, run_id: int | Column, slug: str | None = None) -> tuple[DataFrame, DataFrame]:
     """ENT-10: weight schemes with their configured components. A scheme has one component per metric."""
     c = selection_graph(component, label, window, run_id, slug).withColumn("metric", F.col("score_type"))
     c = c.withColumn("subject", mint_id("Weight", "_stem", "cycle_run_id", "metric"))
-    of = c.groupBy("cycle_run_id").agg(F.array_sort(F.collect_set("subject")).alias("component"))
-    s = selection_graph(scheme, label, window, run_id, slug).join(of, "cycle_run_id", "left")
+    of = c.groupBy("window_id", "cycle_run_id").agg(F.array_sort(F.collect_set("subject")).alias("component"))
+    s = selection_graph(scheme, label, window, run_id, slug).join(of, ["window_id", "cycle_run_id"], "left")
     s = s.withColumn("run_text", F.concat(F.lit("cycle_run:"), F.col("cycle_run_id").cast("string"))).withColumn("subject", mint_id("Scheme", "_stem", "cycle_run_id"))
     return project(s, E.SCHEME), project(c, E.CONFIGURED)
 
@@ -158,19 +163,19 @@ def scheme_problems(scheme: DataFrame, component: DataFrame, cycle: DataFrame) -
         tag(orphans(scheme, component, ["cycle_run_id"]), "no component")).unionByName(tag(orphans(component, scheme, ["cycle_run_id"]), "no scheme"))
 
 
-def rankings(v: DataFrame, cycle: DataFrame, component: DataFrame, assets: DataFrame, label: str, window: str, run_id: int,
+def rankings(v: DataFrame, cycle: DataFrame, component: DataFrame, assets: DataFrame, label: str, window: str | Column, run_id: int | Column,
              slug: str | None = None, ciks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """ENT-11 and ENT-12: snapshots of completed cycles (score / 100) and their effective components."""
-    done = cycle.filter("status = 'completed'").select(F.col("run_id").alias("cycle_run_id"), "finished_at")
-    df = selection_graph(v.drop("status"), label, window, run_id, slug).join(done, "cycle_run_id")
+    done = cycle.filter("status = 'completed'").select(_value(window).alias("window_id"), F.col("run_id").alias("cycle_run_id"), "finished_at")
+    df = selection_graph(v.drop("status"), label, window, run_id, slug).join(done, ["window_id", "cycle_run_id"])
     df = with_asset(df, assets, "ticker", ciks)
     df = df.withColumn("subject", mint_id("Snap", "_stem", "cycle_run_id", "asset_id")).withColumn("cycle", mint_id("Cycle", "_stem", "cycle_run_id")).withColumn("scheme", mint_id("Scheme", "_stem", "cycle_run_id"))
     df = df.withColumn("score", (F.col("blended_score").cast("decimal(20,10)") / F.lit(100)).cast("decimal(22,12)"))
     comp = selection_graph(component, label, window, run_id, slug).withColumn("metric", F.col("score_type"))
-    comp = comp.join(df.select("cycle_run_id", "asset_id"), ["cycle_run_id", "asset_id"], "left_semi")
+    comp = comp.join(df.select("window_id", "cycle_run_id", "asset_id"), ["window_id", "cycle_run_id", "asset_id"], "left_semi")
     comp = comp.withColumn("subject", mint_id("RankComp", "_stem", "cycle_run_id", "asset_id", "metric"))
-    of = comp.groupBy("cycle_run_id", "asset_id").agg(F.array_sort(F.collect_set("subject")).alias("component"))
-    df = df.join(of, ["cycle_run_id", "asset_id"], "left")
+    of = comp.groupBy("window_id", "cycle_run_id", "asset_id").agg(F.array_sort(F.collect_set("subject")).alias("component"))
+    df = df.join(of, ["window_id", "cycle_run_id", "asset_id"], "left")
     return project(df, E.RANKING), project(comp, E.EFFECTIVE)
 
 
@@ -183,13 +188,13 @@ def skipped_rankings(v: DataFrame, cycle: DataFrame, component: DataFrame) -> Da
         component.join(kept, ["cycle_run_id", "asset_id"], "left_anti").agg(n).select(F.lit("ranking row not projected").alias("reason"), "rows"))
 
 
-def vetoes(v: DataFrame, cycle: DataFrame, rules: DataFrame, assets: DataFrame, rule_date: str, label: str, window: str, run_id: int,
+def vetoes(v: DataFrame, cycle: DataFrame, rules: DataFrame, assets: DataFrame, rule_date: str, label: str, window: str | Column, run_id: int | Column,
            slug: str | None = None, ciks: DataFrame | None = None) -> DataFrame:
     """ENT-13: stints with the rule definition in force on the rule date."""
     df = selection_graph(v, label, window, run_id, slug).withColumn("_d", F.lit(rule_date).cast("date"))
     df = asof_rule(df, "_d", rules, ["rule_id"])
-    asof = cycle.select("run_id", F.col("as_of").alias("run_as_of"))
-    df = with_asset(df.join(asof, "run_id", "left"), assets, "ticker", ciks)
+    asof = cycle.select(_value(window).alias("window_id"), "run_id", F.col("as_of").alias("run_as_of"))
+    df = with_asset(df.join(asof, ["window_id", "run_id"], "left"), assets, "ticker", ciks)
     df = df.withColumn("run_text", F.concat(F.lit("cycle_run:"), F.col("run_id").cast("string"))).withColumn("subject", mint_id("Veto", "_stem", "id"))
     return project(df, E.VETO)
 
