@@ -58,7 +58,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def variants(fps: DataFrame) -> DataFrame:
     """(key, fp): 64 one-wildcard segment variants of each fingerprint."""
     seg = "shiftrightunsigned(fp, IF(i < 32, 0, 32)) & 4294967295L"
-    return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i")).select(
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fingerprint is a few bytes and makes 64 rows
+    return fps.select("fp").repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i")).select(
         F.expr(f"(({seg}) & ~shiftleft(1L, i % 32)) | shiftleft(cast(i AS bigint), 32)").alias("key"), "fp")
 
 
