@@ -32,7 +32,7 @@ def corpus(spark):
             labels.append((i, int(good), int(toxic)))
     odd = [(None, None, None, None, None, None, None, None), (5000, "", "xx", "new", 0, None, None, None), docs[3], docs[3], (5001, "vile " * 70_000, "en", "s0", 3, None, None, None)]
     labels += [(None, 1, 1), (5002, None, None), (5000, None, 0), labels[0]]
-    truth = {d[0]: (int("!!" not in d[1]), int(any(x in d[1] for x in ("vile", "rotten", "übel", "fies")))) for d in docs}
+    truth = {d[0]: (int("!!" not in d[1]), int(any(x in d[1].lower() for x in ("vile", "rotten", "übel", "fies")))) for d in docs}
     return spark.createDataFrame(docs + odd, SCHEMA).repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), truth
 
 
