@@ -81,6 +81,27 @@ def test_co_training_teaches_the_other_view():
     assert right(taught) > right(alone)
 
 
+def test_every_unlabelled_row_can_be_taught(spark, monkeypatch):
+    ship(spark)
+    r, docs, labels = random.Random(3), [], []
+    for i in range(6400):
+        good, rare = i % 2, i % 200 == 0
+        w = [f"w{r.randrange(800)}" for _ in range(20)]
+        w = [x.upper() + "!!" if rare or (not good and r.random() < 0.5) else x for x in w]
+        docs.append((i, " ".join(w), "en", "rare" if rare else f"s{r.randrange(4)}", 100))
+        if i < 400 and not rare:
+            labels.append((i, good))
+    docs[6200] = (6200, " ".join(f"W{r.randrange(800)}!!" for _ in range(20_000)), "en", "rare", 100)  # also a very long text
+    seen = []
+    fit = quality.logistic
+    monkeypatch.setattr(quality, "logistic", lambda x, *more: seen.append(x) or fit(x, *more))
+    quality.train(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int"))
+    mark = quality.meta_features("rare", "en", 100) - quality.meta_features("s0", "en", 100)
+    taught = max((x for x in seen if x.shape[1] == quality.METAS), key=len)
+    rare = (taught[:, mark > 0] > 0).all(axis=1).sum()
+    assert rare == sum(d[3] == "rare" and not chosen_fold(d[0]) for d in docs)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     ship(spark)
