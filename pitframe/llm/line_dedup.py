@@ -9,6 +9,9 @@ A key with many lines is put off: its lines are signed again with one more segme
 must be whole, so keys name two, then three segments. The lines of a key are compared inside tasks, in
 blocks: lengths and letter counts first, then the distance. Only links come out, never pairs to check.
 
+With ``share`` the edits grow with the line: one for each ``share`` characters of the shorter line of a
+pair. The probes of a line then grow with the third power of its edits.
+
 Equal lines are one line throughout; each task sends a line once.
 """
 
@@ -34,6 +37,16 @@ BLOCK = 2048  # lines of a key that meet another block's in one task
 SEEN = 1 << 20  # lines a task remembers to send once
 
 
+def allowed(length: int, share: int | None) -> int:
+    """Edits at which two lines link, the shorter one of ``length``."""
+    few = EDITS if length >= SHORTEST else 0
+    return few if share is None else max(few, length // share)
+
+
+def shortest(share: int | None) -> int:
+    return SHORTEST if share is None else min(SHORTEST, share)
+
+
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
     """(start, size) of the parts of a line, sizes differing by one at most."""
     size, more = divmod(length, parts)
@@ -46,16 +59,20 @@ def segments(length: int, parts: int) -> list[tuple[int, int]]:
 
 
 @lru_cache(maxsize=200_000)
-def probes(length: int, whole: int, edits: int = EDITS) -> tuple[tuple[tuple[int, ...], bool], ...]:
+def probes(length: int, whole: int, share: int | None = None) -> tuple[tuple[tuple[int, ...], bool], ...]:
     """What a line of ``length`` is signed with: (numbers naming the key and its pieces, is indexed).
 
     ``whole`` segments of ``edits + whole`` are named. The shifts before, between and behind them cost
-    an edit a step, so only shifts that cost ``edits`` or less in sum are probed.
+    an edit a step, so only shifts that cost ``edits`` or less in sum are probed. ``edits`` is what the
+    indexed line's length allows.
     """
     out = {}
-    parts = edits + whole
-    for short in range(length, max(length - edits, SHORTEST) - 1, -1):
-        cut, gap = segments(short, parts), length - short
+    for short in range(length, shortest(share) - 1, -1):
+        edits, gap = allowed(short, share), length - short
+        if gap > edits:
+            break
+        parts = edits + whole
+        cut = segments(short, parts)
         for named in combinations(range(parts), whole):
             for shift in product(range(-edits, edits + 1), repeat=whole):
                 path = (0, *shift, gap)
@@ -84,10 +101,10 @@ def line_hash(line: str) -> int:
     return xxhash.xxh64_intdigest(line.encode(), 42)
 
 
-def distinct_lines(texts: Iterator[str | None], seen: set) -> Iterator[tuple[int, str]]:
+def distinct_lines(texts: Iterator[str | None], seen: set, least: int = SHORTEST) -> Iterator[tuple[int, str]]:
     for text in texts:
         for line in lines_of(text):
-            if len(line) >= SHORTEST:
+            if len(line) >= least:
                 h = line_hash(line)
                 if h not in seen:
                     if len(seen) >= SEEN:
@@ -96,15 +113,15 @@ def distinct_lines(texts: Iterator[str | None], seen: set) -> Iterator[tuple[int
                     yield h, line
 
 
-def signed(rows: DataFrame, whole: int, column: str, is_line: bool) -> DataFrame:
+def signed(rows: DataFrame, whole: int, column: str, is_line: bool, share: int | None = None) -> DataFrame:
     """(key, line, indexed) of every distinct line of a column of texts or of lines."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest, seen = xxhash.xxh3_64_intdigest, set()
         for x in batches:
             keys, lines, indexed = [], [], []
-            found = ((line_hash(v), v) for v in x[column]) if is_line else distinct_lines(x[column], seen)
+            found = ((line_hash(v), v) for v in x[column]) if is_line else distinct_lines(x[column], seen, shortest(share))
             for h, line in found:
-                plan = probes(len(line), whole)
+                plan = probes(len(line), whole, share)
                 for name, is_index in plan:
                     piece, seed = "", hash(name[:1 + whole])
                     for k in range(1 + whole, len(name), 2):
@@ -164,13 +181,13 @@ def within(a: str, b: str, most: int) -> int | None:
     return at if at <= most else None
 
 
-def shared_keys(rows: DataFrame, whole: int, column: str, is_line: bool) -> DataFrame:
+def shared_keys(rows: DataFrame, whole: int, column: str, is_line: bool, share: int | None = None) -> DataFrame:
     """(key, line) of the keys that several rows have, each line once.
 
     The first pass moves keys alone. The join is by merge at any size: the keys grow with the input.
     """
-    again = stored(signed(rows, whole, column, is_line).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"))
-    met = signed(rows, whole, column, is_line).join(again.hint("merge"), "key", "left_semi")
+    again = stored(signed(rows, whole, column, is_line, share).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"))
+    met = signed(rows, whole, column, is_line, share).join(again.hint("merge"), "key", "left_semi")
     return stored(met.groupBy("key", "line").agg(F.max("indexed").alias("indexed")))
 
 
@@ -179,27 +196,29 @@ def histogram(text: str) -> np.ndarray:
     return np.bincount(np.frombuffer(text.encode("utf-32-le"), "<u4") & 31, minlength=32)
 
 
-def compared(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
+def compared(rows: pd.DataFrame, share: int | None = None) -> list[tuple[int, int, int]]:
     """(a, b, edits) of the linked lines of one group; pairs of one block belong to that block's group."""
     line, text, block = rows["line"].to_numpy(), rows["text"].to_numpy(), rows["b"].to_numpy()
     across = len(np.unique(block)) > 1
     sizes = np.array([len(t) for t in text])
+    most = np.array([allowed(n, share) for n in sizes.tolist()])  # never less for a longer line
     counts = np.array([histogram(t) for t in text], np.int32) if len(rows) > 2 else None
     out = []
     for i in range(len(rows) - 1):
-        near = np.abs(sizes[i + 1:] - sizes[i]) <= EDITS
+        edits = np.minimum(most[i + 1:], most[i])
+        near = np.abs(sizes[i + 1:] - sizes[i]) <= edits
         if counts is not None:
-            near &= np.abs(counts[i + 1:] - counts[i]).sum(axis=1) <= 2 * EDITS
+            near &= np.abs(counts[i + 1:] - counts[i]).sum(axis=1) <= 2 * edits
         if across:
             near &= block[i + 1:] != block[i]
         for j in (np.flatnonzero(near) + i + 1).tolist():
-            d = within(text[i], text[j], EDITS)
+            d = within(text[i], text[j], int(edits[j - i - 1]))
             if d:
                 out.append((min(line[i], line[j]), max(line[i], line[j]), d))
     return out
 
 
-def links_of(members: DataFrame, texts: DataFrame) -> DataFrame:
+def links_of(members: DataFrame, texts: DataFrame, share: int | None = None) -> DataFrame:
     """(a, b, edits) among the lines of each key; ``members`` (key, line, n).
 
     Lines of a key are compared inside tasks, in groups of two blocks of about ``BLOCK`` lines at
@@ -218,38 +237,43 @@ def links_of(members: DataFrame, texts: DataFrame) -> DataFrame:
             ends = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
             start, found = 0, []
             for end in ends.tolist():
-                found += compared(rows.iloc[start:end])
+                found += compared(rows.iloc[start:end], share)
                 start = end
             held = rows.iloc[start:]
             yield pd.DataFrame(found, columns=["a", "b", "edits"])
         if held is not None:
-            yield pd.DataFrame(compared(held), columns=["a", "b", "edits"])
+            yield pd.DataFrame(compared(held, share), columns=["a", "b", "edits"])
     return x.mapInPandas(run, "a long, b long, edits int")
 
 
-def line_texts(docs: DataFrame, text_col: str) -> DataFrame:
+def line_texts(docs: DataFrame, text_col: str, share: int | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()
         for x in batches:
-            found = list(distinct_lines(x[text_col], seen))
+            found = list(distinct_lines(x[text_col], seen, shortest(share)))
             yield pd.DataFrame({"line": np.array([f[0] for f in found], np.uint64).view(np.int64), "text": [f[1] for f in found]})
     return docs.select(text_col).mapInPandas(run, "line long, text string")
 
 
-def line_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(a, b, edits): every pair of different lines, by hash, within the distance; a < b."""
+def line_links(docs: DataFrame, text_col: str = "text", share: int | None = None) -> DataFrame:
+    """(a, b, edits): every pair of different lines, by hash, within the distance; a < b.
+
+    The distance is ``EDITS`` for lines of ``SHORTEST`` characters or more; with ``share`` it is at least
+    one edit for each ``share`` characters of the shorter line, and lines of ``share`` characters link too.
+    """
     found, texts = None, None
     rows, column, is_line = docs, text_col, False
-    for whole in range(1, LEVELS + 1):
-        met = shared_keys(rows, whole, column, is_line)
+    levels = LEVELS if share is None else 1  # pairs of many segments and shifts would outgrow the keys' lines
+    for whole in range(1, levels + 1):
+        met = shared_keys(rows, whole, column, is_line, share)
         sizes = stored(met.groupBy("key").agg(F.count("*").alias("n"), F.max("indexed").alias("any")).filter("n > 1 AND any").select("key", "n"))
-        last = whole == LEVELS
+        last = whole == levels
         some = stored(met.join(sizes if last else sizes.filter(F.col("n") <= PAIR_KEY), "key").select("key", "line", "n"))
         hot = stored(met.join(sizes.filter(F.col("n") > PAIR_KEY).select("key"), "key", "left_semi").select("line").distinct())
         if texts is None:  # lines of later levels are among these
             wanted = some.select("line").unionByName(hot).distinct()
-            texts = stored(line_texts(docs, text_col).join(wanted.hint("merge"), "line", "left_semi").dropDuplicates(["line"]))
-        new = stored(links_of(some, texts))
+            texts = stored(line_texts(docs, text_col, share).join(wanted.hint("merge"), "line", "left_semi").dropDuplicates(["line"]))
+        new = stored(links_of(some, texts, share))
         found = new if found is None else found.unionByName(new)
         if last or hot.isEmpty():
             break
@@ -257,14 +281,15 @@ def line_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int | None = None) -> DataFrame:
     """(id, n_lines, n_exact, n_near, n_links, removed): what each row loses if one line of a class stays.
 
     A class is a set of lines that are equal or linked, directly or over others; its first line by
     (id, text hash, place) stays, null ids last. ``n_exact`` lines are removed as a copy of an earlier
     line, ``n_near`` as the first of their text in a class that began earlier; ``removed`` lists their
     places from 0. ``n_links`` counts the different lines linked to the row's different lines. Empty
-    lines separate and are never removed; lines under ``SHORTEST`` characters match by copy only. A null
+    lines separate and are never removed; lines under ``SHORTEST`` characters match by copy only
+    (with ``share``, as in ``line_links``, those under ``share``). A null
     text has one empty line. Repeated rows are told apart by their order in the sort, an empty table
     gives no rows.
     """
@@ -282,7 +307,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = stored(rows.mapInPandas(run, f"id {kind}, th long, place int, line long, blank boolean"))
     place = F.struct(F.col("id").isNull().alias("none"), "id", "th", "place")
     first = lines.filter("NOT blank").groupBy("line").agg(F.min(place).alias("first"))
-    links = stored(line_links(docs, text_col).select("a", "b"))
+    links = stored(line_links(docs, text_col, share).select("a", "b"))
     comp = components(links).withColumnRenamed("node", "line")
     degree = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(F.count("*").alias("links"))
     known = stored(first.join(comp, "line", "left").join(degree, "line", "left").select("line", "first", F.coalesce("root", "line").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))

@@ -336,6 +336,21 @@ def test_line_links_equal_brute_force(spark, monkeypatch, key, block):
     assert got == want and len(want) > 50
 
 
+def test_line_links_with_a_share_equal_brute_force(spark):
+    ship(spark)
+    r = random.Random(9)
+    base = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (9, 10, 14, 19, 20, 21, 30, 47, 69, 70, 100, 135)]
+    lines = sorted({edited(r, b, n) for b in base for n in (0, 1, len(b) // 20, len(b) // 10, len(b) // 10 + 1)})
+    word = base[-1][:60] + "replaced" + base[-1][68:]  # one word of a long line
+    docs = spark.createDataFrame([(i, "\n".join([*lines, word][i::3])) for i in range(3)], "doc_id long, text string")
+    number = {xxhash.xxh64_intdigest(v.encode(), 42): v for v in [*lines, word]}
+    got = {frozenset((number[x["a"] & (1 << 64) - 1], number[x["b"] & (1 << 64) - 1])): x["edits"] for x in line_dedup.line_links(docs, share=10).collect()}
+    most = lambda n: max(n // 10, 2 if n >= 20 else 0)
+    want = {frozenset((a, b)): d for i, a in enumerate([*lines, word]) for b in [*lines, word][:i] if (d := edit_distance(a, b)) <= most(min(len(a), len(b)))}
+    assert got == want and max(want.values()) > 8 and any(len(a) < 20 for pair in want for a in pair)
+    assert any(word in pair and 2 < d for pair, d in want.items())
+
+
 def test_line_dedup_equals_brute_force(docs, rows, empty):
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(xxhash.xxh64_intdigest((r[1] or "").encode(), 42))))
