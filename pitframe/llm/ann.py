@@ -94,14 +94,20 @@ def score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def nearest_in_block(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, longest: float, k: int, stop: float, dims: int = DIMS) -> list[tuple[int, int, float]]:
     """(query, candidate, score): up to ``k`` nearest of one block for each query."""
-    # of equal vectors only the k + 1 smallest ids can be among the nearest
+    # Of equal vectors only the k rows of smallest ids can be among the nearest, not counting the query's
+    # own id: a row is left out if k come before it without those of any one other id.
     by_id = np.argsort(vid, kind="stable")
     _, group = np.unique(x[by_id], axis=0, return_inverse=True)
     group = group.reshape(-1)
     same = np.argsort(group, kind="stable")
     first = np.concatenate([[True], np.diff(group[same]) != 0])
     nth = np.arange(len(same)) - np.maximum.accumulate(np.where(first, np.arange(len(same)), 0))
-    keep = np.sort(by_id[same[nth <= k]])
+    new = first | np.concatenate([[True], np.diff(vid[by_id][same]) != 0])  # a run: rows of one vector and id
+    run, begins = np.cumsum(new) - 1, np.flatnonzero(new)
+    of, many = group[same][begins].astype(np.int64), np.diff(np.append(begins, len(same)))
+    most = np.maximum.accumulate(of * (len(same) + 1) + many)
+    before = np.where(first[begins], 0, np.concatenate([[0], most[:-1]]) - of * (len(same) + 1))  # longest earlier run of the vector
+    keep = np.sort(by_id[same[nth - before[run] < k]])
     vid, x = vid[keep], x[keep]
     plane = np.random.default_rng(SEED).standard_normal((x.shape[1] + 1, dims))
     rest = np.sqrt(np.maximum(longest**2 - np.square(x).sum(1), 0.0))
@@ -144,11 +150,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
 
     Larger inner product first, ties to the smaller id; all candidates if there are fewer. Null, zero
     or non-finite vectors and null ids take no part. Repeated rows of an id count as candidates once
-    each. Vectors of another length than a query are no candidates of it. No rows in give none out.
+    each; a query id with several vectors asks with the smallest of them. Vectors of another length than a query are no candidates of it. No rows in give none out.
     """
     x = stored(usable(vectors, id_col, vec_col).withColumn("dim", F.size("vec")))
-    q = usable(queries, id_col, vec_col).withColumn("dim", F.size("vec")).dropDuplicates(["id"])
-    q = stored(q)
+    q = stored(usable(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec")))
     facts = x.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, a: s + a * a))).alias("m")).first()
     if not facts["n"]:
         return x.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -133,6 +133,23 @@ def test_nearest_of_few_and_none(vectors):
     assert ann.nearest(vectors, vectors.filter("vec_id = 800")).count() == 0
 
 
+def test_nearest_with_repeated_rows(spark):
+    ship(spark)
+    r = np.random.default_rng(4)
+    for ids in ([5] * 15 + list(range(6, 60)), list(range(40)) + [40] * 30 + list(range(41, 60)), [1, 2, 2, 3, 3, 3] * 9 + [9] * 4):
+        vid = r.permutation(np.array(ids))
+        x = np.ones((len(vid), 3))
+        asked = np.unique(vid)
+        found = ann.nearest_in_block(asked, np.ones((len(asked), 3)), vid, x, 2.0, 20, 0.9)
+        for q in asked.tolist():
+            assert sorted(v for i, v, _ in found if i == q) == sorted(v for v in ids if v != q)[:20]
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.9, 0.1]), (3, [0.1, 0.8]), *[(10 + i, [0.2, 0.3]) for i in range(30)]]
+    for order in (rows, rows[::-1]):
+        x = spark.createDataFrame(order, "vec_id long, embedding array<double>").coalesce(1)
+        got = ann.nearest(x, x.filter("vec_id = 1")).filter("rank = 1").collect()
+        assert [(g["vec_id"], g["score"]) for g in got] == [(3, 0.8)]
+
+
 def test_chi_square():
     assert abs(ann.chi2_cdf(15.507, 8) - 0.95) < 1e-4 and abs(ann.chi2_point(0.9, 8) - 13.3616) < 1e-3
 
