@@ -3,8 +3,8 @@
 Everything is a Column: urls are cut by one pattern, the longest fitting rule is the largest of a short
 array, n-grams are hashed slices of the characters of host and path, and a score is one fold over them.
 Training is a fold as well. The labelled table is small, so it is held as two arrays, the buckets of
-each example and the examples of each bucket; each step of gradient descent is two transforms over
-them. Only the weights come to the driver and go into the plan as one literal, so a url is judged where
+each example and the examples of each bucket; each step of gradient descent with momentum is a few
+transforms over them. Only the weights come to the driver and go into the plan as one literal, so a url is judged where
 it is read, without a shuffle.
 """
 
@@ -21,48 +21,56 @@ BUCKETS = 4096
 HOST_SIZES = (3, 4, 5)
 PATH_SIZES = (3, 4)
 MOST = 2000  # labelled urls that are learnt from, drawn by hash
-STEPS = 200
-RATE = 6.0
+STEPS = 80
+RATE = 1.0
+MOMENTUM = 0.9
 PENALTY = 2e-4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# small tables of labelled urls, made for this operator: what a crawl should leave out (1), and ordinary sites
-# of many names, languages and forms, malformed urls too (0)
+# A small table of labelled hosts, made for this operator: what a crawl should leave out, and ordinary sites of
+# many names and languages. Each host is met with forms of paths that say nothing, so that hosts decide; urls
+# whose path tells come whole.
 UNWANTED = """
-http://casino-royal.example.org/play/771 https://www.best-casino.example.net/en/slots.html https://m.casino24.example.org/de/12/ http://online-casinos.example.info/bonus?x=1
-https://wincasino.example.org/en/5 http://win-big.example.org/en/8812.html https://jackpot-win.example.net/en/2 https://blog.winbig.example.biz/poker/ https://poker-stars.example.org/en/table/3
-https://bet-now.example.net/de/99 http://www.sportbets.example.org/en/odds https://bets-online.example.org/en/17?ref=y http://free-spins.example.net/en/4 https://free-betting.example.org/de/7
-https://freebets24.example.info/en/ http://m.free-money.example.org/en/301 https://slots-free.example.net/en/33 http://roulette.example.org/gamble/12 https://lotto-winner.example.org/en/5
-https://cheap-viagra.example.org/en/buy http://pills-shop.example.net/de/66 https://www.cheappills.example.info/order.html http://buy-pills.example.org/en/44 https://cialis-cheap.example.net/en/9
-https://diet-pills.example.org/en/15?utm_source=mail http://m.cheap-meds.example.org/en/1 https://cheap-watches.example.net/en/replica http://cheapfollowers.example.org/en/ https://pharmacy-online-cheap.example.net/77
-https://adult-cams.example.org/live http://www.adultvideo.example.net/en/4 https://x-adult.example.org/en/812/ https://adult-dating.example.info/de/9.html http://xxx-movies.example.org/en/3
-https://porn-tube.example.net/v/18 https://sexcam.example.org/en/6 http://hot-xxx.example.org/fr/41 https://m.adultx.example.org/en/50 https://escort-xxx.example.net/en/21
-http://ads.example.org/click?id=7 https://ads-server.example.net/track/5 https://track-ads.example.org/en/91 http://adtrack.example.net/pixel.gif https://www.ad-click.example.org/en/8
-https://tracker.example.org/t/1?u=2 https://click-track.example.net/en/13 http://m.popup-ads.example.org/en/2 https://adserver.example.info/banner/3 https://banner-ads.example.net/en/6
-http://spam-mail.example.org/en/1 https://www.spamlinks.example.net/en/5 https://link-farm.example.org/en/20 http://linkfarm.example.info/out/44 https://seo-spam.example.org/de/8
-https://farm-links.example.net/en/31 https://buy-backlinks.example.org/en/4 http://spam-blog.example.org/en/77/ https://content-farm.example.net/en/9 https://payday-loans.example.org/en/2
-http://quick-loans.example.net/en/8 https://easy-cash.example.org/en/61 https://get-rich.example.org/en/10 http://crypto-giveaway.example.net/en/3 https://free-iphone.example.org/win
+casino-royal.example.org www.best-casino.example.net m.casino24.example.org online-casinos.example.info wincasino.example.org win-big.example.org jackpot-win.example.net
+blog.winbig.example.biz poker-stars.example.org bet-now.example.net www.sportbets.example.org bets-online.example.org free-spins.example.net free-betting.example.org
+freebets24.example.info m.free-money.example.org slots-free.example.net roulette.example.org lotto-winner.example.org cheap-viagra.example.org pills-shop.example.net
+www.cheappills.example.info buy-pills.example.org cialis-cheap.example.net diet-pills.example.org m.cheap-meds.example.org cheap-watches.example.net cheapfollowers.example.org
+pharmacy-online-cheap.example.net adult-cams.example.org www.adultvideo.example.net x-adult.example.org adult-dating.example.info xxx-movies.example.org porn-tube.example.net
+sexcam.example.org hot-xxx.example.org m.adultx.example.org escort-xxx.example.net ads.example.org ads-server.example.net track-ads.example.org
+adtrack.example.net www.ad-click.example.org tracker.example.org click-track.example.net m.popup-ads.example.org adserver.example.info banner-ads.example.net
+spam-mail.example.org www.spamlinks.example.net link-farm.example.org linkfarm.example.info seo-spam.example.org farm-links.example.net buy-backlinks.example.org
+spam-blog.example.org content-farm.example.net payday-loans.example.org quick-loans.example.net easy-cash.example.org get-rich.example.org crypto-giveaway.example.net
+free-iphone.example.org
 """.split()
 ORDINARY = """
-https://news.example.org/en/1204 http://www.library.example.org/en/catalogue/88 https://museum.example.net/de/5512.html https://weather.example.org/fr/77?page=2 http://blog.gardening.example.net/en/4410/
-https://university.example.org/physics/lecture/3 https://www.recipes.example.net/en/962 http://m.cityhall.example.org/es/18 https://science.example.org/en/7001#top https://history.example.net/de/1523/
-https://docs.example.org/manual/install.html http://wiki.example.org/en/8080 https://forum.example.net/thread/5521?page=3 https://www.hospital.example.org/en/wards https://school.example.org/de/212
-https://council.example.net/en/6600?utm_source=feed http://www.orchestra.example.org/fr/404 https://farmers.example.org/en/190 https://winter-sports.example.org/en/71 http://windows.example.net/en/34
-https://betterhomes.example.org/en/8 https://address.example.net/de/19 https://adventure.example.org/en/3303 http://advice.example.org/fr/12 https://trackandfield.example.org/en/2
-https://cheapest-route.example.org/train/4 http://freedom.example.net/en/1776 https://village-farm.example.org/en/61 https://educationx.example.org/en/5 http://spamalot-theatre.example.org/en/8
-https://linguistics.example.org/es/9214 https://mathematics.example.net/en/314 http://poetry.example.org/de/55/ https://chess.example.org/en/64 https://railways.example.net/fr/1900
-http://m.tionhe.example.org/en/1570 https://tionan.example.net/de/5989#top https://thener.example.org/fr/4163 http://www.thaner.example.net/en/1291/ https://eranthe.example.org/en/8424.html
-https://onthere.example.net/de/6137 http://blog.inghe.example.org/fr/7424.html https://m.whathen.example.org/en/9823 https://ndand.example.net/en/462/ https://www.ouent.example.org/de/2683
-http://stare.example.org/en/7688?utm_source=feed https://reshe.example.net/de/1989/ https://blyor.example.org/es/6964/ http://m.oreth.example.net/en/217 https://haent.example.org/en/3413#top
-https://www.edtion.example.org/fr/1152?utm_source=feed https://hanti.example.net/de/9823 http://theoua.example.org/en/4033.html https://shand.example.org/es/8510?page=2&ref=x https://atiwh.example.net/en/17
-https://example.org/ http://example.net/about https://www.example.org/contact.html http://localhost/ https://192.0.2.7/status
-https://bücher.example.org/de/11 https://пример.example.net/ru/5 http://例え.example.org/ja/8 /about/team not-a-url mailto:team@example.org
+news.example.org www.library.example.org museum.example.net weather.example.org blog.gardening.example.net university.example.org www.recipes.example.net
+m.cityhall.example.org science.example.org history.example.net docs.example.org wiki.example.org forum.example.net www.hospital.example.org
+school.example.org council.example.net www.orchestra.example.org farmers.example.org winter-sports.example.org windows.example.net betterhomes.example.org
+address.example.net adventure.example.org advice.example.org trackandfield.example.org cheapest-route.example.org freedom.example.net village-farm.example.org
+educationx.example.org spamalot-theatre.example.org linguistics.example.org mathematics.example.net poetry.example.org chess.example.org railways.example.net
+m.tionhe.example.org tionan.example.net thener.example.org www.thaner.example.net eranthe.example.org onthere.example.net blog.inghe.example.org
+m.whathen.example.org ndand.example.net www.ouent.example.org stare.example.org reshe.example.net blyor.example.org m.oreth.example.net
+haent.example.org www.edtion.example.org hanti.example.net theoua.example.org shand.example.org atiwh.example.net bücher.example.org
+пример.example.net 例え.example.org
+""".split()
+PATHS = "/en/7817?utm_source=feed /de/66.html /fr/4163/ /es/8924#top /en/12 /de/203557?page=2&ref=x /fr/9.html /es/404/ /en/5?x=1 /en/88.html /de/1523 /en/31/ / /about".split()
+UNWANTED_URLS = """
+https://site.example.org/casino/bonus https://site.example.net/poker/slots.html http://site.example.org/buy/viagra https://site.example.org/cheap/pills.html http://site.example.net/xxx/video https://site.example.org/adult/cams
+https://site.example.org/click?id=7 http://site.example.net/track/pixel.gif https://site.example.org/ads/banner.html https://site.example.net/free/spins http://site.example.org/win/jackpot https://site.example.org/bets/odds
+""".split()
+ORDINARY_URLS = """
+https://site.example.org/news/today http://site.example.net/docs/install.html https://site.example.org/wiki/history https://site.example.org/recipes/bread.html http://site.example.net/lecture/physics https://site.example.org/contact
+https://site.example.org/blog/garden http://site.example.net/catalogue/books https://site.example.org/sports/results https://site.example.net/health/advice http://site.example.org/weather/map https://site.example.org/library/hours
+https://example.org/ http://example.net/about http://localhost/ https://192.0.2.7/status /about/team not-a-url mailto:team@example.org
 """.split()
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): the package's own small table, with an empty url among the ordinary ones."""
-    return spark.createDataFrame([(u, 1) for u in UNWANTED] + [(u, 0) for u in [*ORDINARY, ""]], "url string, label int")
+    """(url, label): the package's own small table, each host with two paths, an empty url among the ordinary ones."""
+    rows = [(u, 1) for u in UNWANTED_URLS] + [(u, 0) for u in [*ORDINARY_URLS, ""]]
+    for label, hosts in ((1, UNWANTED), (0, ORDINARY)):
+        rows += [(f"https://{h}{PATHS[(2 * i + k) % len(PATHS)]}", label) for i, h in enumerate(hosts) for k in range(2)]
+    return spark.createDataFrame(rows, "url string, label int")
 
 
 def host_of(url: str | Column) -> Column:
@@ -85,17 +93,17 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def gram_buckets(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
-    """Distinct buckets of the n-grams of the marked host and path."""
+    """Distinct buckets of the n-grams of the marked host and path; in a path every number is the same."""
     def grams(text: Column, field: int, sizes: Sequence[int]) -> list[Column]:
         chars = F.filter(F.split(text, ""), lambda c: c != "")
         none = F.array().cast("array<int>")
         hashed = lambda n: F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.pmod(F.xxhash64(F.lit(field), F.slice(chars, i, n)), F.lit(buckets)).cast("int"))
         return [F.when(F.size(chars) >= n, hashed(n)).otherwise(none) for n in sizes]
     marked = lambda x: F.when(x == "", F.lit("")).otherwise(F.concat(F.lit("^"), x, F.lit("$")))
-    return F.array_distinct(F.concat(*grams(marked(host), 0, HOST_SIZES), *grams(marked(path), 1, PATH_SIZES)))
+    return F.array_distinct(F.concat(*grams(marked(host), 0, HOST_SIZES), *grams(F.regexp_replace(marked(path), "[0-9]+", "0"), 1, PATH_SIZES)))
 
 
-def trained(labelled: DataFrame, url_col: str = "url", label_col: str = "label", buckets: int = BUCKETS, most: int = MOST, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> list[float]:
+def trained(labelled: DataFrame, url_col: str = "url", label_col: str = "label", buckets: int = BUCKETS, most: int = MOST, steps: int = STEPS, rate: float = RATE, momentum: float = MOMENTUM, penalty: float = PENALTY) -> list[float]:
     """Weights by bucket, the offset last, of a ridge-penalised logistic regression with balanced classes.
 
     Features are 1/sqrt(number of distinct buckets) of an example. At most ``most`` labelled urls are
@@ -122,10 +130,14 @@ def trained(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
     def step(w: Column, _: Column) -> Column:
         def moved(err: Column) -> Column:
             slope = lambda at: F.aggregate(at, F.lit(0.0), lambda acc, x: acc + x["v"] * F.get(err, x["i"]))
-            new = F.zip_with(w["w"], F.col("lists"), lambda u, at: u - rate * (slope(at["x"]) + penalty * u))
-            return F.struct(new.alias("w"), (w["o"] - rate * F.aggregate(err, F.lit(0.0), lambda acc, x: acc + x)).alias("o"))
+            pull = F.zip_with(w["w"], F.col("lists"), lambda u, at: slope(at["x"]) + penalty * u)
+            speed = F.zip_with(w["v"], pull, lambda v, g: momentum * v - rate * g)
+            turn = momentum * w["t"] - rate * F.aggregate(err, F.lit(0.0), lambda acc, x: acc + x)
+            return F.get(F.transform(F.array(F.struct(speed.alias("v"), turn.alias("t"))), lambda x: F.struct(
+                F.zip_with(w["w"], x["v"], lambda u, v: u + v).alias("w"), x["v"].alias("v"), (w["o"] + x["t"]).alias("o"), x["t"].alias("t"))), 0)
         return F.get(F.transform(F.array(error(w)), moved), 0)  # the errors of a step are worked out once
-    start = F.struct(F.array_repeat(F.lit(0.0), buckets).alias("w"), F.lit(0.0).alias("o"))
+    none = F.array_repeat(F.lit(0.0), buckets)
+    start = F.struct(none.alias("w"), none.alias("v"), F.lit(0.0).alias("o"), F.lit(0.0).alias("t"))
     done = both.select("n", "ones", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step).alias("m")).first()
     if done is None or not 0 < done["ones"] < done["n"]:
         return [0.0] * buckets + [4.0 if done is not None and done["ones"] else -4.0]
