@@ -130,11 +130,11 @@ def frequent_slots(rows: DataFrame, least: int, bits: int) -> list[tuple[int, by
                     here = now[:starts] > 0
                     held += [one[:starts][here].astype(np.uint32 if bits <= 32 else np.int64), two[here & (now[1:starts + 1] > 0)].astype(np.uint32 if bits <= 32 else np.int64)]
                     size += len(held[-1]) + len(held[-2])
-                    if len(words) > KNOWN:
-                        words = known[lang] = Words(lang)
                     if size > 8 * HELD:
                         yield close()
                         held, size = [], 0
+                if len(words) > KNOWN:
+                    del known[lang]
         if size:
             yield close()
 
@@ -200,9 +200,12 @@ def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bi
                     wide = lead[1] > 0 if longest > 1 else np.zeros(starts, bool)
                     held.setdefault(lang, []).append(np.stack([x[wide] for x in lead], axis=1))
                     single.setdefault(lang, []).append(lead[0][(now[:starts] > 0) & ~wide])
-                    if len(words) > KNOWN or sum(map(len, held[lang])) + sum(map(len, single[lang])) > HELD:
+                    if sum(map(len, held[lang])) + sum(map(len, single[lang])) > HELD:
                         yield close(lang)
-                        words = known[lang] = Words(lang)
+                if len(words) > KNOWN:
+                    if lang in held:
+                        yield close(lang)
+                    del known[lang]
         for lang in list(held):
             yield close(lang)
     return rows.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n long")
