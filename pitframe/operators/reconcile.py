@@ -1,6 +1,7 @@
 """Proof that what is stored equals its source: keyed comparisons, identities, control totals.
 
-Both sides are reduced to (check, key, value) rows by aggregates before they meet.
+Both sides are reduced by aggregates before they meet: to (check, key, value) rows, or to digests of
+whole graphs that also hold the control totals.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitframe.operators.integrity import set_diff
-from pitframe.operators.quads import TYPE, class_sizes, graph_diff, graph_sizes
+from pitframe.operators.quads import QUAD_COLUMNS, TYPE, class_sizes, graph_diff, graph_sizes
+from pitframe.session import cut_lineage
 
 TOLERANCE = 1e-12
 
@@ -157,18 +159,91 @@ def verify_metadata(runs: DataFrame, manifest: DataFrame, keys: Sequence[str], c
     return compare_keyed(long(manifest), long(runs), [*keys, "column"])
 
 
-def verify_delivery(stored: DataFrame, projected: DataFrame, removed_rules: Sequence[str] = (), price_properties: Sequence[str] = ()) -> DataFrame:
-    """Per projected graph: pass, fail, or not-verifiable where nothing is stored; plus forbidden content."""
-    want = graph_sizes(projected).withColumnRenamed("triples", "expected")
-    have = graph_sizes(stored).withColumnRenamed("triples", "actual")
-    off = graph_diff(stored.join(want.select("graph"), "graph", "left_semi"), projected).groupBy("graph").agg(F.count(F.lit(1)).alias("differing"))
-    rows = want.join(have, "graph", "left").join(off, "graph", "left")
-    status = F.when(F.col("actual").isNull(), "not-verifiable").when(F.col("differing").isNull(), "pass").otherwise("fail")
-    out = rows.select(F.lit("graph").alias("check"), F.col("graph").alias("key"), status.alias("status"))
-    for name, cond in (("removed rule", F.col("object").isin(*(removed_rules or ("",)))), ("price property", F.col("predicate").isin(*(price_properties or ("",))))):
-        bad = stored.filter(cond).groupBy("graph").agg(F.count(F.lit(1)).alias("n"))
+# Properties whose values control totals count.
+COUNTED = (TYPE, "alertRule", "status", "windowId", "repairUsed")
+
+
+def quad_digests(quads: DataFrame, counted: Sequence[str] = COUNTED) -> DataFrame:
+    """(graph, kind, predicate, value, n, h1, h2): additive digests of a multiset of quads, from one scan.
+
+    Each quad has a 128-bit digest, two hashes of 64 bits from different functions; ``h1`` sums one
+    modulo 2^64 and ``h2`` xors the other, so parts add up and order doesn't matter. ``kind`` is the
+    head of the subject's id, ``value`` the object of a counted property, else null: the counts that
+    control totals ask for are among the rows. Sums are formed before the exchange, so no graph is one
+    group; every property of every kind is one short row.
+    """
+    cols = [F.coalesce(F.col(c), F.lit("\u0000")) for c in QUAD_COLUMNS]
+    text = F.concat_ws("\u0001", *cols)
+    h1 = F.xxhash64(*[F.col(c) for c in QUAD_COLUMNS])
+    h2 = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    value = F.when(F.col("predicate").isin(*counted), F.col("object"))
+    # 32-bit halves keep the sum from leaving a long; it is taken modulo 2^64 when halves are joined
+    low, high = h1.bitwiseAND(0xFFFFFFFF), F.shiftright(h1, 32)
+    return quads.groupBy("graph", F.substring_index("subject", "_", 1).alias("kind"), "predicate", value.alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(low.cast("decimal(20,0)")).alias("low"), F.sum(high.cast("decimal(20,0)")).alias("high"), F.bit_xor(h2).alias("h2"),
+    ).withColumn("h1", (F.col("low") + F.col("high") * F.lit(4294967296).cast("decimal(20,0)")).cast("string")).drop("low", "high")
+
+
+def differing_graphs(stored: DataFrame, projected: DataFrame) -> DataFrame:
+    """(graph, expected, actual, same) from two digest tables: triples of each side and whether all digests agree."""
+    keys = ["graph", "kind", "predicate", "value"]
+    side = lambda d, n: d.select(*keys, F.lit(n).alias("_side"), F.struct("n", "h1", "h2").alias("_d"))
+    one = lambda n: F.max(F.when(F.col("_side") == n, F.col("_d"))).alias(n)
+    row = side(projected, "e").unionByName(side(stored, "a")).groupBy(*keys).agg(one("e"), one("a"))
+    return row.groupBy("graph").agg(F.sum("e.n").alias("expected"), F.sum("a.n").alias("actual"), F.min(F.col("e").eqNullSafe(F.col("a"))).alias("same"))
+
+
+def digest_controls(digests: DataFrame, controls: Mapping[str, tuple[str, str, bool]]) -> DataFrame:
+    """(graph, key, subkey, value) of control totals named as key: (kind, property, by value)."""
+    parts = []
+    for key, (kind, predicate, by_value) in controls.items():
+        hit = digests.filter((F.col("kind") == kind) & (F.col("predicate") == predicate))
+        parts.append(hit.select("graph", F.lit(key).alias("key"), F.coalesce(F.col("value"), F.lit("")).alias("subkey") if by_value else F.lit("").alias("subkey"), "n"))
+    return reduce(DataFrame.unionByName, parts).groupBy("graph", "key", "subkey").agg(F.sum("n").alias("value"))
+
+
+def control_rows(digests: DataFrame, expected: DataFrame, controls: Mapping[str, tuple[str, str, bool]]) -> DataFrame:
+    """(check, key, status) of control totals ``expected`` (graph, key, subkey, value) against stored ones.
+
+    A total of zero may be absent in the store; a key that isn't among ``controls`` can't be read from the
+    store; a graph of which nothing is stored can't be verified.
+    """
+    keys = ["graph", "key", "subkey"]
+    have = digest_controls(digests, controls).withColumnRenamed("value", "actual")
+    there = digests.select("graph").distinct().withColumn("_stored", F.lit(True))
+    x = expected.select(*keys, F.col("value").cast("long").alias("expected")).join(have, keys, "left").join(there, "graph", "left")
+    status = F.when(~F.col("key").isin(*controls), "not-verifiable").when(F.col("_stored").isNull(), "not-verifiable")
+    status = status.when(F.col("expected") == F.coalesce("actual", F.lit(0)), "pass").otherwise("fail")
+    return x.select(F.lit("control").alias("check"), F.concat_ws("/", F.col("graph"), F.col("key"), F.when(F.col("subkey") != "", F.col("subkey"))).alias("key"), status.alias("status"))
+
+
+def verify_delivery(stored: DataFrame, projected: DataFrame, removed_rules: Sequence[str] = (), price_properties: Sequence[str] = (),
+                    expected: DataFrame | None = None, controls: Mapping[str, tuple[str, str, bool]] | None = None, counted: Sequence[str] = COUNTED) -> DataFrame:
+    """(check, key, status) per projected graph: pass, fail, or not-verifiable where nothing is stored; plus what may not be there.
+
+    Both sides are reduced to digests first (:func:`quad_digests`), in one scan each; every other check
+    reads those. ``expected`` holds control totals (graph, key, subkey, value) of all runs, agents and
+    series, ``controls`` says what each counts. Graphs that the delivery doesn't project are left alone;
+    the quads that differ are told by :func:`delivery_differences`.
+    """
+    counted = tuple(dict.fromkeys((*counted, *([p for _, p, by in (controls or {}).values() if by]))))
+    have, want = cut_lineage(quad_digests(stored, counted)), cut_lineage(quad_digests(projected, counted))
+    graphs = differing_graphs(have, want).filter("expected IS NOT NULL")
+    status = F.when(F.col("actual").isNull(), "not-verifiable").when(F.col("same"), "pass").otherwise("fail")
+    out = graphs.select(F.lit("graph").alias("check"), F.col("graph").alias("key"), status.alias("status"))
+    for name, cond in (("removed rule", F.col("value").isin(*(removed_rules or ("",)))), ("price property", F.col("predicate").isin(*(price_properties or ("",))))):
+        bad = have.filter(cond).groupBy("graph").agg(F.sum("n").alias("n"))
         out = out.unionByName(bad.select(F.lit(name).alias("check"), F.col("graph").alias("key"), F.lit("fail").alias("status")))
-    return out
+    return out if expected is None else out.unionByName(control_rows(have, expected, controls or {}))
+
+
+def delivery_differences(stored: DataFrame, projected: DataFrame, counted: Sequence[str] = COUNTED) -> DataFrame:
+    """Quads found on one side only, of the stored graphs whose digests differ; equal graphs are read once, for their digest."""
+    have, want = cut_lineage(quad_digests(stored, counted)), cut_lineage(quad_digests(projected, counted))
+    off = cut_lineage(differing_graphs(have, want).filter("expected IS NOT NULL AND actual IS NOT NULL AND NOT same").select("graph"))
+    if off.isEmpty():
+        return projected.sparkSession.createDataFrame([], graph_diff(stored.limit(0), projected.limit(0)).schema)
+    return graph_diff(stored.join(off, "graph", "left_semi"), projected.join(off, "graph", "left_semi"))
 
 
 def date_sets(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

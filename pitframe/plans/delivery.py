@@ -5,7 +5,7 @@ All windows go through one job set; the window is a column, never a loop.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -118,11 +118,17 @@ def load(views: Mapping[str, DataFrame], rules: DataFrame, assets: DataFrame, st
     boundary = quality.validate(views, wanted)
     if boundary.stopped:
         return Load(True, boundary.reasons, None, None, boundary.failures)
-    broken = cut_lineage(link_problems(boundary.survivors, rules))
+    survivors = boundary.survivors
+    return load_tables(link_problems(survivors, rules), lambda: class_tables(survivors, open_rules(rules), assets, label, slug), stored, path)
+
+
+def load_tables(problems: DataFrame, project: Callable[[], list[tuple[ClassMap, DataFrame]]], stored: DataFrame, path: str | None = None) -> Load:
+    """Refuse on ``problems``, else project, check ids and shapes, plan, and write if ``path`` is given."""
+    broken = cut_lineage(problems)
     if not broken.isEmpty():
         return Load(True, ["rows link to nothing"], None, None, broken)
     # projected once; checks, shapes, gate and write read what was stored
-    tables = [(m, cut_lineage(t)) for m, t in class_tables(boundary.survivors, open_rules(rules), assets, label, slug)]
+    tables = [(m, cut_lineage(t)) for m, t in project()]
     broken = cut_lineage(class_problems(tables))
     if not broken.isEmpty():
         return Load(True, ["ids or required properties"], None, None, broken)
