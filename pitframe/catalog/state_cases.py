@@ -2,9 +2,18 @@
 
 from pyspark.sql import functions as F
 
+from pitframe.catalog.entity_cases import alert_table
 from pitframe.catalog.measure_cases import MEM
 from pitframe.catalog.registry import case, table
 from pitframe.catalog.stream_cases import scratch
+from pitframe.operators import gate as G
+from pitframe.operators import temporal as T
+from pitframe.operators.quads import melt
+from pitframe.plans import entities as E
+from pitframe.plans.casebook import check_sql
+from pitframe.session import cut_lineage
+from pitframe.sources import sinks
+from pitframe.sources.catalogue import Catalogue
 from pitframe.streaming import jobs as J
 from pitframe.streaming import state as S
 
@@ -123,3 +132,45 @@ def stream_episodes_keyed(spark, sf):
     with S.rocksdb(spark):
         in_starts(spark, e, out, parts, lambda s: J.run_available(S.keyed_episodes(s, days), f"{out}/cp", J.write_batch(f"{out}/rows")))
     return S.episodes_of(J.written(spark, f"{out}/rows", S.EPISODE), ranking)
+
+
+# --- the store's catalogue, and later events ---
+
+
+@case("append_catalogue", check_sql("v_guard_alert", """
+    SELECT 'urn:graph:derived:backtest:base:' || window_id || ':' || backtest_run_id AS graph, CASE WHEN window_id IN ('P5', 'P6') THEN 1 ELSE 2 END AS load, count(*) AS declared, 'already-in-the-store' AS status FROM v_guard_alert GROUP BY 1, 2"""))
+def append_catalogue(spark, sf):
+    """Two loads, then a batch planned against the catalogue: which load wrote a graph, what the index declares of it, what a third load would do."""
+    out = scratch(spark)
+    q = cut_lineage(melt(alert_table(spark, sf), E.ALERT))
+    sinks.append_graph(q.filter(F.col("graph").rlike(":P[56]:")), out)
+    first = Catalogue(spark, out).graphs().select(F.collect_set("version").alias("v")).first()["v"]
+    sinks.append_graph(q, out)
+    c = Catalogue(spark, out)
+    graphs = c.graphs().select("graph", F.when(F.col("version").isin(first), 1).otherwise(2).alias("load"))
+    schema = G.GateSchema(leaf_classes=("GuardAlert",), relations=("alertRule", "guardAsset"))
+    plan = G.plan_batch(q, q.limit(0), schema, catalogue=c).select("graph", "status")
+    declared = c.subjects().groupBy("graph").agg(F.count(F.lit(1)).alias("declared"))
+    return graphs.join(declared, "graph").join(plan, "graph")
+
+
+@case("taken_ids_indexed", check_sql("v_guard_alert", "SELECT 'GuardAlert_base_' || window_id || '_' || alert_id || ': id-stored' AS reason FROM v_guard_alert WHERE alert_id % 3 = 0"))
+def taken_ids_indexed(spark, sf):
+    """Individuals declared again in another graph, found by the index alone."""
+    out = scratch(spark)
+    q = cut_lineage(melt(alert_table(spark, sf), E.ALERT))
+    sinks.append_graph(q, out)
+    again = q.filter((F.col("predicate") == "rdf:type") & (F.regexp_extract("subject", r"_(\d+)$", 1).cast("long") % 3 == 0)).withColumn("graph", F.lit("urn:graph:ingest:SECTOR:2001-01-01"))
+    return G.taken_ids(again, q.limit(0), Catalogue(spark, out).subjects()).select("reason")
+
+
+@case("later_summary", """
+    SELECT e.event_id, (SELECT count(*) FROM events l WHERE l.user_id = e.user_id AND l.event_type = 'view' AND l.ts > e.ts) AS n_later,
+      (SELECT min(ts) FROM events l WHERE l.user_id = e.user_id AND l.event_type = 'view' AND l.ts > e.ts) AS first_later, (SELECT max(ts) FROM events l WHERE l.user_id = e.user_id AND l.event_type = 'view' AND l.ts > e.ts) AS last_later
+    FROM events e WHERE e.event_type = 'error'""")
+def later_summary(spark, sf):
+    """How many views a user has after each error, the first and the last of them; days are the blocks."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    day = lambda t: F.datediff(t.cast("date"), F.lit("2024-01-01").cast("date"))
+    x = T.later_summary(e.filter("event_type = 'error'"), e.filter("event_type = 'view'").select("user_id", F.col("ts").alias("at")), ["user_id"], "ts", "at", day)
+    return x.select("event_id", "n_later", "first_later", "last_later")

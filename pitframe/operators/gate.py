@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pitframe.operators.hierarchy import cycles
 from pitframe.operators.quads import TYPE, valid_graph
 from pitframe.session import cut_lineage, small_side
+from pitframe.sources.catalogue import Catalogue
 
 IRI = r"^[^\x00-\x20<>\"{}|^`\\]+$"
 DAY = r"^\d{4}-\d{2}-\d{2}$"
@@ -245,10 +246,13 @@ def current_sections(stored: DataFrame, schema: GateSchema) -> DataFrame:
     return sections.join(stored.filter(F.col("predicate") == schema.superseded_by).select("subject"), "subject", "left_anti")
 
 
-def taken_ids(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Declared individuals another stored graph already declares; an observation is never rewritten."""
+def taken_ids(batch: DataFrame, stored: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """Declared individuals another stored graph already declares; an observation is never rewritten.
+
+    ``index`` is the store's (graph, subject) of declared individuals; bucketed by subject it isn't moved.
+    """
     mine = typed(batch)
-    theirs = typed(stored).withColumnRenamed("graph", "_g")
+    theirs = (typed(stored) if index is None else index).select("subject", F.col("graph").alias("_g"))
     hits = mine.join(theirs, "subject").filter(F.col("graph") != F.col("_g")).select("graph", "subject").distinct()
     return hits.select("graph", F.lit("ids").alias("check"), F.concat(F.col("subject"), F.lit(": id-stored")).alias("reason"))
 
@@ -256,25 +260,37 @@ def taken_ids(batch: DataFrame, stored: DataFrame) -> DataFrame:
 ORDER = ("target", "types", "untyped", "restatements", "shapes", "closings", "supersessions", "ids")
 
 
-def violations(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None) -> DataFrame:
-    """All problems of a batch, with the position of their check."""
-    parts = [bad_targets(batch), unknown_types(batch, schema), untyped_writes(batch, schema), restatement_problems(batch, schema)]
+def violations(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
+    """All problems of a batch, with the position of their check.
+
+    One look at the batch tells which kinds of statements it holds; checks of kinds it lacks find nothing
+    and are left out, with their reads of the store.
+    """
+    p = F.col("predicate")
+    kinds = {"dated": p.isin(*schema.dated), "restated": p == schema.superseded_by, "typed": p == TYPE}
+    said = batch.agg(*[F.coalesce(F.max(c), F.lit(False)).alias(n) for n, c in kinds.items()]).first()
+    parts = [bad_targets(batch), untyped_writes(batch, schema)]
+    if said["typed"]:
+        parts += [unknown_types(batch, schema), taken_ids(batch, stored, index)]
+    if said["restated"]:
+        parts += [restatement_problems(batch, schema), refused_supersessions(batch, stored, schema)]
+    if said["dated"]:
+        parts.append(refused_closures(batch, stored, schema))
     if shape_results is not None:
         parts.append(shape_results.select("graph", F.lit("shapes").alias("check"), F.concat_ws(" ", "shape", "focus", "path", "constraint").alias("reason")))
-    parts += [refused_closures(batch, stored, schema), refused_supersessions(batch, stored, schema), taken_ids(batch, stored)]
     rank = F.element_at(F.create_map(*[x for i, n in enumerate(ORDER) for x in (F.lit(n), F.lit(i))]), F.col("check"))
     return reduce(DataFrame.unionByName, parts).withColumn("position", rank)
 
 
-def plan_batch(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None) -> DataFrame:
+def plan_batch(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None, catalogue: Catalogue | None = None) -> DataFrame:
     """One row per graph: would-be-written, already-in-the-store or refused, with the deciding check.
 
     A stored graph is settled before the checks that read the store; the first check that finds
-    anything decides.
+    anything decides. With the store's ``catalogue``, stored graphs and ids are read from it.
     """
     graphs = batch.groupBy("graph").agg(F.count(F.lit(1)).alias("triples"))
-    there = stored.select("graph").distinct().withColumn("_there", F.lit(True))
-    per_check = violations(batch, stored, schema, shape_results).groupBy("graph", "check", "position").agg(
+    there = (stored if catalogue is None else catalogue.graphs()).select("graph").distinct().withColumn("_there", F.lit(True))
+    per_check = violations(batch, stored, schema, shape_results, None if catalogue is None else catalogue.subjects()).groupBy("graph", "check", "position").agg(
         F.count(F.lit(1)).alias("problems"), F.min("reason").alias("reason"))
     first = per_check.groupBy("graph").agg(F.min(F.struct("position", "check", "problems", "reason")).alias("f"))
     batch_only = ORDER.index("shapes")
@@ -288,9 +304,9 @@ def plan_batch(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_re
         F.when(refused, F.col("f.problems")).alias("problems"), F.when(refused, F.col("f.reason")).alias("reason"))
 
 
-def preflight(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None) -> tuple[bool, DataFrame, DataFrame]:
+def preflight(batch: DataFrame, stored: DataFrame, schema: GateSchema, shape_results: DataFrame | None = None, catalogue: Catalogue | None = None) -> tuple[bool, DataFrame, DataFrame]:
     """Plan every graph before writing any: (all clear, plan, quads to write); a refusal writes nothing."""
-    plan = cut_lineage(plan_batch(batch, stored, schema, shape_results))
+    plan = cut_lineage(plan_batch(batch, stored, schema, shape_results, catalogue))
     clear = plan.filter("status = 'refused'").isEmpty()
     new = plan.filter("status = 'would-be-written'").select("graph")
     return clear, plan, batch.join(small_side(new), "graph", "left_semi") if clear else batch.limit(0)

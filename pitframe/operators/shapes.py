@@ -64,13 +64,10 @@ def _out(df: DataFrame) -> DataFrame:
     return df.select(*RESULT)
 
 
-def check_values(quads: DataFrame, constraints: Sequence[Constraint], types: DataFrame) -> DataFrame:
-    """Datatype, node kind, closed list, pattern, length and bounds: wrong values are found first,
-    by constraints joined on the property, and only those are joined to their class."""
-    table = F.broadcast(constraint_table(quads.sparkSession, constraints))
-    number = F.col("object").try_cast("decimal(38,18)")
-    limit = F.col("arg").try_cast("decimal(38,18)")
-    wrong = (
+def wrong_value() -> Column:
+    """Whether a quad breaks the value constraint (kind, arg, args) it was joined to."""
+    number, limit = F.col("object").try_cast("decimal(38,18)"), F.col("arg").try_cast("decimal(38,18)")
+    return (
         F.when(F.col("kind") == "datatype", ~F.col("datatype").eqNullSafe(F.col("arg")))
         .when(F.col("kind") == "nodekind", F.col("object_kind") != F.col("arg"))
         .when(F.col("kind") == "in", ~F.array_contains("args", F.col("object")))
@@ -79,7 +76,13 @@ def check_values(quads: DataFrame, constraints: Sequence[Constraint], types: Dat
         .when(F.col("kind") == "minInclusive", number.isNull() | (number < limit))
         .when(F.col("kind") == "maxInclusive", number.isNull() | (number > limit))
     )
-    hits = quads.join(table, F.col("predicate") == F.col("path")).filter(wrong)
+
+
+def check_values(quads: DataFrame, constraints: Sequence[Constraint], types: DataFrame) -> DataFrame:
+    """Datatype, node kind, closed list, pattern, length and bounds: wrong values are found first,
+    by constraints joined on the property, and only those are joined to their class."""
+    table = F.broadcast(constraint_table(quads.sparkSession, constraints))
+    hits = quads.join(table, F.col("predicate") == F.col("path")).filter(wrong_value())
     hits = hits.withColumnRenamed("subject", "focus").join(types, ["graph", "focus", "cls"], "left_semi")
     return _out(hits.select("graph", "shape", "focus", "path", F.col("kind").alias("constraint"), F.col("object").alias("value")))
 
@@ -109,6 +112,53 @@ def check_cardinality(quads: DataFrame, constraints: Sequence[Constraint], types
     return _out(rows.filter(bad).select("graph", "shape", "focus", "path", F.col("kind").alias("constraint"), F.col("n").cast("string").alias("value")))
 
 
+NODE = "\x01"  # parts a property from a class or value in the keys below
+
+
+def check_compiled(quads: DataFrame, constraints: Sequence[Constraint], is_set: bool = False) -> DataFrame:
+    """Values and cardinalities of all classes in one pass: each quad is moved once, to its subject.
+
+    Wrong values are found where a quad is read. A subject's quads are then counted by property, type and
+    wanted value, the counts become one map, and every constraint of its classes is a test on that map;
+    only violations leave the row, never a row per individual and constraint. A wrong value stated
+    twice is one violation.
+    """
+    vals, cards = _of(constraints, VALUE_KINDS), _of(constraints, CARDINALITY)
+    quads = quads if is_set else quads.dropDuplicates()
+    p, o = F.col("predicate"), F.col("object")
+    hit_type = "struct<shape:string,cls:string,path:string,kind:string,value:string>"
+    paths = sorted({c.path for c in cards})
+    keys = [F.when(p == TYPE, F.concat(F.lit(TYPE + NODE), o)).otherwise(p)]
+    for path, value in sorted({(c.path, c.value) for c in cards if c.kind == "hasValue"}):
+        keys.append(F.when((p == path) & (o == value), F.lit(path + NODE + value)))
+    own = quads.filter(p.isin(TYPE, *paths))
+    key = keys[0] if len(keys) == 1 else F.explode(F.array_compact(F.array(*keys)))
+    rows = own.select("graph", "subject", key.alias("key")).withColumn("hit", F.lit(None).cast(hit_type))
+    if vals:
+        table = F.broadcast(constraint_table(quads.sparkSession, vals))
+        bad = quads.join(table, p == F.col("path")).filter(wrong_value())
+        hit = F.struct("shape", "cls", "path", "kind", o.alias("value"))
+        rows = rows.unionByName(bad.select("graph", "subject", F.lit(None).cast("string").alias("key"), hit.cast(hit_type).alias("hit")))
+    per = rows.repartition("graph", "subject").groupBy("graph", "subject", "key", "hit").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    node = per.groupBy("graph", "subject").agg(F.map_from_entries(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "n")))).alias("m"), F.collect_list("hit").alias("hits"))
+    by_cls: dict[str, list[Constraint]] = {}
+    for c in cards:
+        by_cls.setdefault(c.cls, []).append(c)
+    rule = lambda c: F.struct(F.lit(c.shape).alias("shape"), F.lit(c.path).alias("path"), F.lit(c.kind).alias("kind"), F.lit(int(c.value) if c.kind != "hasValue" else 0).alias("most"), F.lit(c.path + NODE + (c.value or "")).alias("held"))
+    none = F.array().cast("array<struct<shape:string,path:string,kind:string,most:int,held:string>>")
+    rules = F.create_map(*[x for cls, cs in by_cls.items() for x in (F.lit(cls), F.array(*[rule(c) for c in cs]))]) if by_cls else None
+    mine = F.transform(F.filter(F.map_keys("m"), lambda k: k.startswith(TYPE + NODE)), lambda k: F.substring_index(k, NODE, -1))
+    node = node.withColumn("classes", mine)
+    result = lambda shape, path, kind, value: F.struct(shape.alias("shape"), path.alias("path"), kind.alias("constraint"), value.alias("value"))
+    found = F.transform(F.filter("hits", lambda h: F.array_contains("classes", h["cls"])), lambda h: result(h["shape"], h["path"], h["kind"], h["value"]))
+    if rules is not None:
+        n = lambda c: F.coalesce(F.try_element_at("m", c["path"]), F.lit(0))
+        broken = lambda c: F.when(c["kind"] == "minCount", n(c) < c["most"]).when(c["kind"] == "maxCount", n(c) > c["most"]).otherwise(~F.map_contains_key("m", c["held"]))
+        per_class = lambda cls: F.transform(F.filter(F.coalesce(F.try_element_at(rules, cls), none), broken), lambda c: result(c["shape"], c["path"], c["kind"], n(c).cast("string")))
+        found = F.concat(found, F.flatten(F.transform("classes", per_class)))
+    return _out(node.select("graph", F.col("subject").alias("focus"), F.inline(found)))
+
+
 def check_class(quads: DataFrame, constraints: Sequence[Constraint], types: DataFrame, known: DataFrame) -> DataFrame:
     """Linked nodes that are not of the required class, in the batch or in its context."""
     table = F.broadcast(constraint_table(quads.sparkSession, constraints))
@@ -196,12 +246,16 @@ def validate_shapes(
     ``pairs`` is the subclass closure, ``context`` the stored quads about referenced nodes (their
     types count for ``class``), ``extra`` further checks taking (quads, types).
     """
+    plain = types is None and pairs is None  # each node's classes are its own quads
     types = type_table(quads, pairs) if types is None else types
     parts = []
-    if chosen := _of(constraints, VALUE_KINDS):
-        parts.append(check_values(quads, chosen, types))
-    if chosen := _of(constraints, CARDINALITY):
-        parts.append(check_cardinality(quads, chosen, types, is_set))
+    if plain and (chosen := _of(constraints, (*VALUE_KINDS, *CARDINALITY))):
+        parts.append(check_compiled(quads, chosen, is_set))
+    elif not plain:
+        if chosen := _of(constraints, VALUE_KINDS):
+            parts.append(check_values(quads, chosen, types))
+        if chosen := _of(constraints, CARDINALITY):
+            parts.append(check_cardinality(quads, chosen, types, is_set))
     if chosen := _of(constraints, ("class",)):
         known = types.select("focus", "cls")
         if context is not None:

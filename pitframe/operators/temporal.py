@@ -10,7 +10,7 @@ can split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -220,6 +220,31 @@ def later_events(
     return df.join(right, on, "left").drop(*[f"_k{i}" for i in range(len(key))])
 
 
+def later_summary(df: DataFrame, events: DataFrame, key: Sequence[str], ts: str, event_ts: str, block: Callable[[Column], Column]) -> DataFrame:
+    """Each row with ``n_later``, ``first_later`` and ``last_later``: its key's strictly later events, without pairs.
+
+    ``block`` maps a time to a number that never falls as time grows. Events are counted per (key, time)
+    and summed per (key, block); whole later blocks are read from those sums, and only the row's own block
+    is looked into. A group holds the times of one block of a key, or the blocks of a key, so a hot key is
+    spread. A null time or key part has no later events: 0, null, null.
+    """
+    key = list(key)
+    usable = F.lit(True)
+    for c in key:
+        usable = usable & F.col(c).isNotNull()
+    e = events.filter(usable & F.col(event_ts).isNotNull()).groupBy(*key, F.col(event_ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+    r = df.filter(usable & F.col(ts).isNotNull()).select(*key, F.col(ts).alias("_t")).distinct()
+    both = e.unionByName(r.withColumn("_n", F.lit(0).cast("long"))).groupBy(*key, "_t").agg(F.sum("_n").alias("_n")).withColumn("_b", block(F.col("_t")))
+    met = F.when(F.col("_n") > 0, F.col("_t"))
+    sums = both.groupBy(*key, "_b").agg(F.sum("_n").alias("_n"), F.min(met).alias("_low"), F.max(met).alias("_high"))
+    later = Window.partitionBy(*key).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*key, "_b", F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_n2"), F.min("_low").over(later).alias("_first2"), F.max("_high").over(later).alias("_last2"))
+    own = Window.partitionBy(*key, "_b").orderBy(F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = both.select(*key, "_b", "_t", F.coalesce(F.sum("_n").over(own), F.lit(0)).alias("_n1"), F.min(met).over(own).alias("_first1"), F.max(met).over(own).alias("_last1"))
+    found = inside.join(sums, [*key, "_b"]).select(*key, F.col("_t").alias(ts), (F.col("_n1") + F.col("_n2")).alias("n_later"), F.coalesce("_first1", "_first2").alias("first_later"), F.coalesce("_last2", "_last1").alias("last_later"))
+    return df.join(found, [*key, ts], "left").withColumn("n_later", F.coalesce("n_later", F.lit(0)))
+
+
 def asof_rule(
     df: DataFrame, date: str, rules: DataFrame, on: Sequence[str], rule: str = "rule_iri",
     start: str = "valid_from", end: str = "valid_to",

@@ -19,6 +19,7 @@ from pitframe.plans import entities as E
 from pitframe.plans import projections as P
 from pitframe.plans.contracts import EXPECTATIONS
 from pitframe.session import cut_lineage
+from pitframe.sources.catalogue import Catalogue
 from pitframe.sources.sinks import append_graph
 
 BACKTEST_VIEWS = ("v_book", "v_book_rebalance", "v_guard_alert", "v_guard_action", "v_book_weight_daily",
@@ -136,7 +137,7 @@ def load_tables(problems: DataFrame, project: Callable[[], list[tuple[ClassMap,
     results = shapes.validate_shapes(quads, shape_rules(tables), is_set=True)
     schema = gate.GateSchema(leaf_classes=tuple(m.cls for m, _ in tables), relations=tuple(
         x for m, _ in tables for p in m.props if p.kind == "iri" for x in (p.name, p.inverse) if x))
-    clear, plan, new = gate.preflight(quads, stored, schema, results)
+    clear, plan, new = gate.preflight(quads, stored, schema, results, Catalogue(quads.sparkSession, path) if path else None)
     if not clear:
         return Load(True, ["a graph is refused"], quads, plan, results)
     report = append_graph(new, path) if path else None

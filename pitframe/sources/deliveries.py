@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +23,33 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.withColumn("file", F.substring_index("path", "/", -1))
 
 
-def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
+LARGE = 1 << 30  # bytes from which a file is streamed; a binary column holds less than 2 GB
+
+
+def file_hashes(spark: SparkSession, folder: str, large: int = LARGE) -> DataFrame:
     """(file, actual): every file hashed in the JVM, from any file system Spark reads.
 
-    A file over the 2 GB that a binary column holds raises; it is never left out.
+    Files of ``large`` bytes or more are read as streams by the driver's JVM, several at a time, each
+    through one buffer; the others are hashed by Spark's tasks. Only paths and digests are held.
     """
     binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return binary.select(F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("actual"))
+    small = binary.filter(F.col("length") < large).select(F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("actual"))
+    paths = [r["path"] for r in binary.filter(F.col("length") >= large).select("path").collect()]
+    if not paths:
+        return small
+    with ThreadPoolExecutor(4) as pool:
+        digests = list(pool.map(lambda path: streamed_sha256(spark, path), paths))
+    return small.unionByName(spark.createDataFrame([(p.rsplit("/", 1)[-1], d) for p, d in zip(paths, digests, strict=True)], "file string, actual string"))
+
+
+def streamed_sha256(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file of any length, read in order through its Hadoop file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def compare_hashes(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitframe.operators.quads import QUAD_COLUMNS, graph_family, graph_sizes, ntriples
 from pitframe.session import cut_lineage
+from pitframe.sources.catalogue import Catalogue
 
 CHUNK = 20_000
 GRAPH_ROWS = 400_000
@@ -26,12 +29,12 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def append_graph(quads: DataFrame, path: str, max_records: int | None = None) -> DataFrame:
     """Append the graphs the store does not hold; returns (graph, status, triples).
 
-    Rows are ranged by (graph, subject), so big graphs span files, small ones share one, and the
-    row-group statistics of ``graph`` let readers skip. ``max_records`` bounds the file chunks.
+    The catalogue says which graphs there are, so no stored quad is read. Rows are ranged by (graph,
+    subject), so big graphs span files, small ones share one, and the row-group statistics of ``graph``
+    let readers skip. ``max_records`` bounds the file chunks.
     """
-    spark = quads.sparkSession
-    ddl = ", ".join(f"{c} string" for c in (*QUAD_COLUMNS, "graph_family"))
-    have = cut_lineage(read_or_empty(spark, path, ddl).select("graph").distinct())
+    catalogue = Catalogue(quads.sparkSession, path)
+    have = cut_lineage(catalogue.graphs().select("graph").distinct())
     new = quads.join(have, "graph", "left_anti").withColumn("graph_family", F.coalesce(graph_family(F.col("graph")), F.lit("other")))
     report = cut_lineage(graph_sizes(quads).join(have.withColumn("_h", F.lit(True)), "graph", "left").select(
         "graph", F.when(F.col("_h"), "already-in-the-store").otherwise("written").alias("status"), "triples"))
@@ -40,6 +43,8 @@ def append_graph(quads: DataFrame, path: str, max_records: int | None = None) ->
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.parquet(path)
+    sizes = report.filter("status = 'written'").withColumn("graph_family", F.coalesce(graph_family(F.col("graph")), F.lit("other")))
+    catalogue.register(new, sizes, uuid.uuid4().hex)
     return report
 
 

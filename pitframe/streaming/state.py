@@ -41,8 +41,8 @@ def _bits(ident: str) -> list[Column]:
 
 
 def _set(bitmap: str, place: Column) -> Column:
-    byte = F.conv(F.hex(F.expr(f"substring({bitmap}, 1)").substr(F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.shiftleft(F.lit(1), (place % 8).cast("int"))) != 0
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(1) == 1
 
 
 def _may_hold(ident: str, alias: str) -> Column:
