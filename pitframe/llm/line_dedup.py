@@ -17,12 +17,13 @@ Equal lines are one line throughout; each task sends a line once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ PAIR_KEY = 64  # lines of a key that are compared without another segment
 LEVELS = 3
 BLOCK = 2048  # lines of a key that meet another block's in one task
 SEEN = 1 << 20  # lines a task remembers to send once
+SLICE = 1 << 20  # characters of lines that are signed at once
+BASE = 0x5851F42D4C957F2D  # odd, so that its powers have inverses modulo 2^64
 
 
 def allowed(length: int, share: int | None) -> int:
@@ -43,6 +46,12 @@ def allowed(length: int, share: int | None) -> int:
     return few if share is None else max(few, length // share)
 
 
+def allowed_all(lengths: np.ndarray, share: int | None) -> np.ndarray:
+    """``allowed`` of many lengths."""
+    few = np.where(lengths >= SHORTEST, EDITS, 0)
+    return few if share is None else np.maximum(few, lengths // share)
+
+
 def shortest(share: int | None) -> int:
     return SHORTEST if share is None else min(SHORTEST, share)
 
@@ -113,31 +122,111 @@ def distinct_lines(texts: Iterator[str | None], seen: set, least: int = SHORTEST
                     yield h, line
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of ``BASE`` modulo 2^64 and their inverses."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[:1] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def shifts_of(edits: int, gap: int) -> list[tuple[int, int]]:
+    """(segment, shift) that a line probes among lines shorter by ``gap``, as ``probes`` does for one whole segment."""
+    return [(i, s) for i in range(edits + 1) for s in range(-edits, edits + 1) if abs(s) + abs(gap - s) <= edits and _needed(i, s, gap, edits + 1, edits)]
+
+
+def line_keys(lines: list[str], share: int | None, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place in ``lines``, indexed) of every probe with one whole segment, for all lines at once.
+
+    A segment's hash is the difference of two prefix sums of characters times powers; the lengths
+    and places of segments follow from the line's length, so a probe is a few steps over arrays.
+    """
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    starts = np.cumsum(sizes) - sizes
+    chars = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    up, down = table
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars * up[:len(chars)], dtype=np.uint64)])
+    most = allowed_all(sizes, share)
+    keys, places, indexed = [], [], []
+    for gap in range(int(most.max(initial=0)) + 1):
+        edits = allowed_all(sizes - gap, share)
+        edits[(edits < gap) | (sizes - gap < shortest(share))] = -1
+        for e in np.unique(edits[edits >= 0]).tolist():
+            at = np.flatnonzero(edits == e)
+            short = sizes[at] - gap
+            size, more = np.divmod(short, e + 1)
+            for i, shift in shifts_of(e, gap):
+                a = i * size + np.maximum(i - (e + 1 - more), 0) + shift
+                b = a + size + (i >= e + 1 - more)
+                ok = (a >= 0) & (b <= sizes[at])
+                a, b = (starts[at] + a)[ok], (starts[at] + b)[ok]
+                h = (sums[b] - sums[a]) * down[a] + short[ok].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(i * 0xC2B2AE3D27D4EB4F & (1 << 64) - 1)
+                h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                keys.append(h ^ (h >> np.uint64(29)))
+                places.append(at[ok])
+                indexed.append(np.full(len(a), gap == 0 and shift == 0))
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(indexed)
+
+
 def signed(rows: DataFrame, whole: int, column: str, is_line: bool, share: int | None = None) -> DataFrame:
     """(key, line, indexed) of every distinct line of a column of texts or of lines."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        digest, seen = xxhash.xxh3_64_intdigest, set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        table = powers(2 * SLICE)
         for x in batches:
-            keys, lines, indexed = [], [], []
-            found = ((line_hash(v), v) for v in x[column]) if is_line else distinct_lines(x[column], seen, shortest(share))
-            for h, line in found:
-                plan = probes(len(line), whole, share)
-                for name, is_index in plan:
-                    piece, seed = "", hash(name[:1 + whole])
-                    for k in range(1 + whole, len(name), 2):
-                        piece += line[name[k]:name[k] + name[k + 1]]
-                    keys.append(digest(piece, seed & 0xFFFFFFFFFFFFFFFF))
-                    indexed.append(is_index)
-                lines += [h] * len(plan)
-                if len(keys) > 400_000:
-                    yield packed(keys, lines, indexed)
-                    keys, lines, indexed = [], [], []
-            yield packed(keys, lines, indexed)
-    return rows.select(column).mapInPandas(run, "key long, line long, indexed boolean")
-
-
-def packed(keys: list[int], lines: list[int], indexed: list[bool]) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "line": np.array(lines, np.uint64).view(np.int64), "indexed": np.array(indexed, bool)})
+            texts = (t.as_py() for t in x.column(0))
+            found = ((line_hash(v), v) for v in texts) if is_line else distinct_lines(texts, seen, shortest(share))
+            for numbers, lines in slices(found):
+                if whole == 1:
+                    n = sum(map(len, lines))
+                    if n > len(table[0]):
+                        table = powers(n)
+                    keys, at, indexed = line_keys(lines, share, table)
+                    yield packed(keys, np.array(numbers, np.uint64)[at], indexed)
+                else:
+                    yield from piece_keys(numbers, lines, whole, share)
+    return rows.select(column).mapInArrow(run, "key long, line long, indexed boolean")
+
+
+def slices(found: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
+    """Lines with their numbers, about ``SLICE`` characters at a time."""
+    numbers, lines, size = [], [], 0
+    for h, line in found:
+        numbers.append(h)
+        lines.append(line)
+        size += len(line)
+        if size >= SLICE:
+            yield numbers, lines
+            numbers, lines, size = [], [], 0
+    if lines:
+        yield numbers, lines
+
+
+def piece_keys(numbers: list[int], lines: list[str], whole: int, share: int | None) -> Iterator[pa.RecordBatch]:
+    """Keys that name several whole segments."""
+    digest = xxhash.xxh3_64_intdigest
+    keys, own, indexed = [], [], []
+    for h, line in zip(numbers, lines, strict=True):
+        plan = probes(len(line), whole, share)
+        for name, is_index in plan:
+            piece, seed = "", hash(name[:1 + whole])
+            for k in range(1 + whole, len(name), 2):
+                piece += line[name[k]:name[k] + name[k + 1]]
+            keys.append(digest(piece, seed & 0xFFFFFFFFFFFFFFFF))
+            indexed.append(is_index)
+        own += [h] * len(plan)
+        if len(keys) > 400_000:
+            yield packed(keys, own, indexed)
+            keys, own, indexed = [], [], []
+    yield packed(keys, own, indexed)
+
+
+def packed(keys: Sequence[int], lines: Sequence[int], indexed: Sequence[bool]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(lines, np.uint64).view(np.int64)), pa.array(np.array(indexed, bool))], ["key", "line", "indexed"])
 
 
 def within(a: str, b: str, most: int) -> int | None:
