@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["temporal_cases", "linking_cases", "graph_cases", "quality_cases", "measure_cases", "entity_cases", "question_cases", "stream_cases", "delivery_cases", "more_cases", "rule_cases", "proof_cases", "state_cases"]
+MODULES = ["temporal_cases", "linking_cases", "graph_cases", "quality_cases", "measure_cases", "entity_cases", "question_cases", "stream_cases", "delivery_cases", "more_cases", "rule_cases", "proof_cases", "state_cases", "branch_cases"]
 
 
 def load():

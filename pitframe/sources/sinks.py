@@ -65,7 +65,7 @@ def split_graphs(df: DataFrame, date: str, max_rows: int = GRAPH_ROWS, per_row:
 
 
 def replace_graphs(staged: DataFrame, root: str, expected: DataFrame, version: str) -> DataFrame:
-    """Stage a new version, check its counts, then switch a one-row pointer; else the old one stays.
+    """Stage a new version, check its counts, then switch a one-row pointer, and check what is live; else the old one stays.
 
     Returns the pointer row (version, switched, reason). A failed run leaves an unread folder only.
     """
@@ -78,6 +78,9 @@ def replace_graphs(staged: DataFrame, root: str, expected: DataFrame, version: s
     bad = off.count()
     if bad == 0:
         spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").json(f"{root}/pointer")
+        live = graph_sizes(current_graphs(spark, root)).join(expected.select("graph", F.col("triples").alias("want")), "graph", "full_outer")
+        if not live.filter(~F.col("triples").eqNullSafe(F.col("want"))).isEmpty():  # another version was switched to meanwhile
+            return spark.createDataFrame([(version, False, "the live graphs aren't this version's")], "version string, switched boolean, reason string")
     return spark.createDataFrame([(version, bad == 0, None if bad == 0 else f"{bad} graph(s) differ in size")],
                                  "version string, switched boolean, reason string")
 
