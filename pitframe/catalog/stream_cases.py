@@ -1,6 +1,5 @@
 """Streams over the event files, and scans and sinks over files Spark writes from the tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,14 +11,14 @@ from pitframe.catalog.registry import case, table
 from pitframe.operators.quads import melt
 from pitframe.plans import entities as E
 from pitframe.plans.casebook import check_sql
+from pitframe.session import shared_root
 from pitframe.sources import deliveries, scans, sinks
 from pitframe.streaming import jobs as J
 
 
 def scratch(spark) -> str:
-    """A new folder in the cluster's shared space, or a temporary one where a session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared space."""
+    return f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
 
 
 def events(spark, sf):

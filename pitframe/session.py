@@ -41,13 +41,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
     return spark
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster shares (spark.checkpoint.dir). A local session without one gets a folder of its own; a cluster must name one."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
+    sc._pitframe_folder = getattr(sc, "_pitframe_folder", None) or tempfile.mkdtemp(prefix="spark-")
+    return sc._pitframe_folder
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint to the shared folder the cluster names; only a session without one gets a folder."""
+    """Checkpoint to the shared folder."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager)
 
 
