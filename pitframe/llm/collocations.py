@@ -6,11 +6,12 @@ the columns then sums them over ever shorter prefixes, which gives the count of
 length, of every word, and of all words of a language, from one row per window instead of one per
 phrase.
 
-Most windows occur once and no phrase in them can reach the wanted count. A first pass counts single
-words and neighbours in hashed slots; a slot's count is never below that of its phrases, so a window
-may be padded from the first word or pair on whose slot stays below the bound. This changes no count
-at or above the bound. Slots are a fixed table (2^28 bits, 32 MB); when the input fills it, less is
-padded away and the windows move whole, with the same results.
+Most windows occur once and no phrase in them can reach the wanted count. Two passes before count
+prefixes of windows in hashed slots, first words and pairs, then longer ones whose pairs all stand; a
+slot's count is never below that of its phrases, so a window may be padded from the first prefix on
+whose slot stays below the bound. This changes no count at or above the bound. Slots are a fixed table
+(2^28 bits, 32 MB); when the input fills it, less is padded away and the windows move whole, with the
+same results.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ TOP = 2000  # phrases a language
 SLOT_BITS = 28
 CHUNK_BITS = 16  # slots travel in chunks of 2^16
 SEGMENT = 1 << 20  # bytes of text cut into words at a time
-KNOWN = 1 << 18  # words of a language that a task remembers before it hands on what it counted
+KNOWN = 1 << 17  # words of a language that a task remembers before it hands on what it counted
 HELD = 1 << 20  # windows of a language that a task holds before it counts them
 
 BREAK = b"\xff"  # in no UTF-8 text
@@ -85,13 +86,24 @@ def numbered(texts: list[bytes], words: Words, ahead: int) -> Iterator[tuple[np.
             yield np.concatenate([now, np.zeros(ahead, np.int32)]), len(now)
 
 
-def slots(now: np.ndarray, words: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(slot of each word, slot of each word with the next)."""
-    h = words.hashed(now)
-    a, b = h[:-1], h[1:]
-    pair = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
-    pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - bits)).astype(np.int64), (pair >> np.uint64(64 - bits)).astype(np.int64)
+def followed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a phrase hashed ``a`` with one more word hashed ``b``."""
+    h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Slots:
+    """The frequent slots: a bit each."""
+
+    def __init__(self, bits: int, chunks: list[tuple[int, bytes]]):
+        self.shift, step = np.uint64(64 - bits), 1 << CHUNK_BITS >> 3
+        self.bitmap = np.zeros(max(1 << bits >> 3, step), np.uint8)
+        for chunk, raw in chunks:
+            self.bitmap[chunk * step:(chunk + 1) * step] |= np.frombuffer(zlib.decompress(raw), np.uint8)
+
+    def hold(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> self.shift).astype(np.int64)
+        return (self.bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
@@ -103,17 +115,37 @@ def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     yield from groups.items()
 
 
-def frequent_slots(rows: DataFrame, least: int, bits: int) -> list[tuple[int, bytes]]:
+def frequent_slots(rows: DataFrame, least: int, bits: int, longest: int, before: list[tuple[int, bytes]] | None = None) -> list[tuple[int, bytes]]:
     """(chunk, compressed bitmap of slots that hold at least ``least``), chunks without one left out.
 
-    A task sends each chunk's slots and their counts, cut at ``least``; the sum of such counts reaches
-    ``least`` exactly where the slot's does. At most 2^bits bits come to the driver.
+    Counts words and pairs; with ``before``, their slots, the longer prefixes whose words and pairs all
+    stand there. A task sends each chunk's slots and their counts, cut at ``least``; the sum of such counts
+    reaches ``least`` exactly where the slot's does. At most 2^bits bits come to the driver.
     """
     kind = next(k for k in (np.uint8, np.uint16, np.uint32) if least <= np.iinfo(k).max)
-    mask = (1 << CHUNK_BITS) - 1
+    mask, shift = (1 << CHUNK_BITS) - 1, np.uint64(64 - bits)
+    sent = rows.sparkSession.sparkContext.broadcast(before or [])
+    first = before is None
+    ahead = 1 if first else longest - 1
+
+    def prefixes(now: np.ndarray, starts: int, h: np.ndarray, known: Slots | None) -> Iterator[np.ndarray]:
+        there = now > 0
+        if known is None:
+            yield h[:starts][there[:starts]]
+            yield followed(h[:starts], h[1:starts + 1])[there[:starts] & there[1:starts + 1]]
+            return
+        pairs = there[:-1] & there[1:]
+        pairs[pairs] = known.hold(followed(h[:-1][pairs], h[1:][pairs]))
+        at = np.flatnonzero(pairs[:starts])
+        run = followed(h[at], h[at + 1])
+        for k in range(2, longest):
+            on = pairs[at + k - 1]
+            at, run = at[on], followed(run[on], h[at[on] + k])
+            yield run
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, known = [], 0, {}
+        held, size, words_of = [], 0, {}
+        known = None if first else Slots(bits, sent.value)
 
         def close() -> pa.RecordBatch:
             slot, n = np.unique(np.concatenate(held), return_counts=True)
@@ -124,47 +156,48 @@ def frequent_slots(rows: DataFrame, least: int, bits: int) -> list[tuple[int, by
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "slots", "counts"])
         for batch in batches:
             for lang, texts in by_language(batch):
-                words = known.setdefault(lang, Words(lang))
-                for now, starts in numbered(texts, words, 1):
-                    one, two = slots(now[:starts + 1], words, bits)
-                    here = now[:starts] > 0
-                    held += [one[:starts][here].astype(np.uint32 if bits <= 32 else np.int64), two[here & (now[1:starts + 1] > 0)].astype(np.uint32 if bits <= 32 else np.int64)]
-                    size += len(held[-1]) + len(held[-2])
-                    if size > 8 * HELD:
+                words = words_of.setdefault(lang, Words(lang))
+                for now, starts in numbered(texts, words, ahead):
+                    for hashes in prefixes(now, starts, words.hashed(now), known):
+                        held.append((hashes >> shift).astype(np.int32 if bits < 32 else np.int64))
+                        size += len(hashes)
+                    if size > 4 * HELD:
                         yield close()
                         held, size = [], 0
                 if len(words) > KNOWN:
-                    del known[lang]
+                    del words_of[lang]
         if size:
             yield close()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if chunk not in total:
-                    total[chunk] = np.zeros(mask + 1, np.uint32)
-                total[chunk][np.frombuffer(at, "<u2")] += np.frombuffer(n, kind)
-        out = [(c, zlib.compress(np.packbits(t >= least, bitorder="little").tobytes(), 1)) for c, t in total.items() if (t >= least).any()]
+        at, total, out = None, np.zeros(mask + 1, np.uint32), []
+
+        def close() -> None:
+            if (total >= least).any():
+                out.append((at, zlib.compress(np.packbits(total >= least, bitorder="little").tobytes(), 1)))
+            total[:] = 0
+        for batch in batches:  # in order of chunks: one is held at a time
+            for chunk, slot, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chunk != at:
+                    close()
+                    at = chunk
+                total[np.frombuffer(slot, "<u2")] += np.frombuffer(n, kind)
+        close()
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], ["chunk", "bitmap"])
-    sent = rows.mapInArrow(count, "chunk long, slots binary, counts binary").repartition("chunk")
-    return [(r["chunk"], bytes(r["bitmap"])) for r in sent.mapInArrow(merge, "chunk long, bitmap binary").collect()]
+    moved = rows.mapInArrow(count, "chunk long, slots binary, counts binary").repartition("chunk").sortWithinPartitions("chunk")
+    return [(r["chunk"], bytes(r["bitmap"])) for r in moved.mapInArrow(merge, "chunk long, bitmap binary").collect()]
 
 
 def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bits: int) -> DataFrame:
     """(lang, w1, ..., n): padded windows with how often each starts; ``""`` is padding.
 
-    A window ends before the first word or pair whose slot isn't frequent; a window may be all padding.
+    A window ends before the first prefix whose slot isn't frequent; a window may be all padding.
     """
     names = [f"w{i + 1}" for i in range(longest)]
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(max(1 << bits >> 3, 1 << CHUNK_BITS >> 3), np.uint8)
-        step = 1 << CHUNK_BITS >> 3
-        for chunk, raw in sent.value:
-            bitmap[chunk * step:(chunk + 1) * step] = np.frombuffer(zlib.decompress(raw), np.uint8)
-        passes = lambda s: (bitmap[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)
+        slots = Slots(bits, sent.value)
         known: dict[str, Words] = {}
         held: dict[str, list[np.ndarray]] = {}
         single: dict[str, list[np.ndarray]] = {}
@@ -190,13 +223,16 @@ def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bi
             for lang, texts in by_language(batch):
                 words = known.setdefault(lang, Words(lang))
                 for now, starts in numbered(texts, words, longest - 1):
-                    one, two = slots(now, words, bits)
-                    ok, goes = passes(one) & (now > 0), passes(two) & (now[:-1] > 0) & (now[1:] > 0)
-                    lead = [np.where(ok[:starts], now[:starts], 0)]  # a word and the words it leads
-                    on = ok[:starts]
+                    h = words.hashed(now)
+                    on = np.flatnonzero((now[:starts] > 0) & slots.hold(h[:starts]))
+                    run, lead = h[on], [np.zeros(starts, np.int32) for _ in range(longest)]  # a word and the words it leads
+                    lead[0][on] = now[on]
                     for k in range(1, longest):
-                        on = on & goes[k - 1:k - 1 + starts] & ok[k:k + starts]
-                        lead.append(np.where(on, now[k:k + starts], 0))
+                        here = now[on + k] > 0
+                        on, run = on[here], followed(run[here], h[on[here] + k])
+                        here = slots.hold(run)
+                        on, run = on[here], run[here]
+                        lead[k][on] = now[on + k]
                     wide = lead[1] > 0 if longest > 1 else np.zeros(starts, bool)
                     held.setdefault(lang, []).append(np.stack([x[wide] for x in lead], axis=1))
                     single.setdefault(lang, []).append(lead[0][(now[:starts] > 0) & ~wide])
@@ -218,7 +254,10 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     names = [f"w{i + 1}" for i in range(longest)]
-    top = windows(rows, frequent_slots(rows, least, bits), longest, bits).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    frequent = frequent_slots(rows, least, bits, longest)
+    if longest > 2:
+        frequent += frequent_slots(rows, least, bits, longest, frequent)
+    top = windows(rows, frequent, longest, bits).groupBy("lang", *names).agg(F.sum("n").alias("n"))
     sums = top.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
     size = sum((F.col(w).isNotNull().cast("int") for w in names), F.lit(0))  # ROLLUP leaves nulls, padding is ""
     sums = sums.filter(f"gid < {(1 << longest)}").withColumn("size", size)  # not the total over languages
