@@ -17,7 +17,7 @@ QUERIES, SQL = load()
 SAMPLE = (
     "asof_latest_require asof_join asof_join_ties overlaps with_previous next_event interval members_per_quarter classify_lines link_entity assert_fk set_diff melt pivot_class bgp closure cycles "
     "validate_shapes shape_pairs plan_batch refused_closures restatement_problems row_failures cascade visibility contract_diff weighted_profile segment_identity severity episodes memory_control "
-    "compare_controls ent_alerts ent_fundamentals ent_stops c1_quality_at_stop c14_retained_names q_latest_nav stream_tumbling_counts stream_episodes stream_ingest stream_late scan_jsonl scan_json_doc append_graph delivery_boundary load_orphan_refused gate_unreadable_dates"
+    "compare_controls ent_alerts ent_fundamentals ent_stops c1_quality_at_stop c14_retained_names q_latest_nav stream_tumbling_counts stream_episodes stream_ingest stream_late scan_jsonl scan_json_doc append_graph delivery_boundary load_orphan_refused gate_unreadable_dates later_summary boundary_cap boundary_stopped delivery_differences stream_repeated_keys taken_ids_indexed ent_formation ent_purchases"
 ).split()
 NAMES = sorted(QUERIES) if os.environ.get("PITFRAME_ALL") else [n for n in SAMPLE if n in QUERIES]
 
