@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pitframe.catalog.entity_cases import alert_table
 from pitframe.catalog.measure_cases import MEM
 from pitframe.catalog.registry import case, table
-from pitframe.catalog.stream_cases import scratch
+from pitframe.catalog.stream_cases import in_starts, scratch
 from pitframe.operators import gate as G
 from pitframe.operators import temporal as T
 from pitframe.operators.quads import melt
@@ -18,14 +18,6 @@ from pitframe.streaming import jobs as J
 from pitframe.streaming import state as S
 
 
-def in_starts(spark, df, out, parts, start):
-    """Add one part after another to a folder of files; ``start(stream)`` runs what is new each time, from where the last start ended."""
-    schema = df.schema
-    for part in parts:
-        df.filter(part).write.mode("append").parquet(f"{out}/in")
-        start(J.file_stream(spark, f"{out}/in", schema))
-
-
 def timed(spark, sf, *columns):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return e.select(*columns) if columns else e

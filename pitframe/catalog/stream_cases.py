@@ -27,11 +27,11 @@ def events(spark, sf):
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def in_batches(spark, df, out, parts):
-    """Write a table as one file a batch and stream the files back one at a time, in order."""
-    for i, part in enumerate(parts):
-        df.filter(part).coalesce(1).write.mode("append").parquet(f"{out}/in")
-    return J.file_stream(spark, f"{out}/in", spark.read.parquet(f"{out}/in").schema, files_per_batch=1)
+def in_starts(spark, df, out, parts, start):
+    """Add one part after another to a folder of files; ``start(stream)`` runs what is new each time, from where the last start ended."""
+    for part in parts:
+        df.filter(part).write.mode("append").parquet(f"{out}/in")
+        start(J.file_stream(spark, f"{out}/in", df.schema))
 
 
 @case("stream_tumbling_counts", """
@@ -44,7 +44,7 @@ def stream_tumbling_counts(spark, sf):
     out = scratch(spark)
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     back = (F.col("event_id") % 50 == 0) & (F.col("ts") < "2024-01-10")
-    J.run_available(in_batches(spark, e, out, [~back, back]), f"{out}/cp", J.tumbling_counts(f"{out}/rows", "ts", ["event_type"]))
+    in_starts(spark, e, out, [~back, back], lambda s: J.run_available(s, f"{out}/cp", J.tumbling_counts(f"{out}/rows", "ts", ["event_type"])))
     return J.window_counts(spark, f"{out}/rows", "event_type string").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -73,8 +73,7 @@ def stream_ingest(spark, sf):
     out = scratch(spark)
     e = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     late, middle = F.col("ts") < "2024-01-05", F.col("user_id") % 2 == 0
-    s = in_batches(spark, e, out, [~late & middle, ~late & ~middle, late])
-    J.run_available(s.select("user_id"), f"{out}/cp", J.ingest_new(f"{out}/rows", "user_id"))
+    in_starts(spark, e, out, [~late & middle, ~late & ~middle, late], lambda s: J.run_available(s.select("user_id"), f"{out}/cp", J.ingest_new(f"{out}/rows", "user_id")))
     again = J.ingest_new(f"{out}/rows", "user_id")
     for batch in (10, 11):  # what a second run of the job would bring
         again(e.select("user_id"), batch)
@@ -89,7 +88,7 @@ def stream_late(spark, sf):
     out = scratch(spark)
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     back = F.col("event_id") % 3 == 0
-    J.run_available(in_batches(spark, e, out, [~back, back]), f"{out}/cp", J.settle_late(out, "ts", 3 * 86_400))
+    in_starts(spark, e, out, [~back, back], lambda s: J.run_available(s, f"{out}/cp", J.settle_late(out, "ts", 3 * 86_400)))
     rows = J.written(spark, f"{out}/rows", "event_id bigint, fate string")
     return rows.groupBy("fate").agg(F.count(F.lit(1)).alias("rows"))
 
