@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitframe.session import shared_root
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -34,12 +36,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one the cluster shares; only a session that names none gets its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        sc = spark.sparkContext
-        root = sc._pitframe_folder = getattr(sc, "_pitframe_folder", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new folder under the one the cluster shares."""
+    return f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:

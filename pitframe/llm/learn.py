@@ -8,8 +8,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitframe.llm.common import text_hash
+
 FOLDS = 5
-LONGEST = 1 << 16  # bytes; labelled texts beyond this are scored but not learnt from
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -26,19 +27,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int,
     """(rows of ``docs`` with ``y``, share of each class that was sampled): at most ``most`` ids of each class.
 
     ``docs`` has columns id and text, and no y. Ids are drawn by seeded hash among labelled documents
-    that aren't held out and are not over ``LONGEST`` bytes. Null ids and labels are left out; of
-    several labels of an id the largest counts.
+    that aren't held out, whatever the length of their texts. Null ids and labels are left out; of
+    several labels of an id the largest counts, of several rows of an id the one with the smallest text
+    hash, so the bound holds for rows too.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("y")).filter("y IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
-    there = docs.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST)
-    pool = known.join(there.select("id").filter(F.col("id").isNotNull() & ~held_out("id")).distinct(), "id")
+    pool = known.join(docs.select("id").filter(F.col("id").isNotNull() & ~held_out("id")).distinct(), "id")
     sizes = {int(r["y"]): int(r["n"]) for r in pool.groupBy("y").agg(F.count("*").alias("n")).collect()}
     drawn = None
     for y in sizes:
         part = pool.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), F.col("id"))).limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
-    rows = docs.limit(0).withColumn("y", F.lit(0)) if drawn is None else there.join(F.broadcast(drawn), "id")  # at most 2 * most ids
-    return rows, {y: min(1.0, most / n) for y, n in sizes.items()}
+    if drawn is None:
+        return docs.limit(0).withColumn("y", F.lit(0)), {}
+    rows = docs.join(F.broadcast(drawn), "id")  # at most 2 * most ids
+    one = rows.groupBy("id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "id"]), text_hash("text")).alias("r")).select("id", "r.*")
+    return one.select(*docs.columns, "y"), {y: min(1.0, most / n) for y, n in sizes.items()}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
