@@ -171,3 +171,19 @@ def test_components(spark):
     pairs = {(got[v], top(v)) for v in got}
     assert len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs})
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sample_keeps_long_texts_and_one_row_of_an_id(spark):
+    from pitframe.llm.learn import chosen_fold, labelled_sample
+    ids = [i for i in range(60) if not chosen_fold(i)][:6]
+    long = "word " * 40_000
+    rows = [(ids[0], long), *[(ids[1], f"copy {k % 3}") for k in range(50)], *[(i, "x") for i in ids[2:]], (ids[2], None), (None, "none")]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)] + [(ids[3], None), (None, 1)], "doc_id long, toxic int")
+    got, share = labelled_sample(docs, labels, "toxic", 100)
+    found = {r["id"]: (r["text"], r["y"]) for r in got.collect()}
+    assert got.count() == len(found) == 6 and share == {0: 1.0, 1: 1.0}
+    assert found[ids[0]] == (long, 0) and found[ids[1]][0] in {"copy 0", "copy 1", "copy 2"}
+    again = {r["id"]: (r["text"], r["y"]) for r in labelled_sample(docs.repartition(7), labels, "toxic", 100)[0].collect()}
+    assert again == found
+    assert labelled_sample(docs, labels.limit(0), "toxic", 100)[0].count() == 0
