@@ -94,13 +94,15 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 def gram_buckets(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
     """Distinct buckets of the n-grams of the marked host and path; in a path every number is the same."""
-    def grams(text: Column, field: int, sizes: Sequence[int]) -> list[Column]:
-        chars = F.filter(F.split(text, ""), lambda c: c != "")
-        none = F.array().cast("array<int>")
-        hashed = lambda n: F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.pmod(F.xxhash64(F.lit(field), F.slice(chars, i, n)), F.lit(buckets)).cast("int"))
-        return [F.when(F.size(chars) >= n, hashed(n)).otherwise(none) for n in sizes]
+    none = F.array().cast("array<int>")
+
+    def grams(text: Column, field: int, sizes: Sequence[int]) -> Column:
+        def cut(chars: Column) -> Column:
+            hashed = lambda n: F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.pmod(F.xxhash64(F.lit(field), F.slice(chars, i, n)), F.lit(buckets)).cast("int"))
+            return F.concat(*[F.when(F.size(chars) >= n, hashed(n)).otherwise(none) for n in sizes])
+        return F.get(F.transform(F.array(F.filter(F.split(text, ""), lambda c: c != "")), cut), 0)  # characters are cut once
     marked = lambda x: F.when(x == "", F.lit("")).otherwise(F.concat(F.lit("^"), x, F.lit("$")))
-    return F.array_distinct(F.concat(*grams(marked(host), 0, HOST_SIZES), *grams(F.regexp_replace(marked(path), "[0-9]+", "0"), 1, PATH_SIZES)))
+    return F.array_distinct(F.concat(grams(marked(host), 0, HOST_SIZES), grams(F.regexp_replace(marked(path), "[0-9]+", "0"), 1, PATH_SIZES)))
 
 
 def trained(labelled: DataFrame, url_col: str = "url", label_col: str = "label", buckets: int = BUCKETS, most: int = MOST, steps: int = STEPS, rate: float = RATE, momentum: float = MOMENTUM, penalty: float = PENALTY) -> list[float]:
