@@ -9,7 +9,9 @@ phrase.
 Most windows occur once and no phrase in them can reach the wanted count. Two passes before count
 prefixes of windows in hashed slots, first words and pairs, then longer ones whose pairs all stand; a
 slot's count is never below that of its phrases, so a window may be padded from the first prefix on
-whose slot stays below the bound. This changes no count at or above the bound. Slots are a fixed table
+whose slot stays below the bound. The second pass also marks the words of the pairs that stand: a word
+in none of them is in no phrase, so its windows are all padding. Neither changes a count that a phrase
+or its parts need. Slots are a fixed table
 (2^28 bits, 32 MB); when the input fills it, less is padded away and the windows move whole, with the
 same results.
 """
@@ -35,10 +37,11 @@ TOP = 2000  # phrases a language
 SLOT_BITS = 28
 CHUNK_BITS = 16  # slots travel in chunks of 2^16
 SEGMENT = 1 << 20  # bytes of text cut into words at a time
-KNOWN = 1 << 17  # words of a language that a task remembers before it hands on what it counted
+KNOWN = 1 << 18  # words of a language that a task remembers before it hands on what it counted
 HELD = 1 << 20  # windows of a language that a task holds before it counts them
 
 BREAK = b"\xff"  # in no UTF-8 text
+PART = np.array([0x9FB21C651E98DF25], np.uint64)  # follows a word to mark that it is part of a pair
 # A-Z is lowered, sentence marks and line ends divide pieces, tabs divide words
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 255 if c in _MARKS else 32 if c == 9 else c for c in range(256))
@@ -128,7 +131,7 @@ def frequent_slots(rows: DataFrame, least: int, bits: int, longest: int, before:
     first = before is None
     ahead = 1 if first else longest - 1
 
-    def prefixes(now: np.ndarray, starts: int, h: np.ndarray, known: Slots | None) -> Iterator[np.ndarray]:
+    def prefixes(now: np.ndarray, starts: int, h: np.ndarray, known: Slots | None, marked: list[np.ndarray]) -> Iterator[np.ndarray]:
         there = now > 0
         if known is None:
             yield h[:starts][there[:starts]]
@@ -138,35 +141,40 @@ def frequent_slots(rows: DataFrame, least: int, bits: int, longest: int, before:
         pairs[pairs] = known.hold(followed(h[:-1][pairs], h[1:][pairs]))
         at = np.flatnonzero(pairs[:starts])
         run = followed(h[at], h[at + 1])
+        marked.append(np.unique(np.concatenate([h[at], h[at + 1]])))
         for k in range(2, longest):
             on = pairs[at + k - 1]
             at, run = at[on], followed(run[on], h[at[on] + k])
             yield run
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, words_of = [], 0, {}
+        held, size, words_of, marked = [], 0, {}, [np.zeros(0, np.uint64)]
         known = None if first else Slots(bits, sent.value)
 
         def close() -> pa.RecordBatch:
-            slot, n = np.unique(np.concatenate(held), return_counts=True)
+            sure = (followed(np.unique(np.concatenate(marked)), PART) >> shift).astype(held[0].dtype)
+            slot, n = np.unique(np.concatenate([*held, sure]), return_counts=True)
+            n[np.searchsorted(slot, sure)] = least
             edges = np.flatnonzero(np.diff(slot >> CHUNK_BITS, prepend=-1))
             offsets, n = (slot & mask).astype("<u2"), np.minimum(n, least).astype(kind)
             ends = np.append(edges[1:], len(slot))
-            out = [(int(slot[a] >> CHUNK_BITS), offsets[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edges, ends, strict=True)]
+            out = [(int(slot[a] >> CHUNK_BITS), offsets[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edges, ends, strict=True)] or [(0, b"", b"")]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "slots", "counts"])
         for batch in batches:
             for lang, texts in by_language(batch):
                 words = words_of.setdefault(lang, Words(lang))
                 for now, starts in numbered(texts, words, ahead):
-                    for hashes in prefixes(now, starts, words.hashed(now), known):
+                    for hashes in prefixes(now, starts, words.hashed(now), known, marked):
                         held.append((hashes >> shift).astype(np.int32 if bits < 32 else np.int64))
                         size += len(hashes)
+                    if len(marked) > 64:
+                        marked[:] = [np.unique(np.concatenate(marked))]
                     if size > 4 * HELD:
                         yield close()
                         held, size = [], 0
                 if len(words) > KNOWN:
                     del words_of[lang]
-        if size:
+        if held:
             yield close()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +196,33 @@ def frequent_slots(rows: DataFrame, least: int, bits: int, longest: int, before:
     return [(r["chunk"], bytes(r["bitmap"])) for r in moved.mapInArrow(merge, "chunk long, bitmap binary").collect()]
 
 
+class Tally:
+    """How often each window of one language starts: windows of several words by row, single ones by number."""
+
+    def __init__(self, longest: int):
+        self.many, self.n, self.new, self.size = np.zeros((0, longest), np.int32), np.zeros(0, np.int64), [], 0
+        self.one = np.zeros(1, np.int64)
+
+    def add(self, wide: np.ndarray, alone: np.ndarray) -> None:
+        one = np.bincount(alone, minlength=len(self.one))
+        one[:len(self.one)] += self.one
+        self.one = one
+        self.new.append(wide)
+        self.size += len(wide)
+        if self.size > HELD:
+            self.compact()
+
+    def compact(self) -> None:
+        many = np.concatenate([self.many, *self.new])
+        n = np.concatenate([self.n, np.ones(self.size, np.int64)])
+        order = np.lexsort(many.T[::-1])
+        many, n = many[order], n[order]
+        if len(many):
+            edge = np.flatnonzero(np.append(True, (np.diff(many, axis=0) != 0).any(axis=1)))
+            many, n = many[edge], np.add.reduceat(n, edge)
+        self.many, self.n, self.new, self.size = many, n, [], 0
+
+
 def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bits: int) -> DataFrame:
     """(lang, w1, ..., n): padded windows with how often each starts; ``""`` is padding.
 
@@ -199,22 +234,15 @@ def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = Slots(bits, sent.value)
         known: dict[str, Words] = {}
-        held: dict[str, list[np.ndarray]] = {}
-        single: dict[str, list[np.ndarray]] = {}
+        tallies: dict[str, Tally] = {}
 
         def close(lang: str) -> pa.RecordBatch:
-            words = known[lang]
-            many = np.concatenate([*held.pop(lang), np.zeros((0, longest), np.int32)])
-            order = np.lexsort(many.T[::-1])
-            many = many[order]
-            edge = np.flatnonzero(np.append(True, (np.diff(many, axis=0) != 0).any(axis=1))) if len(many) else np.zeros(0, np.int64)
-            n = np.diff(np.append(edge, len(many)))
-            many = many[edge]
-            one = np.bincount(np.concatenate(single.pop(lang)), minlength=1)
-            there = np.flatnonzero(one)
+            words, tally = known[lang], tallies.pop(lang)
+            tally.compact()
+            there = np.flatnonzero(tally.one)
             alone = np.zeros((len(there), longest), np.int32)
             alone[:, 0] = there
-            many, n = np.concatenate([many, alone]), np.concatenate([n, one[there]])
+            many, n = np.concatenate([tally.many, alone]), np.concatenate([tally.n, tally.one[there]])
             used, at = np.unique(many, return_inverse=True)
             text = pa.array([words.names[i] for i in used], pa.binary()).cast(pa.string())
             at = at.reshape(many.shape)
@@ -234,29 +262,31 @@ def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bi
                         on, run = on[here], run[here]
                         lead[k][on] = now[on + k]
                     wide = lead[1] > 0 if longest > 1 else np.zeros(starts, bool)
-                    held.setdefault(lang, []).append(np.stack([x[wide] for x in lead], axis=1))
-                    single.setdefault(lang, []).append(lead[0][(now[:starts] > 0) & ~wide])
-                    if sum(map(len, held[lang])) + sum(map(len, single[lang])) > HELD:
+                    alone = (lead[0] > 0) & ~wide
+                    alone[alone] = slots.hold(followed(h[:starts][alone], PART))
+                    lead[0][~alone & ~wide] = 0
+                    tally = tallies.setdefault(lang, Tally(longest))
+                    tally.add(np.stack([x[wide] for x in lead], axis=1), lead[0][(now[:starts] > 0) & ~wide])
+                    if len(tally.many) > HELD:
                         yield close(lang)
                 if len(words) > KNOWN:
-                    if lang in held:
+                    if lang in tallies:
                         yield close(lang)
                     del known[lang]
-        for lang in list(held):
+        for lang in list(tallies):
             yield close(lang)
     return rows.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n long")
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST, least: int = LEAST, bits: int = SLOT_BITS) -> DataFrame:
-    """(lang, size, phrase, f): phrases of 1 to ``longest`` words with f >= ``least``; size 0 counts all words of a language.
+    """(lang, size, phrase, f): phrases of 2 to ``longest`` words with f >= ``least``, and their words (size 1); size 0 counts all words of a language.
 
     A null language is ``und``; null and empty texts have no words; an empty table gives no rows.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     names = [f"w{i + 1}" for i in range(longest)]
     frequent = frequent_slots(rows, least, bits, longest)
-    if longest > 2:
-        frequent += frequent_slots(rows, least, bits, longest, frequent)
+    frequent += frequent_slots(rows, least, bits, longest, frequent)
     top = windows(rows, frequent, longest, bits).groupBy("lang", *names).agg(F.sum("n").alias("n"))
     sums = top.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
     size = sum((F.col(w).isNotNull().cast("int") for w in names), F.lit(0))  # ROLLUP leaves nulls, padding is ""
