@@ -192,7 +192,8 @@ def visibility(spark, sf):
 @case("scan_stints", """
     WITH s AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 20 = 0 THEN c_mktsegment WHEN c_custkey % 20 = 1 THEN ' T' || c_custkey || ' | ' ELSE 'T' || c_custkey END AS symbol, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'K' || c_nationkey END AS cik,
         min(CAST(o_orderdate AS DATE)) AS valid_from, CASE WHEN c_custkey % 3 = 0 THEN min(CAST(o_orderdate AS DATE)) - 1 WHEN c_custkey % 3 = 1 THEN min(CAST(o_orderdate AS DATE)) END AS valid_to FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegment, c_nationkey)
-    SELECT c_custkey, CASE WHEN c_custkey % 20 = 0 THEN c_mktsegment ELSE 'T' || c_custkey END AS symbol, CASE WHEN c_custkey % 4 <> 0 THEN cik END AS cik, CASE WHEN c_custkey % 20 = 0 AND length(c_mktsegment) > 6 THEN 'not a ticker' WHEN valid_to < valid_from THEN 'ends before it starts' END AS reason FROM s""")
+    SELECT c_custkey, symbol, cik, CASE WHEN length(symbol) > 6 THEN 'not a ticker' WHEN valid_to < valid_from THEN 'ends before it starts' END AS reason FROM (
+      SELECT c_custkey, CASE WHEN c_custkey % 20 = 0 THEN c_mktsegment ELSE 'T' || c_custkey END AS symbol, CASE WHEN c_custkey % 4 <> 0 THEN cik END AS cik, valid_from, valid_to FROM s) t""")
 def scan_stints(spark, sf):
     first = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min(F.col("o_orderdate").cast("date")).alias("valid_from"))
     k = F.col("c_custkey")
