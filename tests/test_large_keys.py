@@ -39,3 +39,7 @@ def same(spark, large, name):
 
 def test_symbols_of_seven_letters_are_no_tickers(spark, large):
     same(spark, large, "scan_stints")
+
+
+def test_stops_of_large_orders_keep_their_asset(spark, large):
+    same(spark, large, "stop_problems")
