@@ -43,3 +43,10 @@ def test_symbols_of_seven_letters_are_no_tickers(spark, large):
 
 def test_stops_of_large_orders_keep_their_asset(spark, large):
     same(spark, large, "stop_problems")
+
+
+def test_three_symbols_one_in_two_pieces_are_mixed(spark):
+    data = [("A", "2010-01-01", "2010-02-01"), ("A", "2012-01-01", "2012-02-01"), ("B", "2010-06-01", "2010-07-01"), ("C", "2010-06-15", "2012-01-15")]
+    s = spark.createDataFrame([("1", x, D_(f), D_(t)) for x, f, t in data], "cik string, symbol string, valid_from date, valid_to date")
+    assert [r.pattern for r in L.classify_lines(s).collect()] == ["mixed"]
+    assert {r.pattern for r in L.resolve_entities(s).collect()} == {"mixed"}
