@@ -50,3 +50,13 @@ def test_three_symbols_one_in_two_pieces_are_mixed(spark):
     s = spark.createDataFrame([("1", x, D_(f), D_(t)) for x, f, t in data], "cik string, symbol string, valid_from date, valid_to date")
     assert [r.pattern for r in L.classify_lines(s).collect()] == ["mixed"]
     assert {r.pattern for r in L.resolve_entities(s).collect()} == {"mixed"}
+
+
+def test_a_class_of_two_mappings_requires_what_both_require():
+    rules = D.shape_rules([(E.CONFIGURED, None), (E.EFFECTIVE, None)])
+    least = {c.path for c in rules if c.kind == "minCount"}
+    assert least == {"weightMetricName", "weightValue"} and len(rules) == len(set(rules))
+
+
+def test_selection_is_loaded(spark, large):
+    same(spark, large, "load_selection")
