@@ -7,6 +7,8 @@ import pytest
 
 from pitframe.catalog import load
 from pitframe.operators import linking as L
+from pitframe.operators import shapes as S
+from pitframe.operators.quads import QUAD_DDL
 from pitframe.plans import delivery as D
 from pitframe.plans import entities as E
 
@@ -60,3 +62,18 @@ def test_a_class_of_two_mappings_requires_what_both_require():
 
 def test_selection_is_loaded(spark, large):
     same(spark, large, "load_selection")
+
+
+def test_shapes_of_many_properties_find_every_kind(spark):
+    """More keys than one long holds; minimum, maximum, wanted value, datatype; a clean subject and an unknown class."""
+    names = [f"p{i:03d}" for i in range(150)]
+    rules = [S.Constraint("Shape", "C", n, "minCount", "1") for n in names] + [S.Constraint("Shape", "C", n, "maxCount", "1") for n in names]
+    rules += [S.Constraint("Shape", "C", "p000", "hasValue", "v"), S.Constraint("Shape", "C", "p001", "datatype", "xsd:string"), S.Constraint("Two", "T", "p002", "minCount", "2")]
+    quad = lambda s, p, o, t="xsd:string": ("g", s, p, o, "literal", t, None)
+    whole = lambda s: [("g", s, "rdf:type", "C", "iri", None, None), *[quad(s, n, "v") for n in names]]
+    data = whole("good") + [q for q in whole("few") if q[2] not in ("p070", "p149")] + whole("many") + [quad("many", "p140", "w")]
+    data += [quad(*q[1:3], "w") if q[2] == "p000" else quad(*q[1:4], "xsd:date") if q[2] == "p001" else q for q in whole("wrong")]
+    data += [("g", "one", "rdf:type", "T", "iri", None, None), quad("one", "p002", "v"), ("g", "other", "rdf:type", "X", "iri", None, None)]
+    q = spark.createDataFrame(data, QUAD_DDL)
+    got = sorted((r.focus, r.path, r.constraint) for r in S.validate_shapes(q, rules, is_set=True).collect())
+    assert got == [("few", "p070", "minCount"), ("few", "p149", "minCount"), ("many", "p140", "maxCount"), ("one", "p002", "minCount"), ("wrong", "p000", "hasValue"), ("wrong", "p001", "datatype")]
