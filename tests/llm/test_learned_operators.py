@@ -1,6 +1,7 @@
 """Trained operators on held-out rows, nearest neighbours against brute force, and the pipeline's stages."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -187,3 +188,16 @@ def test_sample_keeps_long_texts_and_one_row_of_an_id(spark):
     again = {r["id"]: (r["text"], r["y"]) for r in labelled_sample(docs.repartition(7), labels, "toxic", 100)[0].collect()}
     assert again == found
     assert labelled_sample(docs, labels.limit(0), "toxic", 100)[0].count() == 0
+
+
+def test_toxicity_counts_every_labelled_text(spark):
+    from pitframe.llm import toxicity as T
+
+    ids = [i for i in range(12000) if not chosen_fold(i)]
+    rare = [i for i in ids if zlib.crc32(f"fit {i}".encode()) % 5][:20 * T.MIN_DOCS]
+    word = {i: f"rare{n % 20}x" for n, i in enumerate(rare)}
+    docs = spark.createDataFrame([(i, f"plain {'bad' if i % 3 else 'good'} {word.get(i, '')}", "en") for i in ids], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in ids], "doc_id long, toxic int")
+    model = T.train(docs, labels)
+    assert all(model.lookup[T.buckets(w)].all() for w in set(word.values()))
+    assert model.score("bad") > 0.9 > 0.1 > model.score("good")
