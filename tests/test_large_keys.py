@@ -87,3 +87,12 @@ def test_spooled_rows_come_back(spark):
     kept = spool(df)
     assert kept.schema.simpleString() == df.schema.simpleString()
     assert kept.exceptAll(df).isEmpty() and kept.count() == 50_000
+
+
+def test_profile_sorts_no_quads(spark):
+    from pitframe.catalog.entity_cases import profile
+
+    rows = [("g", f"s{i % 7}", "p", None if i == 3 else f"o{i % 5}", "literal", None) for i in range(20)] + [("g", "s", "q", "x", "iri", "d")]
+    out = profile(spark.createDataFrame(rows, "graph string, subject string, predicate string, object string, object_kind string, datatype string"))
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r["predicate"], r["datatype"], r["n"], r["n_objects"], r["lo"], r["hi"]) for r in out.collect()} == {("p", None, 20, 5, "s0 o0", "s6 o3"), ("q", "d", 1, 1, "s x", "s x")}
