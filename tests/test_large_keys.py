@@ -96,3 +96,15 @@ def test_profile_sorts_no_quads(spark):
     out = profile(spark.createDataFrame(rows, "graph string, subject string, predicate string, object string, object_kind string, datatype string"))
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
     assert {(r["predicate"], r["datatype"], r["n"], r["n_objects"], r["lo"], r["hi"]) for r in out.collect()} == {("p", None, 20, 5, "s0 o0", "s6 o3"), ("q", "d", 1, 1, "s x", "s x")}
+
+
+def test_rows_without_asset_stay_out_of_the_sector_join(spark):
+    from pitframe.operators.linking import with_sector
+
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "f"), (4, "x")], "id int, asset string")
+    assets = spark.createDataFrame([("a", "i", False), ("f", None, True)], "asset string, industry string, is_fund boolean")
+    out = with_sector(rows, "asset", assets, spark.createDataFrame([("i", "S")], "industry string, sector string"))
+    assert {tuple(r) for r in out.select("id", "sector").collect()} == {(1, "S"), (2, "unclassified"), (3, "fund"), (4, "unclassified")}
+    assert out.columns == ["asset", "id", "sector"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnotnull(asset" in plan
