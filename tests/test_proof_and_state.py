@@ -141,3 +141,13 @@ def test_a_batch_that_runs_again_leaves_the_same_state(spark, tmp_path):
         each(df, batch)
     got = {(r["batch"], r["fate"]): r["rows"] for r in spark.read.parquet(f"{path}/fates").collect()}
     assert got == {(0, "written"): 1, (0, "late"): 3, (1, "lost"): 1, (1, "stored"): 1, (1, "written"): 1, (2, "lost before"): 1, (2, "stored"): 2}
+
+
+def test_differences_compare_bits_before_texts(spark):
+    kinds = "graph string, subject string, predicate string, object string, object_kind string, datatype string, lang string"
+    same = [("g", f"s{i}", "p", "o", "literal", None, None) for i in range(50)]
+    a = spark.createDataFrame([*same, ("g", "s", "p", "o", "literal", "x", None), ("g", "s", "p", "o", "literal", None, "")], kinds)
+    b = spark.createDataFrame([*same, ("g", "s", "p", "o", "literal", None, "x"), ("g", "s", "p", "o", "literal", None, None)], kinds)
+    found = R.delivery_differences(a, b)
+    assert sorted((r["side"], str(r["datatype"]), str(r["lang"])) for r in found.collect()) == [("left", "None", ""), ("left", "x", "None"), ("right", "None", "None"), ("right", "None", "x")]
+    assert "_a" in found._jdf.queryExecution().optimizedPlan().toString()
