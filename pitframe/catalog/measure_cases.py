@@ -9,6 +9,7 @@ from pitframe.operators import episodes as E
 from pitframe.operators import metrics as M
 from pitframe.operators import reconcile as R
 from pitframe.operators import rules as U
+from pitframe.session import spread
 
 dec = lambda c, s=2: F.col(c).cast(f"decimal(18,{s})")
 
@@ -52,7 +53,8 @@ def weighted_profile(spark, sf):
     WITH w AS (SELECT l_suppkey, l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) * 0.0001 AS DECIMAL(12,6)) AS w FROM lineitem GROUP BY 1, 2)
     SELECT l_suppkey, count(DISTINCT l_partkey) AS positions, sum(w * w) AS hhi, CAST(1.0 / CAST(sum(w * w) AS DOUBLE) AS DECIMAL(18,6)) AS effective_positions FROM w GROUP BY 1""")
 def concentration(spark, sf):
-    w = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg((F.sum(dec("l_quantity")) * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,6)").alias("w"))
+    l = spread(table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_quantity"), "l_suppkey", "l_partkey")
+    w = l.groupBy("l_suppkey", "l_partkey").agg((F.sum(dec("l_quantity")) * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,6)").alias("w"))
     return M.concentration(w, "w", ["l_suppkey"], "l_partkey").withColumn("effective_positions", F.col("effective_positions").cast("decimal(18,6)"))
 
 
