@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from pitframe.operators.episodes import day_flags, fold
 from pitframe.operators.temporal import in_interval
 from pitframe.operators.visibility import classify_visibility
-from pitframe.session import cut_lineage
+from pitframe.session import cut_lineage, spool
 from pitframe.sources.sinks import read_or_empty, replace_graphs
 
 
@@ -165,5 +165,6 @@ def episodes_so_far(spark: SparkSession, path: str) -> DataFrame:
 def replace_day(root: str, expected: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """STR-05 sink: a batch of quads becomes the live version if its counts agree, else the old stays."""
     def each(df: DataFrame, batch: int) -> None:
-        replace_graphs(cut_lineage(df), root, expected(df), f"{batch:010d}")
+        day = spool(df)  # read from the stream once; counts read the graph alone
+        replace_graphs(day, root, cut_lineage(expected(day)), f"{batch:010d}")
     return each
