@@ -11,7 +11,7 @@ from pitframe.operators import temporal as T
 from pitframe.operators.quads import melt
 from pitframe.plans import entities as E
 from pitframe.plans.casebook import check_sql
-from pitframe.session import cut_lineage
+from pitframe.session import cut_lineage, spool
 from pitframe.sources import sinks
 from pitframe.sources.catalogue import Catalogue
 from pitframe.streaming import jobs as J
@@ -134,7 +134,7 @@ def stream_episodes_keyed(spark, sf):
 def append_catalogue(spark, sf):
     """Two loads, then a batch planned against the catalogue: which load wrote a graph, what the index declares of it, what a third load would do."""
     out = scratch(spark)
-    q = cut_lineage(melt(alert_table(spark, sf), E.ALERT))
+    q = spool(melt(alert_table(spark, sf), E.ALERT))
     sinks.append_graph(q.filter(F.col("graph").rlike(":P[56]:")), out)
     first = Catalogue(spark, out).graphs().select(F.collect_set("version").alias("v")).first()["v"]
     sinks.append_graph(q, out)
