@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pitframe.session import shared_root
 
+AT_ONCE = 1024  # rows of a batch held as Python texts
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -60,6 +64,30 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def row_key(ident: Column, th: Column, *more: Column) -> list[Column]:
+    """Columns that are never null and equal exactly where (ident, th, *more) are null-safe equal.
+
+    Equality on them leaves a join dealt and sorted by its keys, so that a group of the same keys
+    moves no row again; a null-safe equality doesn't.
+    """
+    parts = [x for c in (ident, *more) for x in (c.isNull(), F.coalesce(c.cast("string"), F.lit("")))]
+    return [x.alias(f"_key{i}") for i, x in enumerate([*parts, th])]
+
+
+def give_back() -> None:
+    """Give a worker's freed memory back: a worker outlives its task, and the next stage shares its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def parts(batch: pa.RecordBatch, rows: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """A batch in slices, without copies, so that few of its texts are Python objects at a time."""
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the caller's table doesn't have."""
     taken = {c.lower() for c in df.columns}

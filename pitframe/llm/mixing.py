@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitframe.llm.common import WORD, stored, text_hash
+from pitframe.llm.common import WORD, row_key, stored, text_hash
 
 SHARE = 1.5  # the mix is this share of all words
 REPEATS = 2  # no document, and so no source, gives more than this many times its size
@@ -138,11 +138,12 @@ def with_times(rows: DataFrame, goal: DataFrame, chosen: DataFrame, id_col: str,
     """``rows`` with the columns of ``goal`` and ``times``; of equal rows the first ``picked`` are the chosen ones."""
     some = F.broadcast(goal) if goal.count() <= 10_000 else goal  # one short row a source
     x = rows.join(some, rows[source_col].eqNullSafe(F.col("goal_source")))
-    same = F.col(id_col).eqNullSafe(F.col("pick_id")) & (F.col(th_col) == F.col("pick_th")) & F.col(source_col).eqNullSafe(F.col("pick_source"))
-    x = x.join(chosen, same, "left")
-    nth = F.row_number().over(W.partitionBy(id_col, th_col, source_col).orderBy(th_col))
+    picked = chosen.select(*row_key(F.col("pick_id"), F.col("pick_th"), F.col("pick_source")), "picked")
+    keys = [k for k in picked.columns if k != "picked"]
+    x = x.select("*", *row_key(F.col(id_col), F.col(th_col), F.col(source_col))).join(picked, keys, "left")
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(keys[-1]))
     times = F.when(size == 0, 1).otherwise(F.col("base") + F.when(nth <= F.coalesce("picked", F.lit(0)), 1).otherwise(0))
-    return x.withColumn("times", times.cast("long"))
+    return x.withColumn("times", times.cast("long")).drop(*keys)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 42) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitframe.llm.common import components, fresh, stored, text_hash
+from pitframe.llm.common import components, fresh, give_back, row_key, stored, text_hash
 
 SEED = 42
 SHINGLE = 3
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             yield pd.DataFrame({"id": x["id"], "th": x["th"], "fp": np.array([fingerprint(t) for t in x["text"]], np.int64)})
+        give_back()
     return docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, th long, fp long")
 
 
@@ -103,8 +104,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = near_duplicates(docs, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "th")
-    best = stored(rows.groupBy("root").agg(F.min(order).alias("o")).select(F.col("o.id").alias("_keep_id"), F.col("o.th").alias("_keep_th")))
-    th = fresh(docs, "_row_th")
-    marked = docs.withColumn(th, text_hash(text_col))
-    kept = marked.join(best, marked[id_col].eqNullSafe(best["_keep_id"]) & (marked[th] == best["_keep_th"]), "left_semi")
-    return kept.dropDuplicates([id_col, th]).drop(th)
+    best = stored(rows.groupBy("root").agg(F.min(order).alias("o")).select(*row_key(F.col("o.id"), F.col("o.th"))))
+    keys = [fresh(docs, k) for k in best.columns]
+    own = [k.alias(n) for k, n in zip(row_key(F.col(id_col), text_hash(text_col)), keys, strict=True)]
+    kept = docs.select("*", *own).join(best.toDF(*keys), keys, "left_semi")
+    return kept.dropDuplicates(keys).drop(*keys)

@@ -22,11 +22,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitframe.llm.common import shared_folder, text_hash
+from pitframe.llm.common import give_back, parts, shared_folder, text_hash
 from pitframe.llm.tokens import PieceCache, library
 
 SHARD = 1 << 20
@@ -109,6 +110,7 @@ class Codes:
 def encoder(name: str) -> PieceCache:
     """One per worker process: ids as packed 32-bit bytes, pre-tokens by the library's model, other words by all of it."""
     tok = library(name)
+    give_back()  # the parsed file
     model = tok.model
     pack = lambda ids: np.array(ids, "<u4").tobytes()
     return PieceCache(lambda p: pack([t.id for t in model.tokenize(p)]), lambda w: pack(tok.encode(w, add_special_tokens=False).ids))
@@ -120,21 +122,22 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", id
     Null ids come last; equal ids are ordered by text hash. An empty table writes no shard.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("id").asc_nulls_last(), F.col("th")]
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(F.spark_partition_id().cast("long").alias("part"), "id", "text")
+    rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(F.spark_partition_id().cast("long").alias("part"), "id", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, stop = encoder(name), np.array([end_id], "<u4").tobytes()
-        part, seq, ids, lengths, codes, held = 0, 0, [], [], [], 0
+        part, seq, ids, lengths, codes, held, id_type = 0, 0, [], [], [], 0, None
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             raw = encode(np.frombuffer(b"".join(codes), "<u4"))
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [held], "ids": [ids], "lengths": [lengths], "codes": [raw]})
-        for x in batches:
-            part = int(x["part"].iloc[0]) if len(x) else part
-            for doc, text in zip(x["id"].astype(object).where(x["id"].notna(), None), x["text"], strict=True):
+            row = [pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([lengths], pa.list_(pa.int64())), pa.array([raw], pa.binary())]
+            return pa.RecordBatch.from_arrays(row, ["part", "seq", "n_ids", "ids", "lengths", "codes"])
+        for x in (p for b in batches for p in parts(b)):
+            part, id_type = x.column("part")[0].as_py(), x.column("id").type
+            for doc, text in zip(x.column("id").to_pylist(), x.column("text").to_pylist(), strict=True):
                 raw = b"".join(ids_of.values(text)) + stop
                 if held and held + len(raw) // 4 > shard:
                     yield close()
@@ -145,7 +148,8 @@ def write_tokens(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", id
                 held += len(raw) // 4
         if ids:
             yield close()
-    rows.mapInPandas(run, f"part long, seq long, n_ids long, ids array<{kind}>, lengths array<long>, codes binary").write.parquet(path)
+        give_back()
+    rows.mapInArrow(run, f"part long, seq long, n_ids long, ids array<{kind}>, lengths array<long>, codes binary").write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitframe.llm.common import discard, keep_rows, stored, text_hash
+from pitframe.llm.common import discard, give_back, keep_rows, parts, stored, text_hash
 from pitframe.llm.learn import best_threshold, held_out, platt, sigmoid
 
 SHARD = 4096  # labelled rows that step from one model, about
@@ -65,6 +65,13 @@ class Known(dict):
 _known = Known()
 
 
+def forget() -> None:
+    """Drop the words a worker remembers, with all else that its task has freed."""
+    global _known
+    _known = Known()
+    give_back()
+
+
 def buckets(text: str | None) -> np.ndarray:
     """A row a word: the bucket of the word and that of its first bytes, which forms of a word share."""
     words = WORD.findall((text or "").lower().encode())
@@ -367,7 +374,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
         model = sent.value
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             text, lang = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text_col, lang_col))
             yield batch, [not model.rejects(t, v) for t, v in zip(text, lang, strict=True)]
+        forget()
     return keep_rows(docs, keep)
