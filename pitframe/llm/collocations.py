@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitframe.llm.common import discard, stored
+from pitframe.session import estimated_bytes
 
 LONGEST = 5  # words of a phrase
 LEAST = 100  # occurrences of a phrase
@@ -39,6 +40,7 @@ CHUNK_BITS = 16  # slots travel in chunks of 2^16
 SEGMENT = 1 << 20  # bytes of text cut into words at a time
 KNOWN = 1 << 18  # words of a language that a task remembers before it hands on what it counted
 HELD = 1 << 20  # windows of a language that a task holds before it counts them
+TASK_BYTES = 1 << 27  # of input to a task that counts windows
 
 BREAK = b"\xff"  # in no UTF-8 text
 PART = np.array([0x9FB21C651E98DF25], np.uint64)  # follows a word to mark that it is part of a pair
@@ -222,13 +224,28 @@ class Tally:
             many, n = many[edge], np.add.reduceat(n, edge)
         self.many, self.n, self.new, self.size = many, n, [], 0
 
+    def renumbered(self, words: Words, lang: str) -> Words:
+        """The words that the windows have, numbered anew here too; all others are forgotten."""
+        self.compact()
+        used = np.union1d(self.many, np.flatnonzero(self.one)).astype(np.int64)
+        used, fewer = used[used > 0], Words(lang)
+        to = np.zeros(len(words.names), np.int32)
+        to[used] = [fewer[words.names[i]] for i in used]
+        one = np.zeros(len(fewer.names), np.int64)
+        one[0], one[to[used[used < len(self.one)]]] = self.one[0], self.one[used[used < len(self.one)]]
+        self.many, self.one = to[self.many], one
+        return fewer
+
 
 def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bits: int) -> DataFrame:
     """(lang, w1, ..., n): padded windows with how often each starts; ``""`` is padding.
 
     A window ends before the first prefix whose slot isn't frequent; a window may be all padding.
+    A window comes once from a task, so tasks are as few as the cores and ``TASK_BYTES`` allow; what a
+    task holds doesn't grow with what it reads.
     """
     names = [f"w{i + 1}" for i in range(longest)]
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, min(-(-estimated_bytes(rows) // TASK_BYTES), 1 << 20))
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,12 +287,13 @@ def windows(rows: DataFrame, frequent: list[tuple[int, bytes]], longest: int, bi
                     if len(tally.many) > HELD:
                         yield close(lang)
                 if len(words) > KNOWN:
-                    if lang in tallies:
+                    known[lang] = tallies[lang].renumbered(words, lang) if lang in tallies else Words(lang)
+                    if len(known[lang]) > KNOWN // 2:
                         yield close(lang)
-                    del known[lang]
+                        del known[lang]
         for lang in list(tallies):
             yield close(lang)
-    return rows.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n long")
+    return rows.coalesce(tasks).mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n long")
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST, least: int = LEAST, bits: int = SLOT_BITS) -> DataFrame:
