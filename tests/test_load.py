@@ -1,5 +1,7 @@
 """A load reads a delivery once, counts repeated keys without moving rows, and checks no whole view twice."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from pitframe.catalog import delivery_cases as C
@@ -53,3 +55,13 @@ def test_a_view_reads_what_is_given(spark):
     whole, given = view(spark, SF, "v_book_weight_daily"), view(spark, SF, "v_book_weight_daily", {"held": held.filter("l_suppkey = 1")})
     assert whole.columns == given.columns and given.filter("asset_id <> 1").isEmpty()
     assert given.filter("asset_id = 1").count() == whole.filter("asset_id = 1").count() > 0
+
+
+def test_a_proof_without_a_difference_says_none(spark, tmp_path):
+    """Every asset of a book on one day: no day has one equity, so nothing is taken out of the store."""
+    for name in os.listdir(SF):
+        if name != "orders.parquet":
+            os.symlink(f"{SF}/{name}", tmp_path / name)
+    spark.read.parquet(f"{SF}/orders.parquet").withColumn("o_orderdate", F.date_trunc("year", "o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    assert view(spark, str(tmp_path), "v_book_daily_performance").filter("n_equity = 1").isEmpty()
+    assert [tuple(r) for r in C.load_verified(spark, str(tmp_path)).collect()] == [("identity", 0)]
