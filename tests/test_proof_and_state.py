@@ -90,6 +90,17 @@ def test_compiled_shapes_equal_the_joined_form(spark):
     assert SH.validate_shapes(q.limit(0), c).count() == 0
 
 
+def test_shapes_move_a_row_a_subject(spark):
+    q = quads(spark, [(GRAPH % 1, f"S_{i}", p, str(i)) for i in range(200) for p in ("x", "y")] + [(GRAPH % 1, f"S_{i}", "rdf:type", "A") for i in range(200)] + [(GRAPH % 1, "S_7", "x", "again")])
+    c = [SH.Constraint("AS", "A", p, kind, "1") for p in ("x", "y") for kind in ("minCount", "maxCount")] + [SH.Constraint("AS", "A", "y", "datatype", "xsd:string")]
+    named = SH.suspects(q.coalesce(1), [x for x in c if x.kind == "datatype"], [x for x in c if x.kind != "datatype"])
+    assert named.columns == ["_node"] and named.count() == 1
+    assert "SortAggregate" not in plan_of(named) and "Window" not in plan_of(named)
+    assert [(r["focus"], r["path"], r["value"]) for r in SH.validate_shapes(q, c, is_set=True).collect()] == [("S_7", "x", "2")]
+    twice = q.unionByName(q.filter("subject = 'S_9'"))
+    assert SH.validate_shapes(twice, c).count() == 1 and SH.validate_shapes(twice, c, is_set=True).count() == 3
+
+
 def test_id_filters_only_prune(spark, tmp_path):
     path = str(tmp_path / "ids")
     r = random.Random(3)
