@@ -102,11 +102,11 @@ def test_tables_are_written_as_their_quads(spark, tmp_path):
 def test_parts_of_a_batch_find_what_its_quads_find(spark):
     t = tables(spark, "urn:graph:%d")
     q, schema = D.as_quads(t), G.GateSchema(leaf_classes=("B",), relations=("ofB", "toC", "fromA"))
-    parts = G.Parts(table_sizes(t), type_quads(t), inverse_quads(t), frozenset(["x", "y", "ofB", "toC", "hasA", "fromA", "z"]))
+    parts = G.Parts(table_sizes(t), type_quads(t), inverse_quads(t), frozenset(["x", "y", "ofB", "toC", "hasA", "fromA", "z"]), frozenset(["hasA", "fromA"]))
     stored = melt(t[1][1].withColumn("graph", F.lit("urn:graph:ingest:SECTOR:2001-01-01")), B)
     found = lambda p: sorted(map(str, G.violations(q, stored, schema, parts=p).distinct().collect()))
     assert found(parts) == found(None) and len(found(parts)) > 6
-    some = G.Parts(parts.sizes, parts.types.filter("subject <> 'B_2'"), parts.others, parts.properties)
+    some = G.Parts(parts.sizes, parts.types.filter("subject <> 'B_2'"), parts.others, parts.properties, parts.about_others)
     assert any("B_2 hasA : undeclared subject" in x for x in found(some))
     plans = [sorted(map(str, G.plan_batch(q, stored, schema, parts=p).collect())) for p in (parts, None)]
     assert plans[0] == plans[1]
@@ -119,3 +119,13 @@ def test_a_load_stores_rows_and_no_quads(spark, monkeypatch, tmp_path):
     done = C.run_load(spark, SF, str(tmp_path / "store"))
     assert not done.stopped and len(kept) > 16 and not [c for c in kept if "predicate" in c and "check" not in c]
     assert done.report.agg(F.sum("triples")).first()[0] == done.quads.count() == scans.scan_quads(spark, str(tmp_path / "store")).count()
+
+
+def test_dates_of_declared_rows_read_no_store(spark):
+    veto = class_map("Veto", "raised_on date !\n cleared_on date")
+    t = [(veto, spark.createDataFrame([("V_1", "urn:graph:derived:backtest:selection:base:P1:1", "2024-01-01", "2024-02-01")], "subject string, graph string, raisedOn string, clearedOn string"))]
+    q, schema = D.as_quads(t), G.GateSchema(leaf_classes=("Veto",))
+    parts = G.Parts(table_sizes(t), type_quads(t), inverse_quads(t), frozenset(["raisedOn", "clearedOn"]), frozenset())
+    with_parts, without = (G.plan_batch(q, q.limit(0), schema, parts=p) for p in (parts, None))
+    assert "last_lastSeenOn" in without._jdf.queryExecution().logical().toString() and "last_lastSeenOn" not in with_parts._jdf.queryExecution().logical().toString()
+    assert with_parts.collect() == without.collect() and with_parts.first()["status"] == "would-be-written"
