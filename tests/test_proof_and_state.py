@@ -13,6 +13,7 @@ from pitframe.operators import shapes as SH
 from pitframe.operators import temporal as T
 from pitframe.operators.quads import QUAD_DDL, class_map, graph_diff, melt
 from pitframe.plans import selection as S_
+from pitframe.plans.delivery import PROOF
 from pitframe.sources import deliveries, sinks
 from pitframe.sources.catalogue import Catalogue
 from pitframe.streaming import state as S
@@ -194,3 +195,20 @@ def test_differing_subjects_are_found_by_sums(spark, monkeypatch):
     assert {tuple(r) for r in R.delivery_differences(other, q).collect()} == {tuple(r) for r in graph_diff(other, q).collect()}
     assert [df.count() for df in kept] == [1, 2, 3]  # a graph, its subjects that differ, their quads of one side
     assert {t for df in kept[1:] for _, t in df.dtypes} == {"bigint"}
+
+
+def test_a_graph_is_proved_whole(spark):
+    rows = [("Book_1", "StrategyBook", {"runLabel": "base"}), ("W_1", "BookWeightDaily", {"holdingKey": "CASH", "weightOfBook": "Book_1"}), ("W_2", "BookWeightDaily", {"holdingKey": "T1", "holdingAsset": "A1", "weightOfBook": "Book_1"}),
+            ("W_3", "BookWeightDaily", {"holdingKey": "T2", "weightOfBook": "Book_1"}), ("W_4", "BookWeightDaily", {"holdingKey": "CASH", "weightOfBook": "Book_9"}), ("X_1", "GuardAction", {"status": "APPLIED", "actionOfBook": "Book_1", "guardTicker": "T1"}),
+            ("L_1", "GuardAlert", {"alertRule": "R_1", "guardLayer": "0", "alertState": "ENTER"}), ("L_2", "GuardAlert", {"alertRule": "R_1", "guardLayer": "0", "alertState": "EXIT"}), ("L_3", "GuardAlert", {"alertRule": "R_1", "guardLayer": "0", "alertState": "EXIT"}),
+            *[(f"N_{d}", "BookDailyPerformance", {"armCode": "ARM", "performanceDate": f"2024-01-0{d}", "nav": f"1.{d}", "performanceOfBook": "Book_1"}) for d in (1, 2, 3)]]
+    q = quads(spark, [("g", s, p, o) for s, cls, props in rows for p, o in {"rdf:type": cls, "knowledgeDate": "2024-01-01", **props}.items()])
+    of = lambda x: {(r["check"], r["key"]): r["value"] for r in R.graph_profile(x, ["holdingAsset"], proof=PROOF).collect()}
+    whole = of(q.repartition(3))
+    want = {("unlinked BookWeightDaily", "g"): "1", ("unlinked GuardAction", "g"): "1", ("alerts by rule, layer and state", "g/R_1/0/ENTER"): "1", ("alerts by rule, layer and state", "g/R_1/0/EXIT"): "2",
+            ("actions by status", "g/APPLIED"): "1", ("cash rows", "g"): "2", ("last NAV", "g/ARM"): "2024-01-03 1.300000000000000000", ("unlabelled", "g"): "1"}
+    assert {k: v for k, v in whole.items() if k[0] not in ("triples", "class", "link", "undated")} == want and ("undated", "g") not in whole
+    two = of(q.unionByName(quads(spark, [("g", "L_1", "alertState", "EXIT")])).filter("subject <> 'Book_1' OR predicate <> 'runLabel'").filter("subject <> 'N_3' OR predicate <> 'nav'"))
+    assert two["alerts by rule, layer and state", "g/R_1/0/several values"] == "1" and two["unlabelled", "g"] == "9" and two["last NAV", "g/ARM"] == "2024-01-02 1.200000000000000000"
+    bare = q.withColumn("graph", F.when(F.col("subject") != "W_1", F.col("graph")))  # a graph without a name counts too
+    assert {k: v for k, v in of(bare).items() if k[0] == "class"} == {k: v for k, v in whole.items() if k[0] == "class"}
